@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import WindowSpec
 
 QUARTILES = {"p25": 0.25, "p50": 0.50, "p75": 0.75}
 LONG_TEXT = 64
@@ -63,59 +65,59 @@ def _comparable(field: T.StructField) -> Column:
 
 
 def numeric_profile(
-    df: DataFrame, columns: Sequence[str], exact: bool = True, buckets: int = 1000
+    df: DataFrame, columns: Sequence[str], exact: bool = True, margin: float = 0.0005
 ) -> DataFrame:
     """Count, mean, standard deviation, minimum, quartiles and maximum of numeric columns.
 
-    Quartiles interpolate between the two nearest values. Exact ones come from value counts that
-    are cut into ``buckets`` ranges by a quantile sketch: only the few ranges that hold a quartile
-    are ranked, and no task sees all values of a column. ``exact=False`` returns sketch quartiles.
+    Quartiles interpolate between the two nearest values. A quantile sketch brackets each of them
+    ``margin`` below and above; the values are counted per bracket, and only the brackets that hold
+    a quartile are ranked, so no task sees all values of a column. Wherever the brackets fall, the
+    ranks are counted, not estimated. ``exact=False`` returns the quartiles of the sketch.
     """
     values = (
         df.select(*[F.col(c).cast("double").alias(c) for c in columns])
         .unpivot([], list(columns), "column_name", "value")
         .filter(F.col("value").isNotNull() & ~F.isnan("value"))
     )
-    cuts = [i / buckets for i in range(1, buckets)] if exact else list(QUARTILES.values())
+    cuts = [p + side for p in QUARTILES.values() for side in (-margin, margin)] if exact else list(QUARTILES.values())
+    sketch = F.percentile_approx("value", F.array(*[F.lit(c) for c in cuts]), F.lit(max(10000, int(5 / margin))))
     stats = values.groupBy("column_name").agg(
         F.count("*").alias("count"),
         (F.sum(F.col("value").cast("decimal(28,6)")).cast("double") / F.count("*")).alias("mean"),
         F.stddev_samp("value").alias("std"),
         F.min("value").alias("min"),
         F.max("value").alias("max"),
-        F.percentile_approx("value", F.array(*[F.lit(c) for c in cuts]), F.lit(max(10000, 10 * buckets))).alias("cuts"),
+        sketch.alias("cuts"),
     )
     if exact:
-        stats = stats.join(_exact_quartiles(values, stats), "column_name", "left")
+        stats = stats.join(_exact_quartiles(values, stats, len(cuts)), "column_name", "left")
     else:
         stats = stats.withColumns({name: F.col("cuts")[i] for i, name in enumerate(QUARTILES)})
     return stats.select("column_name", "count", "mean", "std", "min", *QUARTILES, "max")
 
 
-def _exact_quartiles(values: DataFrame, stats: DataFrame) -> DataFrame:
+def _exact_quartiles(values: DataFrame, stats: DataFrame, cuts: int) -> DataFrame:
     # One row per profiled column: safe to broadcast at any data size.
-    bounds = F.broadcast(stats.select("column_name", "count", F.array_distinct("cuts").alias("cuts")))
+    bounds = F.broadcast(stats.select("column_name", "count", "cuts"))
+    bracket = reduce(Column.__add__, [(F.col("value") > F.col("cuts")[i]).cast("int") for i in range(cuts)])
     counted = (
         values.groupBy("column_name", "value").agg(F.count("*").alias("n"))
         .join(bounds, "column_name")
-        .withColumn("bucket", F.size(F.filter("cuts", lambda cut: cut < F.col("value"))))
+        .select("column_name", "count", "value", "n", bracket.alias("bracket"))
     )
-    preceding = (Window.unboundedPreceding, -1)
-    ranges = (
-        counted.groupBy("column_name", "bucket").agg(F.sum("n").alias("rows"), F.first("count").alias("count"))
-        .withColumn("before", _running("rows", Window.partitionBy("column_name").orderBy("bucket"), preceding))
+    brackets = (
+        counted.groupBy("column_name", "bracket").agg(F.sum("n").alias("rows"), F.first("count").alias("count"))
+        .withColumn("before", _running("rows", Window.partitionBy("column_name").orderBy("bracket")))
     )
     lows = {name: F.floor((F.col("count") - 1) * p) for name, p in QUARTILES.items()}
     highs = {name: F.ceil((F.col("count") - 1) * p) for name, p in QUARTILES.items()}
     held = F.lit(False)
     for position in (*lows.values(), *highs.values()):
         held = held | ((position >= F.col("before")) & (position < F.col("before") + F.col("rows")))
-    # At most two ranges per quartile and column.
-    wanted = F.broadcast(ranges.filter(held).select("column_name", "bucket", "before"))
-    ranked = counted.join(wanted, ["column_name", "bucket"]).withColumn(
-        "start",
-        F.col("before")
-        + _running("n", Window.partitionBy("column_name", "bucket").orderBy("value"), preceding),
+    # At most two brackets per quartile and column.
+    wanted = F.broadcast(brackets.filter(held).select("column_name", "bracket", "before"))
+    ranked = counted.join(wanted, ["column_name", "bracket"]).withColumn(
+        "start", F.col("before") + _running("n", Window.partitionBy("column_name", "bracket").orderBy("value"))
     )
 
     def at(position: Column) -> Column:
@@ -127,6 +129,7 @@ def _exact_quartiles(values: DataFrame, stats: DataFrame) -> DataFrame:
         *[at(position).alias(f"{name}_low") for name, position in lows.items()],
         *[at(position).alias(f"{name}_high") for name, position in highs.items()],
     )
+
     def between(name: str, p: float) -> Column:
         share = (F.col("count") - 1) * p - F.floor((F.col("count") - 1) * p)
         low = F.col(f"{name}_low")
@@ -135,5 +138,7 @@ def _exact_quartiles(values: DataFrame, stats: DataFrame) -> DataFrame:
     return found.select("column_name", *[between(name, p) for name, p in QUARTILES.items()])
 
 
-def _running(column: str, window: Window, frame: tuple[int, int]) -> Column:
-    return F.coalesce(F.sum(column).over(window.rowsBetween(*frame)), F.lit(0))
+def _running(column: str, window: WindowSpec) -> Column:
+    """Sum of ``column`` over the rows before this one."""
+    earlier = window.rowsBetween(Window.unboundedPreceding, -1)
+    return F.coalesce(F.sum(column).over(earlier), F.lit(0))
