@@ -8,8 +8,6 @@ from pyspark.sql import types as T
 
 from shelfstack.settings import OUTGOING_MOVEMENTS
 
-ISO_DATE_START = r"^\d{4}-\d{2}-\d{2}"
-
 
 def number(df: DataFrame, name: str) -> Column:
     """Column ``name`` as a number whose NaN is NULL (Spark sorts NaN above every number)."""
@@ -47,10 +45,12 @@ def whole_number(col: Column) -> Column:
 def parse_timestamp(col: Column) -> Column:
     """ISO dates and timestamps, each row by itself; anything else is NULL.
 
-    The result has no time zone, like the naive stamps in the files.
+    The cast alone would also take ``2026`` and ``2026-2``; the two dashes ask for a full date. The
+    result has no time zone, like the naive stamps in the files.
     """
     text = col.cast("string")
-    return F.when(text.rlike(ISO_DATE_START), text.try_cast("timestamp_ntz"))
+    full_date = (F.substring(text, 5, 1) == "-") & (F.substring(text, 8, 1) == "-")
+    return F.when(full_date, text.try_cast("timestamp_ntz"))
 
 
 def money(col: Column) -> Column:

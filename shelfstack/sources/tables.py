@@ -49,7 +49,11 @@ def count_columns(spark: SparkSession, layer: str, table: str) -> int:
 def tables_per_layer(spark: SparkSession, layers: tuple[str, ...]) -> DataFrame:
     """Number of tables, views left out, in each layer."""
     def tables(layer: str) -> DataFrame:
-        views = spark.sql(f"SHOW VIEWS IN {layer}").select(F.col("viewName").alias("table_name"))
+        views = (
+            spark.sql(f"SHOW VIEWS IN {layer}")
+            .filter(~F.col("isTemporary"))
+            .select(F.col("viewName").alias("table_name"))
+        )
         return list_tables(spark, layer).join(views, "table_name", "left_anti")
 
     found = reduce(DataFrame.unionByName, [tables(layer) for layer in layers])
