@@ -319,18 +319,22 @@ ORACLE |= {name: sql(text) for name, text in {
     "payments_with_orders": """
         SELECT p.*, o.status AS order_status FROM fct_payments p LEFT JOIN fct_orders o ON p.order_id = o.order_id""",
     "fk_violations": _union(
-        _fk("lines_orders", "order_line_items_raw", "order_id", "orders_raw", "order_id"),
-        _fk("lines_products", "order_line_items_raw", "product_id", "products_raw", "product_id"),
-        _fk("orders_users", "orders_raw", "user_id", "users_raw", "user_id"),
-        _fk("payments_orders", "payments_raw", "order_id", "orders_raw", "order_id"),
-        _fk("reviews_products", "reviews_raw", "product_id", "products_raw", "product_id"),
-        _fk("reviews_users", "reviews_raw", "user_id", "users_raw", "user_id"),
-        _fk("clickstream_users", "clickstream_raw", "user_id", "users_raw", "user_id"),
-        _fk("interactions_products", "interactions_raw", "product_id", "products_raw", "product_id"),
-        _fk("inventory_products", "inventory_raw", "product_id", "products_raw", "product_id"),
-        _fk("marketing_users", "marketing_raw", "user_id", "users_raw", "user_id"),
-        _fk("search_products", "search_raw", "clicked_product_id", "products_raw", "product_id"),
-        _fk("sold_products", "fct_order_lines", "product_id", "dim_products", "product_id"),
+        _fk("orders.user_id", "orders_raw", "user_id", "users_raw", "user_id"),
+        _fk("order_line_items.order_id", "order_line_items_raw", "order_id", "orders_raw", "order_id"),
+        _fk("order_line_items.product_id", "order_line_items_raw", "product_id", "products_raw", "product_id"),
+        _fk("payments.order_id", "payments_raw", "order_id", "orders_raw", "order_id"),
+        _fk("clickstream.user_id", "clickstream_raw", "user_id", "users_raw", "user_id"),
+        _fk("reviews.user_id", "reviews_raw", "user_id", "users_raw", "user_id"),
+        _fk("reviews.product_id", "reviews_raw", "product_id", "products_raw", "product_id"),
+        _fk("marketing.user_id", "marketing_raw", "user_id", "users_raw", "user_id"),
+        _fk("search_events.user_id", "search_raw", "user_id", "users_raw", "user_id"),
+        _fk("search_events.clicked_product_id", "search_raw", "clicked_product_id", "products_raw", "product_id"),
+        _fk("interactions.user_id", "interactions_raw", "user_id", "users_raw", "user_id"),
+        _fk("interactions.product_id", "interactions_raw", "product_id", "products_raw", "product_id"),
+        _fk("inventory.product_id", "inventory_raw", "product_id", "products_raw", "product_id"),
+        _fk("abandoned_carts.user_id", "abandoned_carts", "user_id", "users_raw", "user_id"),
+        _fk("abandoned_carts.recovered_order_id", "abandoned_carts", "recovered_order_id", "orders_raw", "order_id"),
+        _fk("fct_order_lines.product_id", "fct_order_lines", "product_id", "dim_products", "product_id"),
     ),
     "product_sizes": """
         SELECT product_id, unnest(CAST(CAST(available_sizes_json AS JSON) AS VARCHAR[])) AS size FROM dim_products""",

@@ -17,6 +17,7 @@ from shelfstack.settings import FUNNEL_STEPS, MAX_RATING, MIN_RATING, ORDER_STAT
 from shelfstack.sinks import tables as sinks
 from shelfstack.sinks.upsert import merge_rows
 from shelfstack.sources import files
+from shelfstack.sources.registry import BY_NAME
 from shelfstack.sources.schemas import column_types
 from shelfstack.sources.tables import run_sql
 
@@ -246,43 +247,27 @@ def recovered_carts(i: Inputs) -> DataFrame:
 
 @query
 def clicked_searches(i: Inputs) -> DataFrame:
-    clicked = i.products.select("product_id", "brand", "price_usd")
-    return joins.lookup(i.raw("search"), clicked, "clicked_product_id", "event_id", dimension_key="product_id")
+    tables = {"search_events": i.raw("search"), "products": i.products}
+    return joins.follow(tables, "search_events", "clicked_product_id", ["brand", "price_usd"], "event_id")
 
 
 @query
 def reviews_with_products(i: Inputs) -> DataFrame:
-    return joins.lookup(
-        i.reviews.select("review_id", "product_id", "rating"), i.products.select("product_id", "brand"),
-        "product_id", "review_id",
-    )
+    tables = {"reviews": i.reviews.select("review_id", "product_id", "rating"), "products": i.products}
+    return joins.follow(tables, "reviews", "product_id", ["brand"], "review_id")
 
 
 @query
 def payments_with_orders(i: Inputs) -> DataFrame:
-    return joins.lookup(
-        i.payments, i.orders.select("order_id", F.col("status").alias("order_status")), "order_id", "transaction_id"
-    )
+    tables = {"payments": i.payments, "orders": i.orders.withColumnRenamed("status", "order_status")}
+    return joins.follow(tables, "payments", "order_id", ["order_status"], "transaction_id")
 
 
 @query
 def fk_violations(i: Inputs) -> DataFrame:
-    products, users, orders = i.raw("products"), i.raw("users"), i.raw("orders")
-    fk = joins.ForeignKey
-    return joins.foreign_key_violations([
-        fk("lines_orders", i.raw("order_line_items"), "order_id", orders, "order_id"),
-        fk("lines_products", i.raw("order_line_items"), "product_id", products, "product_id"),
-        fk("orders_users", orders, "user_id", users, "user_id"),
-        fk("payments_orders", i.raw("payments"), "order_id", orders, "order_id"),
-        fk("reviews_products", i.raw("reviews"), "product_id", products, "product_id"),
-        fk("reviews_users", i.raw("reviews"), "user_id", users, "user_id"),
-        fk("clickstream_users", i.raw("clickstream"), "user_id", users, "user_id"),
-        fk("interactions_products", i.raw("interactions"), "product_id", products, "product_id"),
-        fk("inventory_products", i.raw("inventory"), "product_id", products, "product_id"),
-        fk("marketing_users", i.raw("marketing"), "user_id", users, "user_id"),
-        fk("search_products", i.raw("search"), "clicked_product_id", products, "product_id"),
-        fk("sold_products", i.lines, "product_id", i.products, "product_id"),
-    ])
+    bronze = {name: i.raw("search" if name == "search_events" else name) for name in BY_NAME}
+    sold = joins.ForeignKey("fct_order_lines.product_id", i.lines, "product_id", i.products, "product_id")
+    return joins.foreign_key_violations([*joins.foreign_keys(bronze), sold])
 
 
 # Nested and delimited fields, sessions, searches

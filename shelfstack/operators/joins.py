@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfstack.sources.registry import RELATIONS
+
 SALT = "__salt"
 
 
@@ -44,6 +46,17 @@ def without_parent(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
     return child.join(parent.select(key), key, "left_anti").select(*child.columns)
 
 
+def follow(
+    tables: Mapping[str, DataFrame], child: str, key: str, columns: Sequence[str], spread_by: str
+) -> DataFrame:
+    """A dataset with ``columns`` of the row its foreign key ``key`` points to."""
+    for name, name_key, parent, parent_key in RELATIONS:
+        if (name, name_key) == (child, key):
+            target = tables[parent].select(parent_key, *columns)
+            return lookup(tables[child], target, key, spread_by, dimension_key=parent_key)
+    raise ValueError(f"{child}.{key} is no foreign key")
+
+
 class ForeignKey(NamedTuple):
     name: str
     child: DataFrame
@@ -52,6 +65,15 @@ class ForeignKey(NamedTuple):
     parent_key: str
 
 
+def foreign_keys(tables: Mapping[str, DataFrame]) -> list[ForeignKey]:
+    """The documented relations between the given datasets."""
+    return [
+        ForeignKey(f"{child}.{key}", tables[child], key, tables[parent], parent_key)
+        for child, key, parent, parent_key in RELATIONS
+        if child in tables and parent in tables
+    ]
+
+
 def foreign_key_violations(relations: Sequence[ForeignKey]) -> DataFrame:
     """Per relation: filled child rows, and the rows and keys without a parent.
 

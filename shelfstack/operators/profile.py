@@ -89,28 +89,33 @@ def numeric_profile(
         F.max("value").alias("max"),
         sketch.alias("cuts"),
     )
+    summary = F.struct("count", "mean", "std", "min", "max").alias("summary")
     if exact:
-        stats = stats.join(_exact_quartiles(values, stats, len(cuts)), "column_name", "left")
+        found = _exact_quartiles(values, stats.select("column_name", summary, "cuts"), len(cuts))
     else:
-        stats = stats.withColumns({name: F.col("cuts")[i] for i, name in enumerate(QUARTILES)})
-    return stats.select("column_name", "count", "mean", "std", "min", *QUARTILES, "max")
+        sketched = [F.col("cuts")[i].alias(name) for i, name in enumerate(QUARTILES)]
+        found = stats.select("column_name", summary, *sketched)
+    return found.select(
+        "column_name", "summary.count", "summary.mean", "summary.std", "summary.min", *QUARTILES, "summary.max"
+    )
 
 
 def _exact_quartiles(values: DataFrame, stats: DataFrame, cuts: int) -> DataFrame:
-    # One row per profiled column: safe to broadcast at any data size.
-    bounds = F.broadcast(stats.select("column_name", "count", "cuts"))
+    # One row per profiled column: safe to broadcast at any data size. The summary travels along,
+    # so that the statistics are computed once.
     bracket = reduce(Column.__add__, [(F.col("value") > F.col("cuts")[i]).cast("int") for i in range(cuts)])
     counted = (
         values.groupBy("column_name", "value").agg(F.count("*").alias("n"))
-        .join(bounds, "column_name")
-        .select("column_name", "count", "value", "n", bracket.alias("bracket"))
+        .join(F.broadcast(stats), "column_name")
+        .select("column_name", "summary", "value", "n", bracket.alias("bracket"))
     )
     brackets = (
-        counted.groupBy("column_name", "bracket").agg(F.sum("n").alias("rows"), F.first("count").alias("count"))
+        counted.groupBy("column_name", "bracket").agg(F.sum("n").alias("rows"), F.first("summary").alias("summary"))
         .withColumn("before", _running("rows", Window.partitionBy("column_name").orderBy("bracket")))
     )
-    lows = {name: F.floor((F.col("count") - 1) * p) for name, p in QUARTILES.items()}
-    highs = {name: F.ceil((F.col("count") - 1) * p) for name, p in QUARTILES.items()}
+    last = F.col("summary.count") - 1
+    lows = {name: F.floor(last * p) for name, p in QUARTILES.items()}
+    highs = {name: F.ceil(last * p) for name, p in QUARTILES.items()}
     held = F.lit(False)
     for position in (*lows.values(), *highs.values()):
         held = held | ((position >= F.col("before")) & (position < F.col("before") + F.col("rows")))
@@ -125,17 +130,17 @@ def _exact_quartiles(values: DataFrame, stats: DataFrame, cuts: int) -> DataFram
         return F.max(F.when(covers, F.col("value")))
 
     found = ranked.groupBy("column_name").agg(
-        F.first("count").alias("count"),
+        F.first("summary").alias("summary"),
         *[at(position).alias(f"{name}_low") for name, position in lows.items()],
         *[at(position).alias(f"{name}_high") for name, position in highs.items()],
     )
 
     def between(name: str, p: float) -> Column:
-        share = (F.col("count") - 1) * p - F.floor((F.col("count") - 1) * p)
+        share = last * p - F.floor(last * p)
         low = F.col(f"{name}_low")
         return (low + (F.col(f"{name}_high") - low) * share).alias(name)
 
-    return found.select("column_name", *[between(name, p) for name, p in QUARTILES.items()])
+    return found.select("column_name", "summary", *[between(name, p) for name, p in QUARTILES.items()])
 
 
 def _running(column: str, window: WindowSpec) -> Column:

@@ -119,6 +119,15 @@ def all_filled(counts: DataFrame, expected_tables: int) -> DataFrame:
     )
 
 
+def layer_sizes(found: DataFrame, expected: Mapping[str, int]) -> DataFrame:
+    """Per layer: tables found and expected; a layer that is missing has none."""
+    wanted = found.sparkSession.createDataFrame(list(expected.items()), "schemaname string, expected bigint")
+    counted = F.coalesce("nb_tables", F.lit(0))
+    return wanted.join(found, "schemaname", "left").select(
+        "schemaname", counted.alias("nb_tables"), "expected", (counted == F.col("expected")).alias("matches")
+    )
+
+
 def any_broken(df: DataFrame, broken: Column) -> DataFrame:
     """One row: does any row break the rule?"""
     return df.agg(F.coalesce(F.bool_or(broken), F.lit(False)).alias("any_broken"))

@@ -21,6 +21,11 @@ def top_k(df: DataFrame, by: str, k: int, tie_breaker: str) -> DataFrame:
     return df.orderBy(F.col(by).desc_nulls_last(), ascending(tie_breaker)).limit(k)
 
 
+def preview(df: DataFrame, rows: int = 5) -> DataFrame:
+    """The first few rows, for a look at a table."""
+    return df.limit(rows)
+
+
 def number_events(
     df: DataFrame, session: str, ts: str, event: str, name: str = "event_seq", slice_unit: str = "minute"
 ) -> DataFrame:

@@ -48,3 +48,23 @@ BY_NAME = {dataset.name: dataset for dataset in DATASETS}
 def datasets(bonus: bool = False) -> tuple[Dataset, ...]:
     """The six core datasets, or all twelve."""
     return tuple(d for d in DATASETS if d.core or bonus)
+
+
+# Child dataset and column, and the dataset and key they point to.
+RELATIONS = (
+    ("orders", "user_id", "users", "user_id"),
+    ("order_line_items", "order_id", "orders", "order_id"),
+    ("order_line_items", "product_id", "products", "product_id"),
+    ("payments", "order_id", "orders", "order_id"),
+    ("clickstream", "user_id", "users", "user_id"),
+    ("reviews", "user_id", "users", "user_id"),
+    ("reviews", "product_id", "products", "product_id"),
+    ("marketing", "user_id", "users", "user_id"),
+    ("search_events", "user_id", "users", "user_id"),
+    ("search_events", "clicked_product_id", "products", "product_id"),
+    ("interactions", "user_id", "users", "user_id"),
+    ("interactions", "product_id", "products", "product_id"),
+    ("inventory", "product_id", "products", "product_id"),
+    ("abandoned_carts", "user_id", "users", "user_id"),
+    ("abandoned_carts", "recovered_order_id", "orders", "order_id"),
+)

@@ -44,10 +44,11 @@ def upsert_new_files(
     checkpoint: str,
     keys: Sequence[str],
     order_by: Sequence[str] = (),
+    partition_by: str | None = None,
 ) -> StreamingQuery:
     """Upserts new files by key; a batch that is replayed after a failure changes nothing."""
     def load(batch: DataFrame, _: int) -> None:
-        upsert_table(batch.sparkSession, layer, table, batch, keys, order_by)
+        upsert_table(batch.sparkSession, layer, table, batch, keys, order_by, partition_by)
 
     return (
         stream.writeStream.foreachBatch(load)

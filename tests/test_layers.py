@@ -59,6 +59,10 @@ def test_core_run(spark, lake, tmp_path):
         r.table_name: spark.table(f"run_bronze.{r.table_name}") for r in tables.list_tables(spark, "run_bronze").collect()
     })
     assert tuple(quality.all_filled(counts, 6).first()) == (6, True, True)
+    sizes = quality.layer_sizes(found, {"run_bronze": 6, "run_silver": 5, "run_gold": 3, "other": 1})
+    assert rows(sizes) == [
+        ("other", 0, 1, False), ("run_bronze", 6, 6, True), ("run_gold", 3, 3, True), ("run_silver", 4, 5, False)
+    ]
     assert "dt" in spark.table("run_bronze.clickstream").columns
 
     # Steps run alone give the same tables.

@@ -36,6 +36,17 @@ def test_foreign_key_violations(spark):
     assert rows(got) == [("none", 0, 0, 0), ("some", 5, 3, 2)]
 
 
+def test_documented_relations(spark):
+    users = spark.createDataFrame([(1, "FR"), (2, "DE")], "user_id long, country_code string")
+    orders = spark.createDataFrame([(10, 1), (11, 3), (12, None)], "order_id long, user_id long")
+    tables = {"users": users, "orders": orders}
+    got = joins.follow(tables, "orders", "user_id", ["country_code"], "order_id")
+    assert rows(got, "order_id", "user_id", "country_code") == [(10, 1, "FR"), (11, 3, None), (12, None, None)]
+    assert rows(joins.foreign_key_violations(joins.foreign_keys(tables))) == [("orders.user_id", 2, 1, 1)]
+    with pytest.raises(ValueError):
+        joins.follow(tables, "orders", "status", ["country_code"], "order_id")
+
+
 def test_set_operations(spark):
     a = spark.createDataFrame([(1, "x")], "id long, a string")
     b = spark.createDataFrame([("y", 2)], "b string, id long")
@@ -60,6 +71,11 @@ def test_top_k(spark):
     assert "TakeOrderedAndProject" in top._jdf.queryExecution().executedPlan().toString()
 
 
+def test_preview(spark):
+    assert ranking.preview(spark.range(20)).count() == 5
+    assert ranking.preview(spark.range(2)).count() == 2
+
+
 def test_number_events(spark):
     pick = random.Random(5)
     data = [

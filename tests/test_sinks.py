@@ -76,12 +76,46 @@ def test_upsert_is_idempotent(spark):
     assert not spark.catalog.tableExists("sink.u__next") and not spark.catalog.tableExists("sink.u__prev")
 
 
-def test_upsert_recovers_from_a_lost_swap(spark):
+def test_upsert_of_partitions(spark):
     sinks.ensure_layers(spark, "sink")
-    upsert_table(spark, "sink", "w", frame(spark, (1, 1, "a")), ["id"], ["ts"])
-    spark.sql("ALTER TABLE sink.w RENAME TO sink.w__prev")
-    upsert_table(spark, "sink", "w", frame(spark, (2, 1, "b")), ["id"], ["ts"])
-    assert rows(spark.table("sink.w")) == [(1, 1, "a"), (2, 1, "b")]
+    start = frame(spark, (1, 1, "a"), (2, 1, "b"), (3, 2, "c"), (4, 3, "d"))
+    upsert_table(spark, "sink", "p", start, ["id"], partition_by="ts")
+    untouched = [r.f for r in spark.table("sink.p").filter("id = 4").select(F.input_file_name().alias("f")).collect()]
+    # 2 changes in place, 3 moves and leaves its partition empty, 5 opens a partition
+    batch = frame(spark, (2, 1, "B"), (3, 1, "C"), (5, 9, "e"))
+    for _ in range(2):
+        upsert_table(spark, "sink", "p", batch, ["id"], partition_by="ts")
+        assert rows(spark.table("sink.p"), "id", "ts", "v") == [
+            (1, 1, "a"), (2, 1, "B"), (3, 1, "C"), (4, 3, "d"), (5, 9, "e")
+        ]
+        assert rows(spark.sql("SHOW PARTITIONS sink.p")) == [("ts=1",), ("ts=3",), ("ts=9",)]
+    after = [r.f for r in spark.table("sink.p").filter("id = 4").select(F.input_file_name().alias("f")).collect()]
+    assert after == untouched
+    # a row without a partition value, and a new column, take the whole-table way
+    upsert_table(spark, "sink", "p", frame(spark, (5, None, "n")), ["id"], partition_by="ts")
+    assert rows(spark.table("sink.p").filter("id = 5"), "id", "ts", "v") == [(5, None, "n")]
+    wider = frame(spark, (6, 3, "f")).withColumn("extra", F.lit(1))
+    upsert_table(spark, "sink", "p", wider, ["id"], partition_by="ts")
+    assert rows(spark.table("sink.p").filter("ts = 3"), "id", "extra") == [(4, None), (6, 1)]
+
+
+@pytest.mark.parametrize("partition_by", [None, "ts"])
+def test_upsert_finishes_a_run_that_died(spark, partition_by):
+    name = f"w_{partition_by}"
+    sinks.ensure_layers(spark, "sink")
+    upsert_table(spark, "sink", name, frame(spark, (1, 1, "a")), ["id"], partition_by=partition_by)
+    # died while writing: the rest is dropped
+    sinks.save_table(frame(spark, (9, 9, "half")), "sink", f"{name}__next", partition_by=partition_by)
+    upsert_table(spark, "sink", name, frame(spark, (2, 1, "b")), ["id"], partition_by=partition_by)
+    assert rows(spark.table(f"sink.{name}"), "id", "v") == [(1, "a"), (2, "b")]
+    # died after writing, the old table may be gone already: the new one is put in place
+    sinks.save_table(frame(spark, (1, 1, "A"), (2, 1, "B")), "sink", f"{name}__next", partition_by=partition_by)
+    spark.sql(f"ALTER TABLE sink.{name}__next SET TBLPROPERTIES ('complete' = 'true')")
+    spark.sql(f"DROP TABLE sink.{name}")
+    upsert_table(spark, "sink", name, frame(spark, (3, 1, "c")), ["id"], partition_by=partition_by)
+    assert rows(spark.table(f"sink.{name}"), "id", "v") == [(1, "A"), (2, "B"), (3, "c")]
+    assert not spark.catalog.tableExists(f"sink.{name}__next")
+    assert not spark.catalog.tableExists(f"sink.{name}__prev")
 
 
 def test_new_files_are_appended_once(spark, tmp_path):
