@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from acceptance.views import view
+from acceptance.views import base_tables, register, view
 from shelfstack.functions import values
 from shelfstack.functions.text import tag_array
 from shelfstack.operators import carts, columns, joins, profile, quality, ranking, search, sessions, sets
@@ -36,11 +36,15 @@ class Inputs:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
+        self.registered: set[str] = set()
         self.views: dict[str, DataFrame] = {}
 
     def raw(self, name: str) -> DataFrame:
         if name not in self.views:
-            self.views[name] = view(self.spark, self.sf_dir, f"{name}_raw")
+            for table in base_tables(f"{name}_raw") - self.registered:
+                register(self.spark, self.sf_dir, table)
+                self.registered.add(table)
+            self.views[name] = view(self.spark, f"{name}_raw")
         return self.views[name]
 
     products = property(lambda self: silver.dim_products(self.raw("products")))

@@ -118,10 +118,19 @@ CARTS = """
 TABLES = ("part", "customer", "orders", "lineitem", "events", "documents", "labels")
 
 
-def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the adapted datasets, such as ``orders_raw``."""
-    text = CARTS if name == "abandoned_carts_raw" else VIEWS[name]
-    for table in TABLES:
-        if re.search(rf"(FROM|JOIN) {table}\b", text):
-            spark.read.parquet(f"{sf_dir}/{table}.parquet").createOrReplaceTempView(table)
-    return spark.sql(text)
+def register(spark: SparkSession, sf_dir: str, table: str) -> None:
+    spark.read.parquet(f"{sf_dir}/{table}.parquet").createOrReplaceTempView(table)
+
+
+def base_tables(name: str) -> set[str]:
+    """The given tables an adapted dataset is made from."""
+    return {table for table in TABLES if re.search(rf"(FROM|JOIN) {table}\b", _text(name))}
+
+
+def view(spark: SparkSession, name: str) -> DataFrame:
+    """One of the adapted datasets, such as ``orders_raw``, over the registered tables."""
+    return spark.sql(_text(name))
+
+
+def _text(name: str) -> str:
+    return CARTS if name == "abandoned_carts_raw" else VIEWS[name]

@@ -77,21 +77,35 @@ def foreign_keys(tables: Mapping[str, DataFrame]) -> list[ForeignKey]:
 def foreign_key_violations(relations: Sequence[ForeignKey]) -> DataFrame:
     """Per relation: filled child rows, and the rows and keys without a parent.
 
-    Child rows are counted per key first, so a hot key is one row in the join.
+    All relations share one aggregate and one join. Child rows are counted per key first, so that
+    a hot key is one row in the join.
     """
-    def violations(fk: ForeignKey) -> DataFrame:
-        keys = (
-            fk.child.select(F.col(fk.child_key).alias("key"))
-            .filter(F.col("key").isNotNull())
-            .groupBy("key").agg(F.count("*").alias("rows"))
-        )
-        parents = fk.parent.select(F.col(fk.parent_key).alias("key")).distinct().withColumn("known", F.lit(True))
-        missing = F.col("known").isNull()
-        return keys.join(parents, "key", "left").agg(
-            F.lit(fk.name).alias("relation"),
-            F.coalesce(F.sum("rows"), F.lit(0)).alias("checked_rows"),
-            F.coalesce(F.sum(F.when(missing, F.col("rows"))), F.lit(0)).alias("orphan_rows"),
+    kinds = {fk.child.schema[fk.child_key].dataType.simpleString() for fk in relations}
+    kind = "bigint" if kinds <= {"bigint", "int"} else "string"
+    targets = {(id(fk.parent), fk.parent_key): fk for fk in relations}
+    numbers = {target: number for number, target in enumerate(targets)}
+
+    def keys(frame: DataFrame, key: str, target: int) -> DataFrame:
+        return frame.select(F.col(key).cast(kind).alias("key"), F.lit(target).alias("target")).dropna()
+
+    children = reduce(DataFrame.unionByName, [
+        keys(fk.child, fk.child_key, numbers[id(fk.parent), fk.parent_key]).withColumn("relation", F.lit(fk.name))
+        for fk in relations
+    ])
+    parents = reduce(DataFrame.unionByName, [
+        keys(fk.parent, fk.parent_key, numbers[target]) for target, fk in targets.items()
+    ])
+    missing = F.col("known").isNull()
+    counted = (
+        children.groupBy("relation", "target", "key").agg(F.count("*").alias("rows"))
+        .join(parents.distinct().withColumn("known", F.lit(True)), ["target", "key"], "left")
+        .groupBy("relation")
+        .agg(
+            F.sum("rows").alias("checked_rows"),
+            F.sum(F.when(missing, F.col("rows")).otherwise(0)).alias("orphan_rows"),
             F.count_if(missing).alias("orphan_keys"),
         )
-
-    return reduce(DataFrame.unionByName, [violations(fk) for fk in relations])
+    )
+    # A relation whose child is empty has no group, but a row in the report.
+    names = counted.sparkSession.createDataFrame([(fk.name,) for fk in relations], "relation string")
+    return names.join(counted, "relation", "left").fillna(0)
