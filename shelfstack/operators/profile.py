@@ -65,14 +65,15 @@ def _comparable(field: T.StructField) -> Column:
 
 
 def numeric_profile(
-    df: DataFrame, columns: Sequence[str], exact: bool = True, margin: float = 0.0005
+    df: DataFrame, columns: Sequence[str], exact: bool = True, margin: float = 0.0005, pieces: int = 1000
 ) -> DataFrame:
     """Count, mean, standard deviation, minimum, quartiles and maximum of numeric columns.
 
     Quartiles interpolate between the two nearest values. A quantile sketch brackets each of them
-    ``margin`` below and above; the values are counted per bracket, and only the brackets that hold
-    a quartile are ranked, so no task sees all values of a column. Wherever the brackets fall, the
-    ranks are counted, not estimated. ``exact=False`` returns the quartiles of the sketch.
+    ``margin`` below and above, and every bracket is cut into ``pieces`` of equal width. Values are
+    counted per piece, and only the pieces that hold a quartile are ranked, so no task sees all values
+    of a column. Wherever the pieces end, the ranks are counted, not estimated. ``exact=False`` returns
+    the quartiles of the sketch.
     """
     values = (
         df.select(*[F.col(c).cast("double").alias(c) for c in columns])
@@ -91,7 +92,8 @@ def numeric_profile(
     )
     summary = F.struct("count", "mean", "std", "min", "max").alias("summary")
     if exact:
-        found = _exact_quartiles(values, stats.select("column_name", summary, "cuts"), len(cuts))
+        edges = F.concat(F.array("min"), "cuts", F.array("max")).alias("edges")
+        found = _exact_quartiles(values, stats.select("column_name", summary, edges), len(cuts), pieces)
     else:
         sketched = [F.col("cuts")[i].alias(name) for i, name in enumerate(QUARTILES)]
         found = stats.select("column_name", summary, *sketched)
@@ -100,18 +102,22 @@ def numeric_profile(
     )
 
 
-def _exact_quartiles(values: DataFrame, stats: DataFrame, cuts: int) -> DataFrame:
+def _exact_quartiles(values: DataFrame, stats: DataFrame, cuts: int, pieces: int) -> DataFrame:
     # One row per profiled column: safe to broadcast at any data size. The summary travels along,
     # so that the statistics are computed once.
-    bracket = reduce(Column.__add__, [(F.col("value") > F.col("cuts")[i]).cast("int") for i in range(cuts)])
+    bracket = reduce(Column.__add__, [(F.col("value") > F.col("edges")[i]).cast("int") for i in range(1, cuts + 1)])
+    low, high = F.col("edges")[F.col("bracket")], F.col("edges")[F.col("bracket") + 1]
+    share = F.when(high > low, (F.col("value") - low) / (high - low)).otherwise(0)
+    piece = F.least(F.floor(share * pieces), F.lit(pieces - 1))
     counted = (
         values.groupBy("column_name", "value").agg(F.count("*").alias("n"))
         .join(F.broadcast(stats), "column_name")
-        .select("column_name", "summary", "value", "n", bracket.alias("bracket"))
+        .withColumn("bracket", bracket)
+        .select("column_name", "summary", "value", "n", (F.col("bracket") * pieces + piece).alias("piece"))
     )
-    brackets = (
-        counted.groupBy("column_name", "bracket").agg(F.sum("n").alias("rows"), F.first("summary").alias("summary"))
-        .withColumn("before", _running("rows", Window.partitionBy("column_name").orderBy("bracket")))
+    filled = (
+        counted.groupBy("column_name", "piece").agg(F.sum("n").alias("rows"), F.first("summary").alias("summary"))
+        .withColumn("before", _running("rows", Window.partitionBy("column_name").orderBy("piece")))
     )
     last = F.col("summary.count") - 1
     lows = {name: F.floor(last * p) for name, p in QUARTILES.items()}
@@ -119,10 +125,10 @@ def _exact_quartiles(values: DataFrame, stats: DataFrame, cuts: int) -> DataFram
     held = F.lit(False)
     for position in (*lows.values(), *highs.values()):
         held = held | ((position >= F.col("before")) & (position < F.col("before") + F.col("rows")))
-    # At most two brackets per quartile and column.
-    wanted = F.broadcast(brackets.filter(held).select("column_name", "bracket", "before"))
-    ranked = counted.join(wanted, ["column_name", "bracket"]).withColumn(
-        "start", F.col("before") + _running("n", Window.partitionBy("column_name", "bracket").orderBy("value"))
+    # At most two pieces per quartile and column.
+    wanted = F.broadcast(filled.filter(held).select("column_name", "piece", "before"))
+    ranked = counted.join(wanted, ["column_name", "piece"]).withColumn(
+        "start", F.col("before") + _running("n", Window.partitionBy("column_name", "piece").orderBy("value"))
     )
 
     def at(position: Column) -> Column:

@@ -142,9 +142,12 @@ def test_exact_quartiles(spark, size):
 
 def test_quartiles_do_not_depend_on_the_brackets(spark):
     df = spark.range(1, 1002).select(F.col("id").cast("double").alias("a"))
-    for margin in (1e-7, 0.0005, 0.2):
-        row = profile.numeric_profile(df, ["a"], margin=margin).first()
+    for margin, pieces in ((1e-7, 1000), (0.0005, 1), (0.0005, 7), (0.2, 3)):
+        row = profile.numeric_profile(df, ["a"], margin=margin, pieces=pieces).first()
         assert (row.p25, row.p50, row.p75) == (251.0, 501.0, 751.0)
+    wide = spark.createDataFrame([(float(v),) for v in ("-inf", "1", "2", "3", "inf")], "a double")
+    row = wide.transform(lambda d: profile.numeric_profile(d.filter("a < 1e300"), ["a"])).first()
+    assert row.p50 == 1.5
 
 
 def test_sketch_quartiles(spark):
