@@ -86,7 +86,8 @@ def foreign_key_violations(relations: Sequence[ForeignKey]) -> DataFrame:
     numbers = {target: number for number, target in enumerate(targets)}
 
     def keys(frame: DataFrame, key: str, target: int) -> DataFrame:
-        return frame.select(F.col(key).cast(kind).alias("key"), F.lit(target).alias("target")).dropna()
+        filled = frame.filter(F.col(key).isNotNull())
+        return filled.select(F.col(key).cast(kind).alias("key"), F.lit(target).alias("target"))
 
     children = reduce(DataFrame.unionByName, [
         keys(fk.child, fk.child_key, numbers[id(fk.parent), fk.parent_key]).withColumn("relation", F.lit(fk.name))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+BEFORE_ALL = -(2**63)
+
 
 def ascending(name: str) -> Column:
     """Ascending, NULLs last."""
@@ -36,10 +38,10 @@ def number_events(
     within the slice. Events without a stamp come first; rows without a session get NULL.
     """
     part, rows, before = "__slice", "__rows", "__before"
-    start_of_time = F.lit("0001-01-01 00:00:00").cast("timestamp")
-    sliced = df.withColumn(
-        part, F.coalesce(F.date_trunc(slice_unit, F.col(ts).cast("timestamp")), start_of_time)
-    )
+    # Units since 1970 and not truncated stamps: those of stamps without a zone depend on the session's.
+    since_1970 = F.col(ts) - F.lit("1970-01-01 00:00:00").cast(df.schema[ts].dataType)
+    unit = since_1970.cast(f"interval {slice_unit}").cast("bigint")
+    sliced = df.withColumn(part, F.coalesce(unit, F.lit(BEFORE_ALL)))
     earlier = Window.partitionBy(session).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         sliced.filter(F.col(session).isNotNull())

@@ -50,16 +50,16 @@ def _nearest(typos: DataFrame, terms: DataFrame, max_edits: int) -> DataFrame:
 
 def _deletions(df: DataFrame, column: str, depth: int) -> DataFrame:
     """``column`` with a hash of itself and of every string left by up to ``depth`` deletions."""
-    level = df.select(column, F.col(column).alias("rest"), F.lit(1).alias("start"))
-    found = level
+    # Each step deletes one letter at or after the last deleted place, or (place 0) ends the deletions.
+    level = df.select(column, F.col(column).alias("rest"), F.lit(1).alias("place"))
     for _ in range(depth):
-        # Deleting at or after the last deleted place reaches each string once.
-        level = (
-            level.filter(F.length("rest") >= F.col("start"))
-            .select(column, "rest", F.explode(F.sequence("start", F.length("rest"))).alias("start"))
-            .withColumn("rest", F.concat(
-                F.substring("rest", F.lit(1), F.col("start") - 1), F.substring("rest", F.col("start") + 1, F.length("rest"))
-            ))
+        open_places = F.when(
+            (F.col("place") > 0) & (F.col("place") <= F.length("rest")),
+            F.concat(F.array(F.lit(0)), F.sequence("place", F.length("rest"))),
+        ).otherwise(F.array(F.lit(0)))
+        before = F.substring("rest", F.lit(1), F.col("place") - 1)
+        after = F.substring("rest", F.col("place") + 1, F.length("rest"))
+        level = level.select(column, "rest", F.explode(open_places).alias("place")).withColumn(
+            "rest", F.when(F.col("place") == 0, F.col("rest")).otherwise(F.concat(before, after))
         )
-        found = found.unionByName(level)
-    return found.select(column, F.xxhash64("rest").alias("variant"))
+    return level.select(column, F.xxhash64("rest").alias("variant"))

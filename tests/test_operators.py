@@ -76,21 +76,30 @@ def test_preview(spark):
     assert ranking.preview(spark.range(2)).count() == 2
 
 
-def test_number_events(spark):
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz"])
+@pytest.mark.parametrize("unit", ["minute", "hour"])
+def test_number_events(spark, kind, unit):
     pick = random.Random(5)
     data = [
-        (i, "hot" if i % 3 == 0 else pick.choice(["a", "b", None]), pick.choice([None, *range(0, 4000, 13)]))
+        (i, "hot" if i % 3 == 0 else pick.choice(["a", "b", None]), pick.choice([None, *range(-2000, 9000, 13)]))
         for i in range(400)
     ]
+    # around the hour that New York skips in spring
     df = spark.createDataFrame(data, "event long, session string, secs int").withColumn(
-        "ts", F.timestamp_seconds("secs").cast("timestamp_ntz")
+        "ts", (F.lit("2024-03-10 01:30:00").cast(kind) + F.make_dt_interval(secs="secs")).cast(kind)
     )
     expected = {}
     for session in ("hot", "a", "b"):
         mine = sorted((r for r in data if r[1] == session), key=lambda r: (r[2] is not None, r[2] or 0, r[0]))
         expected |= {r[0]: place for place, r in enumerate(mine, start=1)}
-    got = {r.event: r.event_seq for r in ranking.number_events(df, "session", "ts", "event").collect()}
-    assert got == {r[0]: expected.get(r[0]) for r in data}
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for other in ("UTC", "America/New_York"):
+            spark.conf.set("spark.sql.session.timeZone", other)
+            numbered = ranking.number_events(df, "session", "ts", "event", slice_unit=unit)
+            assert {r.event: r.event_seq for r in numbered.collect()} == {r[0]: expected.get(r[0]) for r in data}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
 
 
 def test_session_summary(spark):
