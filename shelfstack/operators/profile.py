@@ -60,7 +60,14 @@ def column_profile(df: DataFrame, exact: bool = True) -> DataFrame:
 
 
 def _comparable(field: T.StructField) -> Column:
-    text = F.col(f"`{field.name}`").cast("string")
+    """The value as text that is the same for equal values only."""
+    col = F.col(f"`{field.name}`")
+    if isinstance(field.dataType, (T.ArrayType, T.StructType, T.MapType)):
+        text = F.to_json(col)
+    elif isinstance(field.dataType, (T.FloatType, T.DoubleType)):
+        text = (col + 0.0).cast("string")  # -0.0 equals 0.0
+    else:
+        text = col.cast("string")
     return F.when(F.length(text) > LONG_TEXT, F.sha2(text, 256)).otherwise(text)
 
 

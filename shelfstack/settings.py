@@ -36,5 +36,7 @@ class Settings:
     # Columns in which a token such as "NA" is a real value (country codes).
     na_exempt: tuple[str, ...] = ()
     multiline_csv: bool = False
+    # Off: Parquet columns are those of one file, and not every footer is read first.
+    merge_parquet_schema: bool = True
     check_order_lines_ri: bool = False
     exact_revenue: bool = False

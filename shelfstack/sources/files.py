@@ -93,7 +93,7 @@ def read_dataset(spark: SparkSession, settings: Settings, dataset: Dataset) -> D
     if dataset.format == "parquet":
         types = column_types(dataset.name)
         empty = ", ".join(f"`{name}` {kind}" for name, kind in types.items())
-        return read_parquet(spark, path, empty_schema=empty)
+        return read_parquet(spark, path, settings.merge_parquet_schema, empty_schema=empty)
     raise ValueError(f"unknown format {dataset.format!r} of dataset {dataset.name}")
 
 

@@ -129,6 +129,12 @@ def test_column_profile(spark, exact):
     ]
 
 
+def test_distinct_values_that_look_alike(spark):
+    df = spark.sql("""
+        SELECT * FROM VALUES (array('a, b'), 0.0D), (array('a', 'b'), -0.0D), (array('a', 'b'), 1.0D) AS t(a, d)""")
+    assert rows(profile.column_profile(df), "column_name", "distinct_values") == [("a", 2), ("d", 2)]
+
+
 @pytest.mark.parametrize("size", [1, 2, 3, 4, 5, 1000, 4001])
 def test_exact_quartiles(spark, size):
     pick = random.Random(size)
