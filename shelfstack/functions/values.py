@@ -8,6 +8,9 @@ from pyspark.sql import types as T
 
 from shelfstack.settings import OUTGOING_MOVEMENTS
 
+# A double holds every cent below 2**53 cents.
+MAX_AMOUNT = 2.0**53 / 100
+
 
 def number(df: DataFrame, name: str) -> Column:
     """Column ``name`` as a number whose NaN is NULL (Spark sorts NaN above every number)."""
@@ -53,9 +56,23 @@ def parse_timestamp(col: Column) -> Column:
     return F.when(full_date, text.try_cast("timestamp_ntz"))
 
 
-def money(col: Column) -> Column:
-    """Cents-exact amount: its sums do not depend on the order of the rows."""
-    return col.cast("decimal(18,2)")
+def cents(col: Column) -> Column:
+    """An amount in dollars as whole cents, halves rounded away from zero.
+
+    Sums of whole cents do not depend on the order of the rows, and cost a fraction of decimal sums.
+    NaN, infinities and sizes that a double cannot hold to the cent are NULL.
+    """
+    size = F.floor(F.abs(col) * 100 + 0.5)
+    return F.when(F.abs(col) < MAX_AMOUNT, F.when(col < 0, -size).otherwise(size))
+
+
+def dollars(col: Column) -> Column:
+    return col.cast("double") / 100
+
+
+def total_of(col: Column) -> Column:
+    """Sum of amounts that are sums already: few, and too large for cents in a double perhaps."""
+    return F.sum(nan_to_null(col).cast("decimal(38,2)")).cast("double")
 
 
 def rounded(col: Column, places: int = 2) -> Column:

@@ -91,7 +91,7 @@ def numeric_profile(
     sketch = F.percentile_approx("value", F.array(*[F.lit(c) for c in cuts]), F.lit(max(10000, int(5 / margin))))
     stats = values.groupBy("column_name").agg(
         F.count("*").alias("count"),
-        (F.sum(F.col("value").cast("decimal(28,6)")).cast("double") / F.count("*")).alias("mean"),
+        _mean("value").alias("mean"),
         F.stddev_samp("value").alias("std"),
         F.min("value").alias("min"),
         F.max("value").alias("max"),
@@ -156,6 +156,15 @@ def _exact_quartiles(values: DataFrame, stats: DataFrame, cuts: int, pieces: int
     return found.select("column_name", "summary", *[between(name, p) for name, p in QUARTILES.items()])
 
 
+def _mean(column: str) -> Column:
+    """The mean from exact sums of whole parts and millionths; the plain mean beyond their range."""
+    whole = F.floor(column)
+    millionths = F.floor((F.col(column) - whole) * 1_000_000 + 0.5)
+    total = F.try_sum(whole).cast("decimal(38,6)") + F.sum(millionths).cast("decimal(38,6)") / 1_000_000
+    exact = total.cast("double") / F.count("*")
+    return F.when(F.max(F.abs(column)) < 2.0**62, exact).otherwise(F.avg(column))
+
+
 def _running(column: str, window: WindowSpec) -> Column:
     """Sum of ``column`` over the rows before this one."""
     earlier = window.rowsBetween(Window.unboundedPreceding, -1)

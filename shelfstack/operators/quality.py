@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfstack.functions.values import money, number
+from shelfstack.functions.values import cents, dollars, number, total_of
 from shelfstack.operators.columns import internal_columns
 from shelfstack.operators.profile import value_counts
 from shelfstack.settings import AMOUNT_TOLERANCE, NON_REVENUE_STATUSES, OUTGOING_MOVEMENTS
@@ -93,20 +93,19 @@ def unexpected_values(df: DataFrame, column: str, allowed: Iterable[object]) ->
 
 def revenue_reconciliation(daily_revenue: DataFrame, orders: DataFrame) -> DataFrame:
     """One row: revenue of the daily table against that of the orders it was made from."""
-    reported = daily_revenue.select(
-        money(F.col("total_revenue")).alias("reported"), F.lit(None).cast("decimal(18,2)").alias("expected")
-    )
+    reported = daily_revenue.select(F.col("total_revenue").alias("reported"))
     expected = orders.filter(~F.col("status").isin(*NON_REVENUE_STATUSES)).select(
-        F.lit(None).cast("decimal(18,2)").alias("reported"), money(F.col("total_usd")).alias("expected")
+        cents(F.col("total_usd")).alias("expected")
     )
     return (
-        reported.unionByName(expected)
-        .agg(F.sum("reported").alias("reported"), F.sum("expected").alias("expected"))
-        .select(
-            F.col("reported").cast("double").alias("reported_revenue"),
-            F.col("expected").cast("double").alias("expected_revenue"),
-            F.coalesce(F.abs(F.col("reported") - F.col("expected")) <= AMOUNT_TOLERANCE, F.lit(False)).alias("matches"),
+        reported.unionByName(expected, allowMissingColumns=True)
+        .agg(
+            total_of(F.col("reported")).alias("reported_revenue"),
+            dollars(F.sum("expected")).alias("expected_revenue"),
         )
+        .withColumn("matches", F.coalesce(
+            F.abs(F.col("reported_revenue") - F.col("expected_revenue")) <= AMOUNT_TOLERANCE, F.lit(False)
+        ))
     )
 
 

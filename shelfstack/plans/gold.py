@@ -2,7 +2,7 @@
 
 Facts are collapsed per key before they meet another table. A key with a large share of all rows
 is then a few rows per task in the shuffle, and no join multiplies rows. Amounts are summed as
-decimals, so results do not depend on how the rows are split. Keys need not be unique: where
+whole cents, so results do not depend on how the rows are split. Keys need not be unique: where
 plain SQL joins would repeat rows, the number of repeats is carried along and multiplied in.
 """
 
@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfstack.functions.values import money, whole_days
+from shelfstack.functions.values import cents, dollars, total_of, whole_days
 from shelfstack.operators.joins import lookup
 from shelfstack.operators.ranking import ascending, descending
 from shelfstack.settings import EMAIL_EVENTS, FUNNEL_STEPS, NON_REVENUE_STATUSES
@@ -22,12 +22,13 @@ def revenue_orders(orders: DataFrame) -> DataFrame:
     return orders.filter(~F.col("status").isin(*NON_REVENUE_STATUSES))
 
 
-def _double(col: Column) -> Column:
-    return col.cast("double")
+def _per(part: Column, whole: str) -> Column:
+    """``part`` divided by ``whole``, NULL for 0."""
+    return part.cast("double") / F.nullif(F.col(whole).cast("double"), F.lit(0.0))
 
 
 def _share(part: str, whole: str) -> Column:
-    return _double(F.col(part)) / F.nullif(_double(F.col(whole)), F.lit(0.0))
+    return _per(F.col(part), whole)
 
 
 def daily_revenue(orders: DataFrame, lines: DataFrame, exact: bool = False, ordered: bool = True) -> DataFrame:
@@ -41,8 +42,8 @@ def daily_revenue(orders: DataFrame, lines: DataFrame, exact: bool = False, orde
         .groupBy("order_id", F.to_date("order_date").alias("order_date"))
         .agg(
             F.count("*").alias("order_rows"),
-            F.sum(money(F.col("total_usd"))).alias("total"),
-            F.count("total_usd").alias("priced_rows"),
+            F.sum(cents(F.col("total_usd"))).alias("total"),
+            F.count(cents(F.col("total_usd"))).alias("priced_rows"),
         )
     )
     per_line_order = lines.groupBy("order_id").agg(
@@ -61,8 +62,8 @@ def daily_revenue(orders: DataFrame, lines: DataFrame, exact: bool = False, orde
         .select(
             "order_date",
             "total_orders",
-            _double(F.col("revenue")).alias("total_revenue"),
-            _share("revenue", "priced_rows").alias("avg_order_value"),
+            dollars(F.col("revenue")).alias("total_revenue"),
+            _per(dollars(F.col("revenue")), "priced_rows").alias("avg_order_value"),
             "total_items",
         )
     )
@@ -83,9 +84,9 @@ def product_performance(
     sold = revenue_orders(orders).groupBy("order_id").agg(F.count("*").alias("order_rows"))
     per_pair = lines.groupBy("order_id", "product_id").agg(
         F.sum("quantity").alias("quantity"),
-        F.sum(money(F.col("line_total_usd"))).alias("revenue"),
-        F.sum(money(F.col("unit_price_usd"))).alias("prices"),
-        F.count("unit_price_usd").alias("priced_rows"),
+        F.sum(cents(F.col("line_total_usd"))).alias("revenue"),
+        F.sum(cents(F.col("unit_price_usd"))).alias("prices"),
+        F.count(cents(F.col("unit_price_usd"))).alias("priced_rows"),
     )
     repeated = F.col("order_rows")
     sales = (
@@ -108,9 +109,9 @@ def product_performance(
         "brand",
         "category",
         (F.col("quantity") * F.col("product_rows")).alias("total_quantity_sold"),
-        _double(F.col("revenue") * F.col("product_rows")).alias("total_revenue"),
+        dollars(F.col("revenue") * F.col("product_rows")).alias("total_revenue"),
         "num_orders",
-        _share("prices", "priced_rows").alias("avg_unit_price"),
+        _per(dollars(F.col("prices")), "priced_rows").alias("avg_unit_price"),
     )
     if product_name:
         table = table.withColumnRenamed("model_name", "product_name")
@@ -124,8 +125,8 @@ def customer_ltv(orders: DataFrame, users: DataFrame, ordered: bool = True) -> D
         .groupBy("user_id")
         .agg(
             F.count_distinct("order_id").alias("total_orders"),
-            F.sum(money(F.col("total_usd"))).alias("spent"),
-            F.count("total_usd").alias("priced_rows"),
+            F.sum(cents(F.col("total_usd"))).alias("spent"),
+            F.count(cents(F.col("total_usd"))).alias("priced_rows"),
             F.min("order_date").alias("first_order_date"),
             F.max("order_date").alias("last_order_date"),
         )
@@ -140,8 +141,8 @@ def customer_ltv(orders: DataFrame, users: DataFrame, ordered: bool = True) -> D
         "last_name",
         "loyalty_tier",
         "total_orders",
-        _double(F.col("spent") * F.col("user_rows")).alias("total_spent"),
-        _share("spent", "priced_rows").alias("avg_order_value"),
+        dollars(F.col("spent") * F.col("user_rows")).alias("total_spent"),
+        _per(dollars(F.col("spent")), "priced_rows").alias("avg_order_value"),
         "first_order_date",
         "last_order_date",
         whole_days(F.col("first_order_date"), F.col("last_order_date")).alias("days_as_customer"),
@@ -193,7 +194,7 @@ def campaign_performance(marketing: DataFrame) -> DataFrame:
 def payment_summary(payments: DataFrame) -> DataFrame:
     """Transactions and net amount per type and status."""
     return payments.groupBy("transaction_type", "status").agg(
-        F.count("*").alias("transactions"), _double(F.sum(money(F.col("amount_usd")))).alias("net_amount")
+        F.count("*").alias("transactions"), dollars(F.sum(cents(F.col("amount_usd")))).alias("net_amount")
     )
 
 
@@ -202,7 +203,7 @@ def brand_category_performance(performance: DataFrame) -> DataFrame:
     return performance.groupBy("brand", "category").agg(
         F.count_distinct("product_id").alias("products_sold"),
         F.sum("total_quantity_sold").alias("total_quantity_sold"),
-        _double(F.sum(F.col("total_revenue").cast("decimal(38,2)"))).alias("total_revenue"),
+        total_of(F.col("total_revenue")).alias("total_revenue"),
     )
 
 

@@ -46,8 +46,20 @@ def test_whole_number(spark, raw, expected):
     assert value(spark, values.whole_number(F.lit(raw))) == expected
 
 
-def test_money_of_nan_is_null(spark):
-    assert value(spark, values.money(F.lit(float("nan")))) is None
+@pytest.mark.parametrize("raw,expected", [
+    (1.15, 115), (-1.15, -115), (0.29, 29), (1234567.89, 123456789), (0.005, 1), (-0.005, -1), (0.0, 0),
+    (None, None), (float("nan"), None), (float("inf"), None), (float("-inf"), None), (1e300, None), (7, 700),
+])
+def test_cents(spark, raw, expected):
+    col = F.lit(raw) if isinstance(raw, int) else F.lit(raw).cast("double")
+    assert value(spark, values.cents(col)) == expected
+
+
+def test_cents_of_every_amount(spark):
+    df = spark.range(-200_000, 200_000).select("id", (F.col("id") / 100).alias("a"), (F.col("id") * 7919 / 100).alias("b"))
+    wrong = (values.cents(F.col("a")) != F.col("id")) | (values.cents(F.col("b")) != F.col("id") * 7919)
+    back = values.dollars(F.col("id")) != F.col("a")
+    assert df.filter(wrong | back).count() == 0
 
 
 def test_whole_days_are_full_days(spark):
