@@ -110,21 +110,18 @@ def numeric_profile(
 
 
 def _exact_quartiles(values: DataFrame, stats: DataFrame, cuts: int, pieces: int) -> DataFrame:
-    # One row per profiled column: safe to broadcast at any data size. The summary travels along,
-    # so that the statistics are computed once.
-    bracket = reduce(Column.__add__, [(F.col("value") > F.col("edges")[i]).cast("int") for i in range(1, cuts + 1)])
-    low, high = F.col("edges")[F.col("bracket")], F.col("edges")[F.col("bracket") + 1]
-    share = F.when(high > low, (F.col("value") - low) / (high - low)).otherwise(0)
-    piece = F.least(F.floor(share * pieces), F.lit(pieces - 1))
+    # One row per profiled column: safe to broadcast at any data size.
+    edges = F.broadcast(stats.select("column_name", "edges"))
+    # The piece is part of the grouping, so it is worked out once per row and then a plain column.
     counted = (
-        values.groupBy("column_name", "value").agg(F.count("*").alias("n"))
-        .join(F.broadcast(stats), "column_name")
-        .withColumn("bracket", bracket)
-        .select("column_name", "summary", "value", "n", (F.col("bracket") * pieces + piece).alias("piece"))
+        values.join(edges, "column_name")
+        .select("column_name", "value", _piece(cuts, pieces).alias("piece"))
+        .groupBy("column_name", "piece", "value").agg(F.count("*").alias("n"))
     )
     filled = (
-        counted.groupBy("column_name", "piece").agg(F.sum("n").alias("rows"), F.first("summary").alias("summary"))
+        counted.groupBy("column_name", "piece").agg(F.sum("n").alias("rows"))
         .withColumn("before", _running("rows", Window.partitionBy("column_name").orderBy("piece")))
+        .join(F.broadcast(stats.select("column_name", "summary", "edges")), "column_name")
     )
     last = F.col("summary.count") - 1
     lows = {name: F.floor(last * p) for name, p in QUARTILES.items()}
@@ -133,7 +130,7 @@ def _exact_quartiles(values: DataFrame, stats: DataFrame, cuts: int, pieces: int
     for position in (*lows.values(), *highs.values()):
         held = held | ((position >= F.col("before")) & (position < F.col("before") + F.col("rows")))
     # At most two pieces per quartile and column.
-    wanted = F.broadcast(filled.filter(held).select("column_name", "piece", "before"))
+    wanted = F.broadcast(filled.filter(held).select("column_name", "piece", "before", "summary"))
     ranked = counted.join(wanted, ["column_name", "piece"]).withColumn(
         "start", F.col("before") + _running("n", Window.partitionBy("column_name", "piece").orderBy("value"))
     )
@@ -156,6 +153,21 @@ def _exact_quartiles(values: DataFrame, stats: DataFrame, cuts: int, pieces: int
     return found.select("column_name", "summary", *[between(name, p) for name, p in QUARTILES.items()])
 
 
+def _piece(cuts: int, pieces: int) -> Column:
+    """Number of the piece that holds ``value``; it never falls as the value rises."""
+    value, edge = F.col("value"), [F.col("edges")[i] for i in range(cuts + 2)]
+
+    def within(i: int) -> Column:
+        width = F.nullif(edge[i + 1] - edge[i], F.lit(0.0))
+        share = F.floor((value - edge[i]) / width * pieces)
+        return F.least(F.coalesce(share, F.lit(0)), F.lit(pieces - 1)) + i * pieces
+
+    number = F.when(value <= edge[1], within(0))
+    for i in range(1, cuts):
+        number = number.when(value <= edge[i + 1], within(i))
+    return number.otherwise(within(cuts))
+
+
 def _mean(column: str) -> Column:
     """The mean from exact sums of whole parts and millionths; the plain mean beyond their range."""
     whole = F.floor(column)
