@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from shelfstack.llm import mixing, sql
+from shelfstack.llm import language, mixing, sql
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {"op5_mixing": sql.MIXING}
@@ -25,3 +26,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mix = mixing.mixture(table(spark, sf_dir, "documents"))
     return mix.select("doc_id", "size", "source_size", "target", "taken", "copies")
+
+
+@query
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    out = language.held_out(F.col("doc_id"), 3, 1)
+    model = language.fit(docs.where(~out))
+    return language.identify(docs.select("doc_id", "text", out.alias("held_out")), model, "doc_id", "held_out")

