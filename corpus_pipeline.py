@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from shelfstack.llm import mixing
-from shelfstack.llm.storage import stored
+from shelfstack.llm.storage import importable, stored
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -27,6 +27,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; each stage is written to the shared folder and read again."""
+    importable(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for number, (_, stage) in enumerate(STAGES):
         docs = stored(stage(spark, docs, sf_dir), f"stage{number}")

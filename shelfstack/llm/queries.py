@@ -7,15 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfstack.llm import language, mixing, sql
+from shelfstack.llm import jaccard, language, mixing, sql
+from shelfstack.llm.storage import importable
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {"op5_mixing": sql.MIXING}
 
 
 def query(build: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    QUERIES[build.__name__] = build
-    return build
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        importable(spark)
+        return build(spark, sf_dir)
+
+    QUERIES[build.__name__] = run
+    return run
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,3 +39,8 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = language.held_out(F.col("doc_id"), 3, 1)
     model = language.fit(docs.where(~out))
     return language.identify(docs.select("doc_id", "text", out.alias("held_out")), model, "doc_id", "held_out")
+
+
+@query
+def op3_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents"), n=4, percent=85)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -31,3 +32,8 @@ def stored(df: DataFrame, label: str, *partition_by: str) -> DataFrame:
 def shuffle_width(spark: SparkSession) -> int:
     """How many buckets packed rows are dealt over: the session's shuffle partitions."""
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+def importable(spark: SparkSession) -> None:
+    """Lets Python workers import the library from where the driver has it, unless a path is set for them."""
+    spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
