@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfstack.llm import jaccard, language, mixing, sql
+from shelfstack.llm import jaccard, language, mixing, sql, suffixes
 from shelfstack.llm.storage import importable
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -44,3 +44,8 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op3_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(table(spark, sf_dir, "documents"), n=4, percent=85)
+
+
+@query
+def op9_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.deduplicated(table(spark, sf_dir, "documents"), "doc_id")
