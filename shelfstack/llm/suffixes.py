@@ -358,7 +358,9 @@ def deduplicated(docs: DataFrame, *keep: str, with_text: bool = False) -> DataFr
     # Whole copies of a text with a smaller id go entirely, and need no places of their own.
     hashed = texts.select("doc_id", F.xxhash64("text").alias("h"), F.xxhash64(F.lit(1), "text").alias("g"), F.octet_length("text").alias("n"))
     firsts = hashed.groupBy("h", "g", "n").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high")
-    copies = materialised(hashed.join(firsts, ["h", "g", "n"]).where("doc_id > low").groupBy("doc_id").agg(F.collect_set("h").alias("copied")))
+    judged = hashed.join(firsts, ["h", "g", "n"], "left").groupBy("doc_id").agg(
+        F.every(F.coalesce(F.col("doc_id") > F.col("low"), F.lit(False))).alias("copy"), F.collect_set("h").alias("copied"))
+    copies = materialised(judged.where("copy").select("doc_id", "copied"))
 
     repeated = texts.mapInArrow(_anchor_postings(buckets), "bucket int, blob binary").groupBy("bucket") \
         .applyInPandas(_repeated, "doc_id long, anchors binary")
