@@ -7,9 +7,10 @@ class; groups that share a prefix shingle and pass the size and position filters
 pairs, which are expanded to classes and verified on whole sets.
 
 A shingle shared by many groups is not expanded into all pairs at once. Round one compares everyone on
-its list with the list's most copied group. Round two takes the lists whose members are then still in
-different components, and compares all their members that are in different ones. Every link between two
-components of round one is therefore compared, and components come out exact.
+its list with the list's most copied group. Round two compares the other pairs of a list, as far as their
+documents are still in different components. Every link between two components of round one is
+therefore compared, and components come out exact. Before whole sets are fetched, 1024-bit maps of the
+sets bound their overlap: every bit in which two maps differ is a shingle that the sets do not share.
 """
 
 from __future__ import annotations
@@ -24,10 +25,12 @@ from pyspark.sql import functions as F
 
 from shelfstack.llm.components import components
 from shelfstack.llm.storage import materialised, shuffle_width, stored
-from shelfstack.llm.texts import blocks, mix, shingles, word_hashes
+from shelfstack.llm.texts import blocks, mix, shingles, utf8, word_hashes
 
 COUNT_BITS = 18  # the count table has 2**18 entries, whatever the corpus
 _SLICES = 64
+MAP_BITS = 1024
+SHORT_LIST = 64  # up to this many groups, a list's pairs are formed where it lies; longer ones after round one
 POSTING = np.dtype([("token", "u8"), ("group", "u8"), ("n", "u4"), ("at", "u4"), ("docs", "u4")])
 
 
@@ -103,7 +106,10 @@ def _prefixes(docs: DataFrame, n: int, percent: int, counts: np.ndarray) -> Data
             np.add.at(head, row[front], mix(token[front]))
             group = mix(head ^ mix(size.astype(np.uint64)))
             keys = mix(whole + size.astype(np.uint64))
-            yield _rows(0, batch.column("doc_id"), size, group, keys, None, None)
+            bits = np.zeros((rows, MAP_BITS), bool)
+            bits[row, (token % np.uint64(MAP_BITS)).astype(np.int64)] = True
+            maps = [m.tobytes() for m in np.packbits(bits, axis=1)]
+            yield _rows(0, batch.column("doc_id"), size, group, keys, None, maps)
             kept = np.zeros(front.sum(), POSTING)
             kept["token"], kept["group"] = token[front], group[row[front]]
             kept["n"], kept["at"], kept["docs"] = size[row[front]], place[front], 1
@@ -150,39 +156,54 @@ def _postings(parts: list[np.ndarray], buckets: int) -> pa.RecordBatch:
     return _rows(1, None, None, None, None, bucket[first], blobs)
 
 
+def _alike(one: np.ndarray, two: np.ndarray, percent: int) -> np.ndarray:
+    """Whether sizes, and the places of a common shingle, leave room for enough overlap."""
+    n, m = one["n"].astype(np.int64), two["n"].astype(np.int64)
+    room = np.minimum(n - one["at"], m - two["at"])
+    return (100 * np.minimum(n, m) >= percent * np.maximum(n, m)) & (room * (100 + percent) >= percent * (n + m))
+
+
+def _distinct_pairs(a: list[np.ndarray], b: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    one, two = np.concatenate(a), np.concatenate(b)
+    one, two = np.minimum(one, two), np.maximum(one, two)
+    order = np.lexsort((two, one))
+    one, two = one[order], two[order]
+    new = np.r_[True, (one[1:] != one[:-1]) | (two[1:] != two[:-1])][: len(one)]
+    return one[new], two[new]
+
+
 def _lists(percent: int):
-    """For one bucket: hub pairs (``list`` null), and the members of lists of three groups and more."""
+    """For one bucket: ``kind`` 0 pairs with hubs, 1 other pairs of short lists, 2 members ``b`` of long list ``a``."""
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
         every = _merged([_unpack(b) for b in group["blob"]])
         token = every["token"]
         first = np.flatnonzero(np.r_[True, token[1:] != token[:-1]])
-        count = np.diff(np.r_[first, len(token)])
-        every, count, number = _several(every, count)
-        if not len(every):
-            return pd.DataFrame({"list": pd.array([], "Int64"), "a": np.zeros(0, np.int64), "b": np.zeros(0, np.int64)})
+        every, count, number = _several(every, np.diff(np.r_[first, len(token)]))
         first = np.cumsum(count) - count
-        # The hub of a list is its most copied group.
-        order = np.lexsort((every["group"], -every["docs"].astype(np.int64), number))
-        every = every[order]
-        hub, other = every[np.repeat(first, count)], every
-        n, m = hub["n"].astype(np.int64), other["n"].astype(np.int64)
-        rest = 1 + np.minimum(n - hub["at"] - 1, m - other["at"] - 1)
-        alike = (100 * np.minimum(n, m) >= percent * np.maximum(n, m)) & (rest * (100 + percent) >= percent * (n + m))
-        alike &= hub["group"] != other["group"]
-        pairs = np.unique(np.stack([hub["group"][alike], other["group"][alike]], 1), axis=0)
-        several = np.repeat(count >= 3, count)
-        members, lists = every["group"][several], np.repeat(every["token"][first], count)[several]
-        # The same members under several tokens are one list.
-        owner = np.repeat(np.arange(len(count)), count)[several]
-        key = np.zeros(len(count), np.uint64)
-        np.add.at(key, owner, mix(members))
-        _, keep = np.unique(key[count >= 3], return_index=True)
-        kept = np.isin(owner, np.flatnonzero(count >= 3)[keep])
+        # The hub of a list, its first member from here on, is its most copied group.
+        every = every[np.lexsort((every["group"], -every["docs"].astype(np.int64), number))]
+        hub = every[np.repeat(first, count)]
+        near = _alike(hub, every, percent) & (np.arange(len(every)) != np.repeat(first, count))
+        hubs = _distinct_pairs([hub["group"][near]], [every["group"][near]])
+        short = every[np.repeat(count <= SHORT_LIST, count)]
+        owner = number[np.repeat(count <= SHORT_LIST, count)]
+        own_first = np.r_[True, owner[1:] != owner[:-1]][: len(owner)]
+        a, b = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)]
+        for step in range(1, SHORT_LIST):
+            at = np.flatnonzero((owner[:-step] == owner[step:]) & ~own_first[:-step]) if step < len(owner) else []
+            if not len(at):
+                break
+            at = at[_alike(short[at], short[at + step], percent)]
+            a.append(short["group"][at])
+            b.append(short["group"][at + step])
+        others = _distinct_pairs(a, b)
+        long = np.repeat(count > SHORT_LIST, count)
+        members = (every["token"][long], every["group"][long])
+        kind = np.repeat(np.arange(3, dtype=np.int32), [len(hubs[0]), len(others[0]), len(members[0])])
         return pd.DataFrame({
-            "list": pd.array([None] * len(pairs) + lists[kept].view(np.int64).tolist(), "Int64"),
-            "a": np.r_[pairs[:, 0], members[kept]].astype(np.uint64).view(np.int64),
-            "b": np.r_[pairs[:, 1], members[kept]].astype(np.uint64).view(np.int64)})
+            "kind": kind, "a": np.concatenate((hubs[0], others[0], members[0])).view(np.int64),
+            "b": np.concatenate((hubs[1], others[1], members[1])).view(np.int64)})
 
     return run
 
@@ -194,8 +215,26 @@ def _several(every: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return every[keep], count, np.repeat(np.arange(len(count)), count)
 
 
-def _verified(docs: DataFrame, pairs: DataFrame, n: int, percent: int) -> DataFrame:
+def _possible(classes: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose bit maps leave room for enough overlap."""
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            one, two = (utf8(batch.column(c))[0].reshape(batch.num_rows, -1) for c in ("x", "y"))
+            apart = np.bitwise_count(one ^ two).sum(1, dtype=np.int64)
+            sizes = batch.column("n").to_numpy() + batch.column("m").to_numpy()
+            yield batch.select(["a", "b"]).filter(pa.array((sizes - apart) * (100 + percent) >= 2 * percent * sizes))
+
+    one = classes.select(F.col("rep").alias("a"), F.col("n").alias("n"), F.col("map").alias("x"))
+    two = classes.select(F.col("rep").alias("b"), F.col("n").alias("m"), F.col("map").alias("y"))
+    return pairs.join(one, "a").join(two, "b").select("a", "b", "n", "m", "x", "y").mapInArrow(compare, "a long, b long")
+
+
+def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, n: int, percent: int) -> DataFrame:
     """The pairs of documents (``a``, ``b``) whose whole sets are alike enough."""
+    pairs = materialised(_possible(classes, pairs, percent))
     wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -238,33 +277,31 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFr
     prepared = stored(_prefixes(docs, n, percent, shingle_counts(docs, n)), "prefixes", "kind")
     keyed = prepared.where("kind = 0").select("doc_id", "n", "group_key", "set_key")
     classes = materialised(
-        keyed.where("n > 0 AND doc_id IS NOT NULL").groupBy("group_key", "set_key", "n")
-        .agg(F.min("doc_id").alias("rep"), F.count("*").alias("docs")))
+        prepared.where("kind = 0 AND n > 0 AND doc_id IS NOT NULL").groupBy("group_key", "set_key", "n")
+        .agg(F.min("doc_id").alias("rep"), F.count("*").alias("docs"), F.first("blob").alias("map")))
     lists = materialised(
-        prepared.where("kind = 1").select("bucket", "blob").groupBy("bucket").applyInPandas(_lists(percent), "list long, a long, b long"))
-    group_pairs = lists.where("list IS NULL").select(*_ordered(F.col("a"), F.col("b"))).distinct()
+        prepared.where("kind = 1").select("bucket", "blob").groupBy("bucket").applyInPandas(_lists(percent), "kind int, a long, b long"))
+    hub_pairs = lists.where("kind = 0").select("a", "b").distinct()
+    other_pairs = lists.where("kind = 1").select("a", "b").distinct()
 
     # Round one: the most copied class of a group against the group's others, and those of hub pairs.
     best = classes.groupBy("group_key").agg(
         F.max_by("rep", F.struct("docs", "rep")).alias("hub"), F.count("*").alias("classes"))
     inside = classes.join(best.where("classes > 1"), "group_key").where("rep <> hub").select(*_ordered(F.col("hub"), F.col("rep")))
     one, two = best.select(F.col("group_key").alias("a"), F.col("hub").alias("x")), best.select(F.col("group_key").alias("b"), F.col("hub").alias("y"))
-    across = group_pairs.join(one, "a").join(two, "b").select(*_ordered(F.col("x"), F.col("y")))
+    across = hub_pairs.join(one, "a").join(two, "b").select(*_ordered(F.col("x"), F.col("y")))
     tested = materialised(inside.union(across).where("a <> b").distinct())
-    links = materialised(_verified(docs, tested, n, percent))
-    found = components(links)
+    links = materialised(_verified(docs, classes, tested, n, percent))
+    placed = classes.join(components(links).withColumnRenamed("id", "rep"), "rep", "left") \
+        .select("group_key", "rep", "n", F.coalesce("component", "rep").alias("component"))
+    placed = materialised(placed)
 
-    # Round two: lists with members in different components.
-    pair_key = F.xxhash64("a", "b")
+    # Round two: what may still link documents of different components.
     members = (
-        lists.where("list IS NOT NULL").select("list", F.col("a").alias("group_key"))
-        .union(group_pairs.select(pair_key.alias("list"), F.explode(F.array("a", "b")).alias("group_key")))
-        .union(best.where("classes > 1").select(F.col("group_key").alias("list"), "group_key")))
-    placed = (
-        members.join(classes.select("group_key", "rep", "n"), "group_key")
-        .join(found.withColumnRenamed("id", "rep"), "rep", "left")
-        .select("list", "rep", "n", F.coalesce("component", "rep").alias("component")))
-    open_lists = placed.groupBy("list").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("list")
+        lists.where("kind = 2").select(F.col("a").alias("list"), F.col("b").alias("group_key"))
+        .union(best.where("classes > 1").select(F.col("group_key").alias("list"), "group_key"))
+        .join(placed, "group_key"))
+    open_lists = members.groupBy("list").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("list")
 
     def cross(group: pd.DataFrame) -> pd.DataFrame:
         group = group.drop_duplicates("rep").sort_values(["n", "rep"])
@@ -278,9 +315,13 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFr
         a, b = np.concatenate(a), np.concatenate(b)
         return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
 
-    again = placed.join(open_lists, "list", "left_semi").groupBy("list").applyInPandas(cross, "a long, b long").distinct()
-    untested = materialised(again.join(tested, ["a", "b"], "left_anti"))
-    all_links = links.union(_verified(docs, untested, n, percent))
+    again = members.join(open_lists, "list", "left_semi").groupBy("list").applyInPandas(cross, "a long, b long")
+    # Pairs of groups stand for the pairs of all their classes.
+    x, y = (placed.select(F.col("group_key").alias(g), F.col("rep").alias(r), F.col("component").alias(c))
+            for g, r, c in (("a", "x", "p"), ("b", "y", "q")))
+    rest = hub_pairs.union(other_pairs).join(x, "a").join(y, "b").where("p <> q").select(*_ordered(F.col("x"), F.col("y")))
+    untested = materialised(again.union(rest).distinct().join(tested, ["a", "b"], "left_anti"))
+    all_links = links.union(_verified(docs, classes, untested, n, percent))
     final = components(all_links).withColumnRenamed("id", "rep")
     owner = classes.join(final, "rep", "left").select(
         "group_key", "set_key", "n", F.coalesce("component", "rep").alias("component"))
