@@ -34,15 +34,25 @@ SEED = 24
 _SPAN = LENGTH - SEED + 1  # anchors to choose from in a window
 _NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
 ANCHOR = np.dtype([("anchor", "u8"), ("doc", "i8")])
-PLACE = np.dtype([("anchor", "u8"), ("unit", "u8"), ("doc", "i8"), ("text", "u8"), ("at", "u4"), ("size", "u1")])
-RANGE = np.dtype([("text", "u8"), ("start", "i8"), ("end", "i8")])
+PLACE = np.dtype([("anchor", "u8"), ("unit", "u8"), ("doc", "i8"), ("text", "u4"), ("at", "u4"), ("size", "u1")])
+RANGE = np.dtype([("text", "u4"), ("start", "i8"), ("end", "i8")])
+
+
+def _squeezed(raw: bytes) -> bytes:
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def _unsqueezed(blob: bytes) -> bytes:
+    return pa.decompress(blob[8:], int.from_bytes(blob[:8], "little"), codec="zstd", asbytes=True)
 
 
 def _pack(records: np.ndarray) -> bytes:
-    return b"".join(np.ascontiguousarray(records[f]).tobytes() for f in records.dtype.names)
+    """Columns one after the other, compressed."""
+    return _squeezed(b"".join(np.ascontiguousarray(records[f]).tobytes() for f in records.dtype.names))
 
 
 def _unpack(blob: bytes, kind: np.dtype) -> np.ndarray:
+    blob = _unsqueezed(blob)
     size, at = len(blob) // kind.itemsize, 0
     out = np.empty(size, kind)
     for f in kind.names:
@@ -85,6 +95,11 @@ def _rows_of(at: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.searchsorted(offsets, at, "right") - 1
 
 
+def _text_keys(spans: SpanHash, offsets: np.ndarray) -> np.ndarray:
+    """Tells apart the texts of rows that share a ``doc_id``."""
+    return (spans(offsets[:-1], offsets[1:]) >> np.uint64(32)).astype(np.uint32)
+
+
 def _anchor_postings(buckets: int):
     """Per bucket, the distinct (anchor, document) pairs of a run of documents, packed."""
 
@@ -150,7 +165,7 @@ def _unit_postings(buckets: int):
             index = np.repeat(start[own] - (np.cumsum(size) - size), size) + np.arange(size.sum())
             out_b.append(bucket[a])
             out_p.append(_pack(every[a:b]))
-            out_t.append(raw[index].tobytes())
+            out_t.append(_squeezed(raw[index].tobytes()))
         return pa.RecordBatch.from_arrays(
             [pa.array(out_b, pa.int32()), pa.array(out_p, pa.binary()), pa.array(out_t, pa.binary())], ["bucket", "places", "texts"])
 
@@ -180,7 +195,7 @@ def _unit_postings(buckets: int):
             found = np.empty(len(at), PLACE)
             found["anchor"], found["unit"] = value[at], spans(low, high + LENGTH)
             found["doc"] = batch.column("doc_id").to_numpy()[row]
-            found["text"] = spans(offsets[:-1], offsets[1:])[row]
+            found["text"] = _text_keys(spans, offsets)[row]
             found["at"], found["size"] = low - offsets[row], high - low + LENGTH
             places.append(found)
             index_size = found["size"].astype(np.int64)
@@ -241,13 +256,14 @@ def _unit_ranges(group: pd.DataFrame) -> pd.DataFrame:
     places = [_unpack(b, PLACE) for b in group["places"]]
     every = np.concatenate(places)
     origin, offset = [], 0
-    for p, t in zip(places, group["texts"]):
+    texts = [_unsqueezed(t) for t in group["texts"]]
+    for p, t in zip(places, texts):
         new = np.r_[True, (p["unit"][1:] != p["unit"][:-1]) | (p["anchor"][1:] != p["anchor"][:-1])]
         first = np.flatnonzero(new)
         size = p["size"][first].astype(np.int64)
         origin.append(np.repeat(offset + np.cumsum(size) - size, np.diff(np.r_[first, len(p)])))
         offset += len(t)
-    raw, origin = np.frombuffer(b"".join(group["texts"]), np.uint8), np.concatenate(origin)
+    raw, origin = np.frombuffer(b"".join(texts), np.uint8), np.concatenate(origin)
     order = np.lexsort((every["unit"], every["anchor"]))
     every, origin = every[order], origin[order]
     anchor_new = np.r_[True, every["anchor"][1:] != every["anchor"][:-1]]
@@ -323,7 +339,7 @@ def _removed(size: int, text: int, blobs: list[bytes] | None, copy: bool) -> np.
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in blocks(batches):
         data, offsets = utf8(batch.column("text"))
-        keys = SpanHash(data)(offsets[:-1], offsets[1:])
+        keys = _text_keys(SpanHash(data), offsets)
         blobs, copies = batch.column("ranges").to_pylist(), batch.column("copy").to_pylist()
         kept, removed, spans, sha = [], [], [], []
         for i in range(batch.num_rows):
@@ -366,13 +382,16 @@ def deduplicated(docs: DataFrame, *keep: str, with_text: bool = False) -> DataFr
         .applyInPandas(_repeated, "doc_id long, anchors binary")
     wanted = materialised(repeated.join(copies, "doc_id", "left_anti").groupBy("doc_id").agg(F.collect_list("anchors").alias("anchors")))
 
-    units = plain.join(wanted, "doc_id").select("doc_id", "text", "anchors") \
+    # Both joins read the same columns of the same rows, so that one shuffle of the documents serves both.
+    numbered = plain.where("doc_id IS NOT NULL")
+    units = numbered.join(wanted, "doc_id").select("doc_id", "text", "row", "anchors") \
         .mapInArrow(_unit_postings(buckets), "bucket int, places binary, texts binary")
     ranges = units.groupBy("bucket").applyInPandas(_unit_ranges, "doc_id long, ranges binary") \
         .groupBy("doc_id").agg(F.collect_list("ranges").alias("ranges"))
-    found = plain.join(ranges.join(copies, "doc_id", "full"), "doc_id", "left")
+    found = numbered.join(ranges.join(copies, "doc_id", "full"), "doc_id", "left")
     copy = F.coalesce(F.array_contains("copied", F.xxhash64("text")), F.lit(False))
+    apart = plain.where("doc_id IS NULL").select("row", "text", F.lit(None).cast("array<binary>").alias("ranges"), F.lit(False).alias("copy"))
     kind = docs.select(F.struct(*(keep or ("doc_id",))).alias("row")).schema["row"].dataType.simpleString()
-    cut = found.select("row", "text", "ranges", copy.alias("copy")).mapInArrow(
+    cut = found.select("row", "text", "ranges", copy.alias("copy")).union(apart).mapInArrow(
         _cut, f"row {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
     return cut.select("row.*", "n_bytes", "n_removed", "n_spans", "kept_sha256", *(["kept"] if with_text else []))
