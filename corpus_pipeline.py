@@ -5,20 +5,61 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from shelfstack.llm import mixing
+from shelfstack.llm import jaccard, language, mixing, pieces, suffixes
 from shelfstack.llm.storage import importable, stored
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents whose language can't be told: no letters, or far from every centroid.
+
+    The centroids learn from the documents' own labels. Documents without ``doc_id`` are judged like others.
+    """
+    model = language.fit(docs.select("doc_id", "text", "lang"))
+    return language.identify(docs, model).where(~F.col("rejected")).select(*docs.columns)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the smallest ``doc_id`` of each component of near copies: five-word shingles, Jaccard 0.8 or more.
+
+    Of rows that repeat one ``doc_id`` with equal size all stay or all go; a null ``doc_id`` stays.
+    """
+    found = jaccard.jaccard_components(docs, n=5, percent=80)
+    dropped = found.where("component_id < doc_id").select("doc_id").distinct()
+    return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+
+
+def cut_repeated_spans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Removes byte strings that start in a document with a smaller id as well; documents left empty go.
+
+    What a cut leaves of a split character goes too. ``n_chars`` follows the text. A null or
+    empty text stays as it is.
+    """
+    cut = suffixes.deduplicated(docs, *docs.columns, with_text=True)
+    text = F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("text"))
+    left = cut.withColumn("text", text).where("n_removed < n_bytes OR n_bytes = 0")
+    return left.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents repeated to their sources' target weights."""
     return mixing.mixed(docs)
 
 
+def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Piece ids of every document."""
+    return pieces.encoded(docs, "doc_id", "lang", "source")
+
+
 STAGES: list[tuple[str, Stage]] = [
+    ("language ID", identify_language),
+    ("n-gram Jaccard join", drop_near_copies),
+    ("suffix-array dedup", cut_repeated_spans),
     ("mixing sources to target weights", mix_sources),
+    ("SentencePiece encoding and decoding", encode_pieces),
 ]
 
 # Near duplicates, byte spans and piece encoding are beyond SQL; the tests hold each stage against brute force.

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfstack.llm import jaccard, language, mixing, sql, suffixes
+from shelfstack.llm import jaccard, language, mixing, pieces, sql, suffixes
 from shelfstack.llm.storage import importable
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -49,3 +49,8 @@ def op3_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.deduplicated(table(spark, sf_dir, "documents"), "doc_id")
+
+
+@query
+def op8_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encoded(table(spark, sf_dir, "documents"), "doc_id")

@@ -353,7 +353,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sha.append(hashlib.sha256(rest).hexdigest())
         yield pa.RecordBatch.from_arrays(
             [batch.column("row"), pa.array(np.diff(offsets)), pa.array(removed, pa.int64()), pa.array(spans, pa.int64()),
-             pa.array(sha), pa.array(kept, pa.binary())],
+             pa.array(sha), pa.array([k.decode("utf-8", "ignore") for k in kept], pa.string())],
             ["row", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
 
 
@@ -363,7 +363,7 @@ def deduplicated(docs: DataFrame, *keep: str, with_text: bool = False) -> DataFr
     Every byte covered by a ``LENGTH``-byte string that also starts in a row with a smaller ``doc_id`` is
     removed; overlaps count, strings are judged on the input, and none crosses rows. Null and empty texts
     have no bytes. Rows of one ``doc_id`` do not remove from each other, and a null ``doc_id`` takes no part.
-    ``with_text`` adds ``kept`` (binary: a cut may split a character). Texts are read whole; an empty table
+    ``with_text`` adds the text ``kept``, without bytes of characters that a cut split. Texts are read whole; an empty table
     gives no rows; other columns are carried only if named.
     """
     spark = docs.sparkSession
@@ -393,5 +393,5 @@ def deduplicated(docs: DataFrame, *keep: str, with_text: bool = False) -> DataFr
     apart = plain.where("doc_id IS NULL").select("row", "text", F.lit(None).cast("array<binary>").alias("ranges"), F.lit(False).alias("copy"))
     kind = docs.select(F.struct(*(keep or ("doc_id",))).alias("row")).schema["row"].dataType.simpleString()
     cut = found.select("row", "text", "ranges", copy.alias("copy")).union(apart).mapInArrow(
-        _cut, f"row {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
+        _cut, f"row {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept string")
     return cut.select("row.*", "n_bytes", "n_removed", "n_spans", "kept_sha256", *(["kept"] if with_text else []))
