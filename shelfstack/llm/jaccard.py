@@ -215,6 +215,12 @@ def _several(every: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return every[keep], count, np.repeat(np.arange(len(count)), count)
 
 
+def _room(one: np.ndarray, two: np.ndarray, sizes: np.ndarray, percent: int) -> np.ndarray:
+    """Whether bit maps leave room for enough overlap of sets with these summed sizes."""
+    apart = np.bitwise_count(one ^ two).sum(1, dtype=np.int64)
+    return (sizes - apart) * (100 + percent) >= 2 * percent * sizes
+
+
 def _possible(classes: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     """The pairs whose bit maps leave room for enough overlap."""
 
@@ -223,9 +229,8 @@ def _possible(classes: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
             if batch.num_rows == 0:
                 continue
             one, two = (utf8(batch.column(c))[0].reshape(batch.num_rows, -1) for c in ("x", "y"))
-            apart = np.bitwise_count(one ^ two).sum(1, dtype=np.int64)
             sizes = batch.column("n").to_numpy() + batch.column("m").to_numpy()
-            yield batch.select(["a", "b"]).filter(pa.array((sizes - apart) * (100 + percent) >= 2 * percent * sizes))
+            yield batch.select(["a", "b"]).filter(pa.array(_room(one, two, sizes, percent)))
 
     one = classes.select(F.col("rep").alias("a"), F.col("n").alias("n"), F.col("map").alias("x"))
     two = classes.select(F.col("rep").alias("b"), F.col("n").alias("m"), F.col("map").alias("y"))
@@ -293,7 +298,7 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFr
     tested = materialised(inside.union(across).where("a <> b").distinct())
     links = materialised(_verified(docs, classes, tested, n, percent))
     placed = classes.join(components(links).withColumnRenamed("id", "rep"), "rep", "left") \
-        .select("group_key", "rep", "n", F.coalesce("component", "rep").alias("component"))
+        .select("group_key", "rep", "n", "map", F.coalesce("component", "rep").alias("component"))
     placed = materialised(placed)
 
     # Round two: what may still link documents of different components.
@@ -306,10 +311,12 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFr
     def cross(group: pd.DataFrame) -> pd.DataFrame:
         group = group.drop_duplicates("rep").sort_values(["n", "rep"])
         rep, size, own = (group[c].to_numpy() for c in ("rep", "n", "component"))
+        maps = np.frombuffer(b"".join(group["map"]), np.uint64).reshape(len(rep), -1)
         a, b = [], []
         for i in range(len(rep)):  # partners are the next larger sets, up to the size limit
             last = np.searchsorted(size, size[i] * 100 // percent, "right")
             near = np.arange(i + 1, last)[own[i + 1 : last] != own[i]]
+            near = near[_room(maps[i], maps[near], size[i] + size[near], percent)]
             a.append(np.full(len(near), rep[i]))
             b.append(rep[near])
         a, b = np.concatenate(a), np.concatenate(b)
