@@ -7,11 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfstack.llm import jaccard, language, mixing, pieces, sql, suffixes
+from shelfstack.llm import jaccard, language, mixing, pieces, sql, suffixes, urls
 from shelfstack.llm.storage import importable
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {"op5_mixing": sql.MIXING}
+ORACLE: dict[str, str] = {"op5_mixing": sql.MIXING, "op7_urls": sql.URLS}
+
+URL_RULES = [
+    ("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"), ("net", "/fr/", "block"),
+]
 
 
 def query(build: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -54,3 +59,8 @@ def op9_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encoded(table(spark, sf_dir, "documents"), "doc_id")
+
+
+@query
+def op7_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judged(table(spark, sf_dir, "pages"), URL_RULES, "page_id")

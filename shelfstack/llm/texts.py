@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-BLOCK_BYTES = 2 << 20  # rows are cut into blocks of about this much text; a longer text is a block by itself
+BLOCK_BYTES = 1 << 20  # rows are cut into blocks of about this much text; a longer text is a block by itself
 U64 = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
 SPACE = np.zeros(256, bool)
