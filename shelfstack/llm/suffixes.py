@@ -130,18 +130,32 @@ def _anchor_postings(buckets: int):
     return run
 
 
-def _repeated(group: pd.DataFrame) -> pd.DataFrame:
-    """Of one bucket: each document's anchors that other documents have too, packed."""
+def _repeated(buckets: int):
+    """Of one bucket of anchors: those that several documents have, packed by bucket of documents."""
+
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        every = np.concatenate([_unpack(b, ANCHOR) for b in group["blob"]])
+        every = every[np.argsort(every["anchor"], kind="stable")]
+        first = np.flatnonzero(np.r_[True, every["anchor"][1:] != every["anchor"][:-1]])
+        size = np.diff(np.r_[first, len(every)])
+        several = np.minimum.reduceat(every["doc"], first) != np.maximum.reduceat(every["doc"], first)
+        every = every[np.repeat(several, size)]
+        bucket = mix(every["doc"].view(np.uint64)) % np.uint64(buckets)
+        order = np.lexsort((every["doc"], bucket))
+        every, bucket = every[order], bucket[order]
+        first = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]][: len(every)])
+        parts = np.split(every, first[1:]) if len(every) else []
+        return pd.DataFrame({"bucket": bucket[first].astype(np.int32), "blob": [_pack(p) for p in parts]})
+
+    return run
+
+
+def _by_document(group: pd.DataFrame) -> pd.DataFrame:
+    """Of one bucket of documents: each document's repeated anchors."""
     every = np.concatenate([_unpack(b, ANCHOR) for b in group["blob"]])
-    every = every[np.argsort(every["anchor"], kind="stable")]
-    first = np.flatnonzero(np.r_[True, every["anchor"][1:] != every["anchor"][:-1]])
-    size = np.diff(np.r_[first, len(every)])
-    several = np.minimum.reduceat(every["doc"], first) != np.maximum.reduceat(every["doc"], first)
-    every = every[np.repeat(several, size)]
     every = every[np.argsort(every["doc"], kind="stable")]
-    first = np.flatnonzero(np.r_[True, every["doc"][1:] != every["doc"][:-1]]) if len(every) else np.zeros(0, np.int64)
-    parts = np.split(every["anchor"], first[1:]) if len(every) else []
-    return pd.DataFrame({"doc_id": every["doc"][first], "anchors": [p.tobytes() for p in parts]})
+    first = np.flatnonzero(np.r_[True, every["doc"][1:] != every["doc"][:-1]])
+    return pd.DataFrame({"doc_id": every["doc"][first], "anchors": [p.tobytes() for p in np.split(every["anchor"], first[1:])]})
 
 
 def _unit_postings(buckets: int):
@@ -176,11 +190,8 @@ def _unit_postings(buckets: int):
             at, value, least = anchors(data, offsets)
             row = _rows_of(at, offsets)
             salt = mix(np.arange(batch.num_rows, dtype=np.uint64))
-            lists = batch.column("anchors")
-            wanted, _ = utf8(lists.flatten())
-            per_blob = np.diff(utf8(lists.flatten())[1]) // 8
-            blob_row = np.repeat(np.arange(batch.num_rows), np.diff(lists.offsets.to_numpy()))
-            known = mix(np.frombuffer(wanted.tobytes(), np.uint64) ^ salt[np.repeat(blob_row, per_blob)])
+            wanted, ends = utf8(batch.column("anchors"))
+            known = mix(np.frombuffer(wanted.tobytes(), np.uint64) ^ np.repeat(salt, np.diff(ends) // 8))
             hit = np.isin(mix(value[at] ^ salt[row]), known)
             at, row = at[hit], row[hit]
             if not len(at):
@@ -378,9 +389,10 @@ def deduplicated(docs: DataFrame, *keep: str, with_text: bool = False) -> DataFr
         F.every(F.coalesce(F.col("doc_id") > F.col("low"), F.lit(False))).alias("copy"), F.collect_set("h").alias("copied"))
     copies = materialised(judged.where("copy").select("doc_id", "copied"))
 
-    repeated = texts.mapInArrow(_anchor_postings(buckets), "bucket int, blob binary").groupBy("bucket") \
-        .applyInPandas(_repeated, "doc_id long, anchors binary")
-    wanted = materialised(repeated.join(copies, "doc_id", "left_anti").groupBy("doc_id").agg(F.collect_list("anchors").alias("anchors")))
+    packed = "bucket int, blob binary"
+    repeated = texts.mapInArrow(_anchor_postings(buckets), packed).groupBy("bucket").applyInPandas(_repeated(buckets), packed) \
+        .groupBy("bucket").applyInPandas(_by_document, "doc_id long, anchors binary")
+    wanted = materialised(repeated.join(copies, "doc_id", "left_anti"))
 
     # Both joins read the same columns of the same rows, so that one shuffle of the documents serves both.
     numbered = plain.where("doc_id IS NOT NULL")
