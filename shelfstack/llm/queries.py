@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfstack.llm import jaccard, language, mixing, pieces, sql, suffixes, syncmers, urls
+from shelfstack.llm import jaccard, language, mixing, pieces, sql, suffixes, syncmers, urls, vectors
 from shelfstack.llm.storage import importable
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -69,3 +69,8 @@ def op7_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return syncmers.fingerprinted(table(spark, sf_dir, "documents"))
+
+
+@query
+def op1_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_vectors(table(spark, sf_dir, "embeddings"))

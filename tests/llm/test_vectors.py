@@ -1,0 +1,51 @@
+import numpy as np
+
+from shelfstack.llm import vectors
+
+
+def brute(rows, limit=0.95):
+    good = [(i, np.array(v, float)) for i, v in rows if i is not None and v and None not in v and np.isfinite(v).all() and np.any(np.array(v) != 0)]
+    root = {i: i for i, _ in rows}
+    links = [0] * len(good)
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, (i, x) in enumerate(good):
+        for b, (j, y) in enumerate(good):
+            if a != b and len(x) == len(y) and x @ y / (np.linalg.norm(x) * np.linalg.norm(y)) >= limit:
+                links[a] += 1
+                p, q = find(i), find(j)
+                root[max(p, q)] = min(p, q)
+    count = dict(zip([i for i, _ in good], links))
+    return {i: (count.get(i, 0), find(i) if i is not None else None) for i, _ in rows}
+
+
+def run(spark, rows):
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>").selectExpr("*", "1 AS label", "2 AS rep", "'x' AS links").repartition(3)
+    got = vectors.near_vectors(frame).collect()
+    assert len(got) == len(rows)
+    assert all(r.kept == (r.vec_id is not None and r.vec_id == r.component_id) for r in got)
+    return {r.vec_id: (r.n_links, r.component_id) for r in got}, got
+
+
+def test_agrees_with_brute_force(spark):
+    rng = np.random.default_rng(2)
+    base = rng.normal(size=(600, 16)).astype(np.float32)
+    more = np.concatenate([base[i % 40][None] + rng.normal(scale=s, size=(1, 16)) for i, s in enumerate(rng.choice([0.02, 0.1, 0.3], 500))])
+    every = np.concatenate((base, more, np.repeat(base[:1], 30, 0), 3 * base[1:5])).astype(np.float32)
+    rows = [(int(i), v.tolist()) for i, v in zip(rng.permutation(5000)[: len(every)], every)]
+    rows += [(9001, None), (9002, []), (9003, [0.0] * 16), (9004, [float("nan")] + [1.0] * 15), (9005, [float("inf")] + [1.0] * 15),
+             (9006, [None] + [1.0] * 15), (9007, [1.0, 2.0]), (9008, [2.0, 4.0]), (9009, [1.0] * 15), (None, every[0].tolist())]
+    got, all_rows = run(spark, rows)
+    assert got == brute(rows)
+    assert all_rows[0].audited_recall >= 0.9
+
+
+def test_small_tables(spark):
+    assert run(spark, [])[1] == []
+    assert run(spark, [(3, None)])[0] == {3: (0, 3)}
+    assert run(spark, [(3, [1.0])])[0] == {3: (0, 3)}
+    assert run(spark, [(3, [1.0, 0.0]), (3, [1.0, 0.0]), (2, [1.0, 0.1])])[0] == {3: (2, 2), 2: (2, 2)}
