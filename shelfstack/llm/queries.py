@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfstack.llm import jaccard, katz, language, mixing, pieces, sql, suffixes, syncmers, urls, vectors
+from shelfstack.llm import jaccard, katz, language, mixing, passages, pieces, sql, suffixes, syncmers, urls, vectors
 from shelfstack.llm.storage import importable
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -80,3 +80,8 @@ def op1_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return katz.scored(docs.select("doc_id", "text", language.held_out(F.col("doc_id"), 7, 2).alias("held_out")))
+
+
+@query
+def op2_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.shared_passages(table(spark, sf_dir, "documents"))
