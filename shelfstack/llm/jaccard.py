@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfstack.llm.components import components
-from shelfstack.llm.storage import materialised, shuffle_width, stored
+from shelfstack.llm.storage import materialised, shuffle_width, stored, text_batches
 from shelfstack.llm.texts import blocks, mix, shingles, utf8, word_hashes
 
 COUNT_BITS = 18  # the count table has 2**18 entries, whatever the corpus
@@ -279,6 +279,7 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFr
     ``doc_id`` links with nothing and has a null component. Other columns are not looked at; an empty
     table gives no rows. Texts are read whole, and no pair is left out for the length of a list.
     """
+    text_batches(docs.sparkSession)
     prepared = stored(_prefixes(docs, n, percent, shingle_counts(docs, n)), "prefixes", "kind")
     keyed = prepared.where("kind = 0").select("doc_id", "n", "group_key", "set_key")
     classes = materialised(

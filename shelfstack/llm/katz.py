@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfstack.llm.storage import shuffle_width, stored
+from shelfstack.llm.storage import shuffle_width, stored, text_batches
 from shelfstack.llm.texts import SpanHash, blocks, mix, utf8, words
 
 DISCOUNTED = 5
@@ -312,6 +312,7 @@ def scored(docs: DataFrame) -> DataFrame:
     repeated count as often as they are there. Without training rows every token is unknown and has the whole
     probability, 1. Other columns are not looked at; an empty table gives no rows. Texts are read whole.
     """
+    text_batches(docs.sparkSession)
     spark = docs.sparkSession
     buckets = shuffle_width(spark)
     rows = docs.select("doc_id", F.coalesce("held_out", F.lit(False)).alias("held_out"), F.coalesce("text", F.lit("")).alias("text"))

@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shelfstack.llm.storage import text_batches
 from shelfstack.llm.texts import blocks
 
 BINS = 4096
@@ -118,6 +119,7 @@ def fit(train: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> Model:
     whole texts of each language, chosen by a hash of the row; the vectors of that sample are all that
     reaches the driver. Without any labelled text the model is empty and every text is undetermined.
     """
+    text_batches(train.sparkSession)
     train = train.where("text IS NOT NULL AND lang IS NOT NULL").select("doc_id", "text", "lang")
     frequency = train.select("text").mapInArrow(_document_frequencies, "bin long, n long").groupBy("bin").agg(F.sum("n").alias("n"))
     n = np.zeros(BINS + 1)
@@ -163,6 +165,7 @@ def identify(docs: DataFrame, model: Model, *keep: Column | str) -> DataFrame:
     is ``und`` with score 0 and rejected. Every text is read whole, whatever its length; equal texts get
     equal results; other columns, also of the same names, are not looked at.
     """
+    text_batches(docs.sparkSession)
     source = docs.select(F.struct(*(keep or docs.columns)).alias("kept"), docs["text"].alias("text"))
     kind = source.schema["kept"].dataType
 

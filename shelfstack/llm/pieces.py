@@ -23,6 +23,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfstack.llm.storage import text_batches
 from shelfstack.llm.texts import SpanHash, blocks, mix, utf8
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -400,6 +401,7 @@ def encoded(docs: DataFrame, *keep: str, model: str = MODEL) -> DataFrame:
     equal texts get equal ids; a long word without blanks is one long segment. Other columns do not matter,
     also of the same names.
     """
+    text_batches(docs.sparkSession)
     machine = docs.sparkSession.sparkContext.broadcast(compile_machine(model))
     source = docs.select(F.struct(*(keep or docs.columns)).alias("row"), docs["text"].alias("text"))
 

@@ -7,6 +7,8 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+TEXTS_PER_BATCH = 1000
+
 
 def shared_folder(spark: SparkSession) -> str:
     """``spark.checkpoint.dir``; where it is unset, a folder in the warehouse."""
@@ -29,6 +31,13 @@ def stored(df: DataFrame, label: str, *partition_by: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def text_batches(spark: SparkSession) -> None:
+    """Hands whole texts to Python workers a thousand at a time; Spark's ten thousand would fill their memory."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(name)) > TEXTS_PER_BATCH:
+        spark.conf.set(name, str(TEXTS_PER_BATCH))
+
+
 def shuffle_width(spark: SparkSession) -> int:
     """How many buckets packed rows are dealt over: the session's shuffle partitions."""
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))

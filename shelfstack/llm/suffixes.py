@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfstack.llm.storage import materialised, shuffle_width
+from shelfstack.llm.storage import materialised, shuffle_width, text_batches
 from shelfstack.llm.texts import SpanHash, blocks, mix, utf8
 
 LENGTH = 50
@@ -91,6 +91,20 @@ def anchors(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return np.flatnonzero(highest == value), value, least
 
 
+def _own_windows(at: np.ndarray, value: np.ndarray, least: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First and last start of the windows of which each anchor is the least string: a contiguous run."""
+    low, high = np.empty(len(at), np.int64), np.empty(len(at), np.int64)
+    for a in range(0, len(at), 8192):
+        here = at[a : a + 8192]
+        window = here[:, None] - np.arange(_SPAN - 1, -1, -1)
+        inside = (window >= 0) & (window < len(least))
+        mine = inside & (least[np.clip(window, 0, len(least) - 1)] == value[here][:, None])
+        rows = np.arange(len(here))
+        low[a : a + 8192] = window[rows, mine.argmax(1)]
+        high[a : a + 8192] = window[rows, _SPAN - 1 - mine[:, ::-1].argmax(1)]
+    return low, high
+
+
 def _rows_of(at: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.searchsorted(offsets, at, "right") - 1
 
@@ -196,12 +210,7 @@ def _unit_postings(buckets: int):
             at, row = at[hit], row[hit]
             if not len(at):
                 continue
-            # The windows of which the anchor is the least string: a contiguous run.
-            window = at[:, None] - np.arange(_SPAN - 1, -1, -1)
-            inside = (window >= 0) & (window < len(least))
-            mine = inside & (least[np.clip(window, 0, len(least) - 1)] == value[at][:, None])
-            low = window[np.arange(len(at)), mine.argmax(1)]
-            high = window[np.arange(len(at)), _SPAN - 1 - mine[:, ::-1].argmax(1)]
+            low, high = _own_windows(at, value, least)
             spans = SpanHash(data)
             found = np.empty(len(at), PLACE)
             found["anchor"], found["unit"] = value[at], spans(low, high + LENGTH)
@@ -377,6 +386,7 @@ def deduplicated(docs: DataFrame, *keep: str, with_text: bool = False) -> DataFr
     ``with_text`` adds the text ``kept``, without bytes of characters that a cut split. Texts are read whole; an empty table
     gives no rows; other columns are carried only if named.
     """
+    text_batches(docs.sparkSession)
     spark = docs.sparkSession
     buckets = shuffle_width(spark)
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.struct(*(keep or ("doc_id",))).alias("row"))

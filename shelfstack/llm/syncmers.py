@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfstack.llm.storage import shuffle_width
+from shelfstack.llm.storage import shuffle_width, text_batches
 from shelfstack.llm.texts import SpanHash, blocks, mix, utf8
 
 KMER = 24
@@ -95,28 +95,25 @@ def likeness(one: bytes, two: bytes) -> float:
     return 2.0 * most / (seen + most)
 
 
-def _with_next(docs: DataFrame, keys: DataFrame) -> DataFrame:
-    """Rows of ``docs`` (``key``, ``text``, ``print``; their ``keys`` alone are read for the bounds) with the text and fingerprint of the row that follows by ``key``.
+def _placed(docs: DataFrame) -> DataFrame:
+    """Rows of ``docs`` (``key``) in buckets of consecutive keys, a few for each shuffle partition.
 
-    Rows go to buckets of consecutive keys, a few for each shuffle partition; the first row of a bucket goes
-    to the bucket before as well, and the first of all to the last.
+    The first row of a bucket is put (``late``) into the bucket before as well, and the first of all into the last.
     """
     buckets = 2 * shuffle_width(docs.sparkSession)
+    keys = docs.select("key")
     steps = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
     found = keys.agg(F.percentile_approx("key", steps, F.lit(10 * buckets)).alias("edges")).first()
     edges = sorted(set(found.edges or []))
     bucket = F.size(F.filter(F.array(*map(F.lit, edges)).cast("array<bigint>"), lambda e: e <= F.col("key"))) if edges else F.lit(0)
-    placed = docs.withColumn("bucket", bucket)
     firsts = sorted((r.bucket, r.key) for r in keys.withColumn("bucket", bucket).groupBy("bucket").agg(F.min("key").alias("key")).collect())
+    placed = docs.withColumn("bucket", bucket).withColumn("late", F.lit(0))
+    if not firsts:
+        return placed
     before = {key: firsts[i - 1][0] for i, (_, key) in enumerate(firsts)}
-    late = placed.withColumn("late", F.lit(0))
-    if before:
-        to = F.create_map(*[F.lit(x) for pair in before.items() for x in pair])
-        again = placed.where(F.col("key").isin(list(before))).withColumn("bucket", to[F.col("key")])
-        late = late.unionByName(again.withColumn("late", F.lit(1)))
-    following = Window.partitionBy("bucket").orderBy("late", "key", "text")
-    ahead = late.withColumn("next", F.lead(F.struct("text", "print")).over(following))
-    return ahead.where("late = 0").select("*", F.col("next.text").alias("next_text"), F.col("next.print").alias("next_print")).drop("next", "late", "bucket")
+    to = F.create_map(*[F.lit(x) for pair in before.items() for x in pair])
+    again = docs.where(F.col("key").isin(list(before))).withColumn("bucket", to[F.col("key")]).withColumn("late", F.lit(1))
+    return placed.unionByName(again)
 
 
 def fingerprinted(docs: DataFrame) -> DataFrame:
@@ -128,6 +125,7 @@ def fingerprinted(docs: DataFrame) -> DataFrame:
     Null texts count as empty; an empty text has an empty fingerprint, alike (1.0) only with another empty
     one. Equal texts have equal fingerprints. Other columns are not looked at; texts are read whole.
     """
+    text_batches(docs.sparkSession)
     source = docs.select(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(_FIRST)).alias("key"), "doc_id", F.coalesce("text", F.lit("")).alias("text"))
 
@@ -137,11 +135,13 @@ def fingerprinted(docs: DataFrame) -> DataFrame:
                 [*batch.columns, pa.array(fingerprints(batch.column("text")), pa.binary())], [*batch.schema.names, "print"])
 
     kind = source.schema["doc_id"].dataType.simpleString()
-    marked = source.mapInArrow(mark, f"key long, doc_id {kind}, text string, print binary")
+    marked = _placed(source).mapInArrow(mark, f"key long, doc_id {kind}, text string, bucket int, late int, print binary")
+    following = Window.partitionBy("bucket").orderBy("late", "key", "text")
+    ahead = marked.withColumns({"next_text": F.lead("text").over(following), "next_print": F.lead("print").over(following)})
     n = F.length("text")
     cut = F.floor(n / 4).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), n - cut), F.substring("next_text", F.lit(1), cut))
-    texts = _with_next(marked, source.select("key")).select("doc_id", n.cast("long").alias("n_chars"), edited.alias("edited"), "print", "next_print")
+    texts = ahead.where("late = 0").select("doc_id", n.cast("long").alias("n_chars"), edited.alias("edited"), "print", "next_print")
     hashed = texts.withColumn("edited_sha256", F.sha2(F.col("edited").cast("binary"), 256))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
