@@ -50,7 +50,7 @@ SILVER = {
           o_totalprice AS cart_total_usd, o_orderkey % 12 = 0 AS cart_recovered,
           CASE WHEN o_orderkey % 12 = 0 THEN o_orderkey END AS recovered_order_id,
           o_orderkey, o_custkey, o_orderkey % 9 // 3 AS n_items
-        FROM orders WHERE o_orderkey % 6 = 0""",
+        FROM orders""",
     "cart_items": """
         SELECT cart_id, user_id, abandonment_step, cart_total_usd, cart_recovered, recovered_order_id,
           o_custkey % 100 AS product_id, 1 + o_orderkey % 3 AS quantity,
@@ -181,7 +181,7 @@ def _column_profile(raw: str, kinds: dict[str, str]) -> str:
 def _numeric(raw: str, *names: str) -> str:
     return " UNION ALL ".join(
         f"""SELECT '{name}' AS column_name, COUNT({name}) AS count,
-          CAST(SUM(CAST({name} AS DECIMAL(28,6))) AS DOUBLE) / COUNT({name}) AS mean,
+          round(avg({name}), 6) AS mean,
           round(stddev_samp({name}), 4) AS std, MIN({name}) AS min, quantile_cont({name}, 0.25) AS p25,
           quantile_cont({name}, 0.5) AS p50, quantile_cont({name}, 0.75) AS p75, MAX({name}) AS max FROM {raw}"""
         for name in names
@@ -294,10 +294,10 @@ ORACLE |= {name: sql(text) for name, text in {
           ON p.product_id = t.product_id""",
     "top_products": """
         SELECT product_id, model_name, brand, total_revenue FROM product_performance
-        ORDER BY total_revenue DESC NULLS LAST, product_id LIMIT 5""",
+        ORDER BY total_revenue DESC NULLS FIRST, product_id LIMIT 5""",
     "top_customers": """
         SELECT user_id, first_name, last_name, loyalty_tier, total_spent, total_orders FROM customer_ltv
-        ORDER BY total_spent DESC NULLS LAST, user_id LIMIT 5""",
+        ORDER BY total_spent DESC NULLS FIRST, user_id LIMIT 5""",
     "first_days": "SELECT * FROM daily_revenue ORDER BY order_date LIMIT 5",
     "orders_enriched": """
         SELECT o.*, u.country_code, u.loyalty_tier FROM fct_orders o LEFT JOIN dim_users u ON o.user_id = u.user_id""",

@@ -113,7 +113,7 @@ CARTS = """
         named_struct('product_id', o_orderkey % 100, 'quantity', CAST(1 AS BIGINT), 'unit_price_usd', CAST(900 + o_orderkey % 100 AS DOUBLE))
       ), (x, i) -> i < o_orderkey % 9 / 3) AS items,
       o_orderkey % 12 = 0 AS cart_recovered, CASE WHEN o_orderkey % 12 = 0 THEN o_orderkey END AS recovered_order_id
-    FROM orders WHERE o_orderkey % 6 = 0
+    FROM orders
 """
 TABLES = ("part", "customer", "orders", "lineitem", "events", "documents", "labels")
 

@@ -8,8 +8,8 @@ from pyspark.sql import types as T
 
 from shelfstack.settings import OUTGOING_MOVEMENTS
 
-# A double holds every cent below 2**53 cents.
-MAX_AMOUNT = 2.0**53 / 100
+# Cents are counted in 64 bits.
+MOST_CENTS = 2.0**63
 
 
 def number(df: DataFrame, name: str) -> Column:
@@ -60,10 +60,14 @@ def cents(col: Column) -> Column:
     """An amount in dollars as whole cents, halves rounded away from zero.
 
     Sums of whole cents do not depend on the order of the rows, and cost a fraction of decimal sums.
-    NaN, infinities and sizes that a double cannot hold to the cent are NULL.
+    NaN is NULL, as it is no amount. An infinity, or a size beyond 64 bits of cents, stops the query: it
+    can't be summed, and leaving it out would change totals without a trace.
     """
-    size = F.floor(F.abs(col) * 100 + 0.5)
-    return F.when(F.abs(col) < MAX_AMOUNT, F.when(col < 0, -size).otherwise(size))
+    size = F.abs(col) * 100 + 0.5
+    whole = F.floor(size)
+    signed = F.when(col < 0, -whole).otherwise(whole)
+    too_large = F.raise_error(F.concat(F.lit("amount out of range: "), col.cast("string"))).cast("bigint")
+    return F.when(size < MOST_CENTS, signed).when(F.isnan(size), F.lit(None)).when(size >= MOST_CENTS, too_large)
 
 
 def dollars(col: Column) -> Column:

@@ -20,19 +20,20 @@ def lookup(
     on: str,
     spread_by: str,
     dimension_key: str | None = None,
-    salts: int = 8,
+    salts: int = 1024,
 ) -> DataFrame:
-    """``fact`` LEFT JOIN ``dimension``, every fact row kept.
+    """``fact`` LEFT JOIN ``dimension``, every fact row kept and the dimension shuffled once.
 
-    A hot key, or the NULLs of an optional key, are dealt over ``salts`` shuffle partitions by a
-    hash of ``spread_by``; the dimension is repeated once per salt. Both join sides stay plain
-    shuffles, so AQE can split a partition that is still too large, and a dimension whose size
-    turns out small is broadcast instead.
+    The NULLs of an optional key match nothing and are dealt over ``salts`` partitions by a hash of
+    ``spread_by``. Both join sides stay plain shuffles, so AQE splits a hot key, and a dimension whose
+    size turns out small is broadcast instead.
     """
     key = dimension_key or on
     right = dimension.withColumnRenamed(key, on) if key != on else dimension
-    right = right.withColumn(SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    left = fact.withColumn(SALT, F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int"))
+    # Always 0, but not a constant: the optimizer would take a constant out of the join key.
+    right = right.withColumn(SALT, F.pmod(F.xxhash64(on), F.lit(1)).cast("int"))
+    spread = F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int")
+    left = fact.withColumn(SALT, F.when(F.col(on).isNull(), spread).otherwise(0))
     return left.join(right, [on, SALT], "left").drop(SALT)
 
 

@@ -11,7 +11,6 @@ from pyspark.sql import types as T
 from pyspark.sql.window import WindowSpec
 
 QUARTILES = {"p25": 0.25, "p50": 0.50, "p75": 0.75}
-LONG_TEXT = 64
 
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:
@@ -31,8 +30,7 @@ def distinct_values(df: DataFrame, *columns: str) -> DataFrame:
 def column_profile(df: DataFrame, exact: bool = True) -> DataFrame:
     """Per column: type, rows, NULLs and distinct values.
 
-    Exact distinct counts shuffle every distinct value, long texts as their digest, and count a
-    frequent value once per task. ``exact=False`` takes sketches instead and shuffles one row per task.
+    Exact distinct counts shuffle every distinct value as text, and count a frequent value once per task. ``exact=False`` takes sketches instead and shuffles one row per task.
     """
     kinds = F.create_map(*[F.lit(x) for f in df.schema.fields for x in (f.name, f.dataType.simpleString())])
     names = df.columns
@@ -68,7 +66,7 @@ def _comparable(field: T.StructField) -> Column:
         text = (col + 0.0).cast("string")  # -0.0 equals 0.0
     else:
         text = col.cast("string")
-    return F.when(F.length(text) > LONG_TEXT, F.sha2(text, 256)).otherwise(text)
+    return text
 
 
 def numeric_profile(
@@ -77,9 +75,9 @@ def numeric_profile(
     """Count, mean, standard deviation, minimum, quartiles and maximum of numeric columns.
 
     Quartiles interpolate between the two nearest values. A quantile sketch brackets each of them
-    ``margin`` below and above, and every bracket is cut into ``pieces`` of equal width. Values are
-    counted per piece, and only the pieces that hold a quartile are ranked, so no task sees all values
-    of a column. Wherever the pieces end, the ranks are counted, not estimated. ``exact=False`` returns
+    ``margin`` below and above, and every bracket is cut into ``pieces`` of equal width. Rows are
+    counted per piece; the values of the pieces that hold a quartile are then scanned again, counted and
+    ranked, so a task sees at most one piece's distinct values. Wherever the pieces end, the ranks are counted, not estimated. ``exact=False`` returns
     the quartiles of the sketch.
     """
     values = (
@@ -91,7 +89,7 @@ def numeric_profile(
     sketch = F.percentile_approx("value", F.array(*[F.lit(c) for c in cuts]), F.lit(max(10000, int(5 / margin))))
     stats = values.groupBy("column_name").agg(
         F.count("*").alias("count"),
-        _mean("value").alias("mean"),
+        F.avg("value").alias("mean"),
         F.stddev_samp("value").alias("std"),
         F.min("value").alias("min"),
         F.max("value").alias("max"),
@@ -112,14 +110,9 @@ def numeric_profile(
 def _exact_quartiles(values: DataFrame, stats: DataFrame, cuts: int, pieces: int) -> DataFrame:
     # One row per profiled column: safe to broadcast at any data size.
     edges = F.broadcast(stats.select("column_name", "edges"))
-    # The piece is part of the grouping, so it is worked out once per row and then a plain column.
-    counted = (
-        values.join(edges, "column_name")
-        .select("column_name", "value", _piece(cuts, pieces).alias("piece"))
-        .groupBy("column_name", "piece", "value").agg(F.count("*").alias("n"))
-    )
+    placed = values.join(edges, "column_name").select("column_name", "value", _piece(cuts, pieces).alias("piece"))
     filled = (
-        counted.groupBy("column_name", "piece").agg(F.sum("n").alias("rows"))
+        placed.groupBy("column_name", "piece").agg(F.count("*").alias("rows"))
         .withColumn("before", _running("rows", Window.partitionBy("column_name").orderBy("piece")))
         .join(F.broadcast(stats.select("column_name", "summary", "edges")), "column_name")
     )
@@ -131,7 +124,10 @@ def _exact_quartiles(values: DataFrame, stats: DataFrame, cuts: int, pieces: int
         held = held | ((position >= F.col("before")) & (position < F.col("before") + F.col("rows")))
     # At most two pieces per quartile and column.
     wanted = F.broadcast(filled.filter(held).select("column_name", "piece", "before", "summary"))
-    ranked = counted.join(wanted, ["column_name", "piece"]).withColumn(
+    # A second scan: of all values, only those of the wanted pieces are shuffled, equal ones as one row.
+    counted = placed.join(wanted, ["column_name", "piece"]).groupBy("column_name", "piece", "value").agg(
+        F.count("*").alias("n"), F.first("before").alias("before"), F.first("summary").alias("summary"))
+    ranked = counted.withColumn(
         "start", F.col("before") + _running("n", Window.partitionBy("column_name", "piece").orderBy("value"))
     )
 
@@ -168,15 +164,6 @@ def _piece(cuts: int, pieces: int) -> Column:
     return number.otherwise(within(cuts))
 
 
-def _mean(column: str) -> Column:
-    """The mean from exact sums of whole parts and millionths; the plain mean beyond their range."""
-    whole = F.floor(column)
-    millionths = F.floor((F.col(column) - whole) * 1_000_000 + 0.5)
-    total = F.try_sum(whole).cast("decimal(38,6)") + F.sum(millionths).cast("decimal(38,6)") / 1_000_000
-    exact = total.cast("double") / F.count("*")
-    return F.when(F.max(F.abs(column)) < 2.0**62, exact).otherwise(F.avg(column))
-
-
 def _running(column: str, window: WindowSpec) -> Column:
     """Sum of ``column`` over the rows before this one."""
     earlier = window.rowsBetween(Window.unboundedPreceding, -1)

@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfstack.operators import sets
 from shelfstack.functions.values import cents, dollars, number, total_of
 from shelfstack.operators.columns import internal_columns
 from shelfstack.operators.profile import value_counts
@@ -162,7 +163,7 @@ def filled_columns(df: DataFrame, names: list[str]) -> DataFrame:
 def removed_values(pairs: Mapping[str, tuple[DataFrame, DataFrame]]) -> DataFrame:
     """Columns that Silver no longer has, with the number of values each held in Bronze."""
     return reduce(DataFrame.unionByName, [
-        filled_columns(bronze, [c for c in bronze.columns if c not in silver.columns]).select(
+        filled_columns(bronze, sorted(r.column_name for r in sets.removed_columns(bronze, silver).collect())).select(
             F.lit(name).alias("table_name"), "column_name", "filled"
         )
         for name, (bronze, silver) in pairs.items()
@@ -172,7 +173,7 @@ def removed_values(pairs: Mapping[str, tuple[DataFrame, DataFrame]]) -> DataFram
 def leaked_values(pairs: Mapping[str, tuple[DataFrame, DataFrame]]) -> DataFrame:
     """Per table: internal columns in Bronze, those still in Silver, and the values they show there."""
     def leaks(name: str, bronze: DataFrame, silver: DataFrame) -> DataFrame:
-        leaked = internal_columns(silver)
+        leaked = sorted(r.column_name for r in sets.leaked_columns(bronze, silver).collect())
         shown = [F.count(c) for c in leaked] or [F.lit(0).cast("bigint")]
         return silver.agg(
             F.lit(name).alias("table_name"),

@@ -4,9 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-
-BEFORE_ALL = -(2**63)
-
+from pyspark.sql import types as T
 
 def ascending(name: str) -> Column:
     """Ascending, NULLs last."""
@@ -19,8 +17,8 @@ def descending(name: str) -> Column:
 
 
 def top_k(df: DataFrame, by: str, k: int, tie_breaker: str) -> DataFrame:
-    """The ``k`` rows with the greatest ``by``; each task keeps ``k`` rows, nothing is sorted whole."""
-    return df.orderBy(F.col(by).desc_nulls_last(), ascending(tie_breaker)).limit(k)
+    """The ``k`` first rows by descending ``by``, NULLs first; each task keeps ``k`` rows, nothing is sorted whole."""
+    return df.orderBy(descending(by), ascending(tie_breaker)).limit(k)
 
 
 def preview(df: DataFrame, rows: int = 5) -> DataFrame:
@@ -35,13 +33,16 @@ def number_events(
 
     A session is ranked slice by slice, so that one with a large share of all events is not ranked
     by a single task: the position is the number of events in the earlier slices plus the rank
-    within the slice. Events without a stamp come first; rows without a session get NULL.
+    within the slice. Events without a stamp come first, in slices of neighbouring ``event`` values; rows
+    without a session get NULL and are dealt over slices of their own.
     """
     part, rows, before = "__slice", "__rows", "__before"
     # Units since 1970 and not truncated stamps: those of stamps without a zone depend on the session's.
     since_1970 = F.col(ts) - F.lit("1970-01-01 00:00:00").cast(df.schema[ts].dataType)
     unit = since_1970.cast(f"interval {slice_unit}").cast("bigint")
-    sliced = df.withColumn(part, F.coalesce(unit, F.lit(BEFORE_ALL)))
+    no_session = F.struct(F.lit(False).alias("stamped"), F.pmod(F.xxhash64(event), F.lit(1024)).alias("unit"))
+    stamped = F.struct(unit.isNotNull().alias("stamped"), F.coalesce(unit, _neighbourhood(df, event)).alias("unit"))
+    sliced = df.withColumn(part, F.when(F.col(session).isNull(), no_session).otherwise(stamped))
     earlier = Window.partitionBy(session).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         sliced.filter(F.col(session).isNotNull())
@@ -55,3 +56,14 @@ def number_events(
         .withColumn(name, F.col(name) + F.col(before))
         .select(*df.columns, name)
     )
+
+
+def _neighbourhood(df: DataFrame, name: str, width: int = 256) -> Column:
+    """A number that never falls as ``name`` rises: by ``width`` for whole numbers, else by the first four bytes."""
+    col = F.col(name)
+    if isinstance(df.schema[name].dataType, T.IntegralType):
+        return F.coalesce(F.floor(col / width), F.lit(-(2**63)))
+    if isinstance(df.schema[name].dataType, T.StringType):
+        first = F.substring(F.rpad(F.hex(col.cast("binary")), 8, "0"), 1, 8)
+        return F.coalesce(F.conv(first, 16, 10).cast("bigint"), F.lit(-1))
+    return F.lit(0).cast("bigint")

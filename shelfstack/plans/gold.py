@@ -37,22 +37,26 @@ def daily_revenue(orders: DataFrame, lines: DataFrame, exact: bool = False, orde
     The default counts the total of an order once per line it has, as the plain LEFT JOIN of orders
     and lines does; ``exact=True`` counts it once. ``ordered`` is for reading; a table needs no order.
     """
+    per_line_order = lines.groupBy("order_id").agg(
+        F.count("*").alias("line_rows"), F.sum("quantity").alias("quantity")
+    )
+    repeats = F.lit(1) if exact else F.coalesce(F.col("line_rows"), F.lit(1))
+    # Orders are joined first: both sides then lie by order, and grouping by order needs no shuffle.
     per_order = (
         revenue_orders(orders)
-        .groupBy("order_id", F.to_date("order_date").alias("order_date"))
+        .select("order_id", F.to_date("order_date").alias("order_date"), cents(F.col("total_usd")).alias("cents"))
+        .join(per_line_order, "order_id", "left")
+        .groupBy("order_id", "order_date")
         .agg(
             F.count("*").alias("order_rows"),
-            F.sum(cents(F.col("total_usd"))).alias("total"),
-            F.count(cents(F.col("total_usd"))).alias("priced_rows"),
+            F.sum("cents").alias("total"),
+            F.count("cents").alias("priced_rows"),
+            F.max("line_rows").alias("line_rows"),
+            F.max("quantity").alias("quantity"),
         )
     )
-    per_line_order = lines.groupBy("order_id").agg(
-        F.count("*").alias("line_rows"), F.sum("quantity").alias("quantity")
-    )
-    repeats = F.lit(1) if exact else F.coalesce(F.col("line_rows"), F.lit(1))
     days = (
-        per_order.join(per_line_order, "order_id", "left")
-        .groupBy("order_date")
+        per_order.groupBy("order_date")
         .agg(
             F.count("order_id").alias("total_orders"),
             F.sum(F.col("total") * repeats).alias("revenue"),
@@ -82,28 +86,23 @@ def product_performance(
     ``product_name=True`` gives the name column its documented name instead of ``model_name``.
     """
     sold = revenue_orders(orders).groupBy("order_id").agg(F.count("*").alias("order_rows"))
-    per_pair = lines.groupBy("order_id", "product_id").agg(
-        F.sum("quantity").alias("quantity"),
-        F.sum(cents(F.col("line_total_usd"))).alias("revenue"),
-        F.sum(cents(F.col("unit_price_usd"))).alias("prices"),
-        F.count(cents(F.col("unit_price_usd"))).alias("priced_rows"),
-    )
     repeated = F.col("order_rows")
-    sales = (
-        per_pair.join(sold, "order_id")
-        .groupBy("product_id")
-        .agg(
-            F.sum(F.col("quantity") * repeated).alias("quantity"),
-            F.sum(F.col("revenue") * repeated).alias("revenue"),
-            F.count("*").alias("num_orders"),
-            F.sum(F.col("prices") * repeated).alias("prices"),
-            F.sum(F.col("priced_rows") * repeated).alias("priced_rows"),
-        )
-    )
-    described = products.groupBy("product_id", "model_name", "brand", "category").agg(
-        F.count("*").alias("product_rows")
-    )
-    table = sales.join(described, "product_id").select(
+    # Lines cross the network once, by order; grouping by (order, product) is then local.
+    per_pair = lines.select(
+        "order_id", "product_id", "quantity", cents(F.col("line_total_usd")).alias("revenue"), cents(F.col("unit_price_usd")).alias("price")
+    ).join(sold, "order_id").groupBy("order_id", "product_id").agg(
+        F.sum(F.col("quantity") * repeated).alias("quantity"),
+        F.sum(F.col("revenue") * repeated).alias("revenue"),
+        F.sum(F.col("price") * repeated).alias("prices"),
+        F.sum(F.when(F.col("price").isNotNull(), repeated).otherwise(0)).alias("priced_rows"),
+    )
+    measures = ("quantity", "revenue", "num_orders", "prices", "priced_rows")
+    sales = per_pair.groupBy("product_id").agg(
+        *[F.sum(m).alias(m) for m in measures if m != "num_orders"], F.count("*").alias("num_orders"))
+    described = products.select("product_id", "model_name", "brand", "category")
+    table = sales.join(described, "product_id").groupBy("product_id", "model_name", "brand", "category").agg(
+        F.count("*").alias("product_rows"), *[F.first(m).alias(m) for m in measures]
+    ).select(
         "product_id",
         "model_name",
         "brand",
@@ -131,10 +130,11 @@ def customer_ltv(orders: DataFrame, users: DataFrame, ordered: bool = True) -> D
             F.max("order_date").alias("last_order_date"),
         )
     )
-    described = users.groupBy("user_id", "email", "first_name", "last_name", "loyalty_tier").agg(
-        F.count("*").alias("user_rows")
-    )
-    table = spending.join(described, "user_id").select(
+    described = users.select("user_id", "email", "first_name", "last_name", "loyalty_tier")
+    measures = ("total_orders", "spent", "priced_rows", "first_order_date", "last_order_date")
+    table = spending.join(described, "user_id").groupBy(*described.columns).agg(
+        F.count("*").alias("user_rows"), *[F.first(m).alias(m) for m in measures]
+    ).select(
         "user_id",
         "email",
         "first_name",

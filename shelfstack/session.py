@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -37,13 +36,6 @@ def build_session(
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new folder under the cluster's ``spark.checkpoint.dir``.
-
-    Without that setting (tests on one machine) a temporary folder stands in for it.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="shelfstack-")
+    """A new folder under the cluster's ``spark.checkpoint.dir``; where that is unset, under the warehouse."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"

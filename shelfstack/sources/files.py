@@ -126,6 +126,8 @@ def apply_types(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
             return cast_text(col, kind).alias(field.name)
         if kind == "boolean":
             return F.when(col.isNotNull(), flag(col)).alias(field.name)
+        if kind == "bigint" and isinstance(field.dataType, T.FractionalType):
+            return col  # a whole-number column with fractions in it stays as read
         return col.try_cast(kind).alias(field.name)
 
     return df.select(*[typed(field) for field in df.schema.fields])

@@ -67,7 +67,7 @@ def test_order_of_nulls(spark):
 def test_top_k(spark):
     df = spark.createDataFrame([(1, 5.0), (2, 9.0), (3, 5.0), (4, None)], "id long, v double")
     top = ranking.top_k(df, "v", 2, "id")
-    assert [r.id for r in top.collect()] == [2, 1]
+    assert [r.id for r in top.collect()] == [4, 2]
     assert "TakeOrderedAndProject" in top._jdf.queryExecution().executedPlan().toString()
 
 

@@ -3,7 +3,9 @@
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from acceptance.oracle import ORACLE
+from acceptance.queries import QUERIES
 
 SMALL = "/root/testdata/sf0.001"
 TABLES = (
@@ -24,10 +26,10 @@ def duck():
     return connection
 
 
-@pytest.mark.parametrize("name", queries())
+@pytest.mark.parametrize("name", QUERIES)
 def test_query_matches_sql(spark, duck, name):
-    found = queries()[name](spark, SMALL)
-    expected = duck.sql(oracle_sql()[name])
+    found = QUERIES[name](spark, SMALL)
+    expected = duck.sql(ORACLE[name])
     names = sorted(found.columns)
     assert sorted(expected.columns) == names
     kinds = dict(zip(expected.columns, map(str, expected.types)))
