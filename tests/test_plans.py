@@ -157,6 +157,7 @@ def test_events_without_stamp_or_session_use_many_tasks(spark, conf):
     numbered = ranking.number_events(unstamped.union(homeless), "session", "ts", "id")
     places = numbered.select("id", "session", "event_seq", F.spark_partition_id().alias("p"))
     for part in ("session IS NULL", "session IS NOT NULL"):
-        assert places.filter(part).select("p").distinct().count() > 4
+        # The position is part of the result, else the window is pruned.
+        assert len(places.filter(part).groupBy("p").agg(F.max("event_seq")).collect()) > 4
     assert places.filter("session IS NOT NULL AND event_seq <> id + 1").count() == 0
     assert places.filter("session IS NULL AND event_seq IS NOT NULL").count() == 0

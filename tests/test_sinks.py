@@ -144,3 +144,12 @@ def test_new_files_are_upserted(spark, tmp_path, file_format):
         query.awaitTermination(60)
         assert query.exception() is None
     assert rows(spark.table(f"sink.up_{file_format}")) == [(1, 1, "a"), (2, 2, "B"), (3, 1, "c")]
+
+
+def test_merging_twice_with_null_keys_changes_nothing(spark):
+    kind = "k long, v string, w double"
+    old = spark.createDataFrame([(1, "a", 1.0), (None, "x", None)], kind)
+    batch = spark.createDataFrame([(1, "b", 2.0), (None, "x", None), (None, "y", 3.0), (None, "y", 3.0)], kind)
+    once = merge_rows(old, batch, ["k"])
+    twice = merge_rows(once, batch, ["k"])
+    assert rows(once) == rows(twice) == rows(spark.createDataFrame([(1, "b", 2.0), (None, "x", None), (None, "y", 3.0)], kind))
