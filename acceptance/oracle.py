@@ -469,3 +469,11 @@ ORACLE |= {name: sql(text) for name, text in {
         _audit_rule("fct_inventory", *SIGN_RULES[2][1:]), _audit_rule("fct_inventory", *SIGN_RULES[3][1:]),
     ),
 }.items()}
+
+ORACLE["upsert_twice"] = sql("""
+    SELECT * REPLACE (CASE WHEN status = 'returned' THEN CAST(1 AS DOUBLE) ELSE total_usd END AS total_usd) FROM fct_orders
+    UNION ALL
+    SELECT DISTINCT * REPLACE (CAST(NULL AS BIGINT) AS order_id, CAST(1 AS DOUBLE) AS total_usd) FROM fct_orders
+    WHERE status = 'processing'""")
+# A whole run ends in the tables that the same SQL gives over the files' contents.
+ORACLE |= {f"run_{table}": ORACLE[table] for table in ("daily_revenue", "product_performance", "customer_ltv")}

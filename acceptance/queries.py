@@ -13,13 +13,13 @@ from shelfstack.functions.text import tag_array
 from shelfstack.operators import carts, columns, joins, profile, quality, ranking, search, sessions, sets
 from shelfstack.plans import gold, layers, silver
 from shelfstack.session import scratch_path
-from shelfstack.settings import FUNNEL_STEPS, MAX_RATING, MIN_RATING, ORDER_STATUSES
+from shelfstack.settings import FUNNEL_STEPS, MAX_RATING, MIN_RATING, ORDER_STATUSES, Settings
 from shelfstack.sinks import tables as sinks
 from shelfstack.sinks.upsert import merge_rows
 from shelfstack.sources import files
 from shelfstack.sources.registry import BY_NAME
 from shelfstack.sources.schemas import column_types
-from shelfstack.sources.tables import run_sql
+from shelfstack.sources.tables import read_table, run_sql
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -509,6 +509,49 @@ def bronze_parquet_plain(i: Inputs) -> DataFrame:
     return files.read_parquet(i.spark, path)
 
 
+CORE_FILES = {
+    "products": ("csv", "catalog/products.csv"), "users": ("csv", "users/users.csv"), "orders": ("csv", "orders/orders.csv"),
+    "order_line_items": ("csv", "order_line_items/order_line_items.csv"), "reviews": ("jsonl", "reviews/reviews.jsonl"),
+}
+
+
+def _core_run(i: Inputs, table: str) -> DataFrame:
+    """The given tables as source files, a whole run over them, and one Gold table of it."""
+    root = i.scratch("run")
+    for name, (kind, path) in CORE_FILES.items():
+        getattr(sinks, f"write_{kind}")(i.raw(name), f"{root}/raw/{path}")
+    sinks.write_parquet(i.raw("clickstream").withColumnRenamed(TS, "timestamp"), f"{root}/raw/clickstream/", partition_by="dt")
+    names = {layer: f"{layer}_{root.rpartition('-')[2]}" for layer in ("bronze", "silver", "gold")}
+    for layer, name in names.items():
+        i.spark.sql(f"CREATE DATABASE {name} LOCATION '{root}/{layer}'")
+    layers.run(i.spark, Settings(raw_root=f"{root}/raw", **names))
+    return read_table(i.spark, names["gold"], table)
+
+
+@query
+def run_daily_revenue(i: Inputs) -> DataFrame:
+    return _core_run(i, "daily_revenue")
+
+
+@query
+def run_product_performance(i: Inputs) -> DataFrame:
+    return _core_run(i, "product_performance")
+
+
+@query
+def run_customer_ltv(i: Inputs) -> DataFrame:
+    return _core_run(i, "customer_ltv")
+
+
+@query
+def upsert_twice(i: Inputs) -> DataFrame:
+    """A batch in which some orders have lost their key, merged and merged again."""
+    orders = i.orders
+    batch = orders.filter(F.col("status").isin("processing", "returned")).withColumns({
+        "order_id": F.when(F.col("status") == "returned", F.col("order_id")), "total_usd": F.lit(1.0)})
+    return merge_rows(merge_rows(orders, batch, ["order_id"]), batch, ["order_id"])
+
+
 @query
 def upsert_orders(i: Inputs) -> DataFrame:
     """A batch that ships all orders in processing, each key twice, and books a copy of the returned ones."""

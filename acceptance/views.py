@@ -111,7 +111,7 @@ CARTS = """
       filter(array(
         named_struct('product_id', o_custkey % 100, 'quantity', 1 + o_orderkey % 3, 'unit_price_usd', CAST(900 + o_custkey % 100 AS DOUBLE)),
         named_struct('product_id', o_orderkey % 100, 'quantity', CAST(1 AS BIGINT), 'unit_price_usd', CAST(900 + o_orderkey % 100 AS DOUBLE))
-      ), (x, i) -> i < o_orderkey % 9 / 3) AS items,
+      ), (x, i) -> i < (o_orderkey % 9) div 3) AS items,
       o_orderkey % 12 = 0 AS cart_recovered, CASE WHEN o_orderkey % 12 = 0 THEN o_orderkey END AS recovered_order_id
     FROM orders
 """

@@ -13,7 +13,7 @@ from tests.conftest import rows
 
 SMALL = "/root/testdata/sf0.001"
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "EvalPython", "InPandas", "MapInArrow")
-WRITERS = re.compile("^(bronze_|load_audit)")
+WRITERS = re.compile("^(bronze_|load_audit|run_)")
 
 
 def plan(df):
