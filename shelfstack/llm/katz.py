@@ -29,7 +29,8 @@ from shelfstack.llm.texts import SpanHash, blocks, mix, utf8, words
 DISCOUNTED = 5
 _START, _END = np.uint64(1), np.uint64(2)
 _HEAVY = 2000  # tokens with more than one in so many of all tokens: there can't be more of them than this
-_FLUSH = 1_500_000  # tokens that a task packs at a time
+_FLUSH = 1_000_000  # tokens that a task packs at a time
+_PARTS = 4  # a bucket of bigrams is worked off in so many parts, to bound a task's memory
 COUNT = np.dtype([("word", "u8"), ("count", "u8")])
 PART = np.dtype([("doc", "u8"), ("sum", "f8"), ("base", "f8"), ("tokens", "u4"), ("known", "u4")] + [(f"r{r}", "u4") for r in range(1, DISCOUNTED + 1)])
 HISTORY = np.dtype([("word", "u8"), ("seen", "f8"), ("more", "u8")] + [(f"n{r}", "u4") for r in range(1, DISCOUNTED + 1)])
@@ -156,7 +157,8 @@ def _bigrams(docs: DataFrame, buckets: int, heavy: np.ndarray) -> DataFrame:
 
     def place(word: np.ndarray, before: np.ndarray) -> np.ndarray:
         spread = np.isin(word, heavy)
-        return ((mix(word) + np.where(spread, mix(before ^ np.uint64(0x5555)), np.uint64(0))) % np.uint64(buckets)).astype(np.int64)
+        at = mix(word) + np.where(spread, mix(before ^ np.uint64(0x5555)), np.uint64(0))
+        return (at % np.uint64(buckets * _PARTS)).astype(np.int64)
 
     def pack(parts: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
         word, before, doc, held = (np.concatenate(p) for p in zip(*parts))
@@ -178,7 +180,8 @@ def _bigrams(docs: DataFrame, buckets: int, heavy: np.ndarray) -> DataFrame:
                 sizes, word[a:b][single], before[a:b][pair], names, _sizes(single, b - a).astype(np.uint32), _sizes(pair, b - a).astype(np.uint32),
                 index.astype(np.uint32), count[a:b], train))
             out_b.append(bucket[a])
-        yield pa.RecordBatch.from_arrays([pa.array(out_b, pa.int32()), pa.array(blobs, pa.binary())], ["bucket", "blob"])
+        bucket, part = np.divmod(np.array(out_b, np.int32), _PARTS)
+        yield pa.RecordBatch.from_arrays([pa.array(bucket), pa.array(part), pa.array(blobs, pa.binary())], ["bucket", "part", "blob"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, size = [], 0
@@ -192,7 +195,7 @@ def _bigrams(docs: DataFrame, buckets: int, heavy: np.ndarray) -> DataFrame:
         if size:
             yield from pack(parts)
 
-    return docs.select("key", "held_out", "text").mapInArrow(run, "bucket int, blob binary")
+    return docs.select("key", "held_out", "text").mapInArrow(run, "bucket int, part int, blob binary")
 
 
 def _unpacked(blob: bytes) -> tuple[np.ndarray, ...]:
@@ -209,8 +212,8 @@ def _unpacked(blob: bytes) -> tuple[np.ndarray, ...]:
 def _joined(buckets: int, total: int, types: int, factors: np.ndarray, unknown: float, heavy: np.ndarray, heavy_count: np.ndarray):
     """For one bucket of bigrams: counts of counts, sums of texts, masses of histories, and unseen bigrams."""
 
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        parts = [_unpacked(b) for b in group["blob"]]
+    def part(blobs: pd.Series) -> tuple[np.ndarray, ...]:
+        parts = [_unpacked(b) for b in blobs]
         word, before, doc, count, train = (np.concatenate(p) for p in zip(*parts))
         del parts
         order = np.lexsort((before, word))
@@ -236,8 +239,6 @@ def _joined(buckets: int, total: int, types: int, factors: np.ndarray, unknown:
         sums["tokens"], sums["known"] = add(n), add(np.where(cw > 0, n, 0))
         for r in range(1, DISCOUNTED + 1):
             sums[f"r{r}"] = add(np.where(c == r, n, 0))
-        rows = [("sums", b, x) for b, x in zip(*_by_bucket((mix(names) % np.uint64(buckets)).astype(np.int64), sums))]
-
         seen = np.flatnonzero(pair_count > 0)
         told, own = np.unique(before[pair[seen]], return_inverse=True)
         masses = np.zeros(len(told), HISTORY)
@@ -247,19 +248,35 @@ def _joined(buckets: int, total: int, types: int, factors: np.ndarray, unknown:
         masses["more"] = np.bincount(own, weights=np.where(sc > DISCOUNTED, sc, 0), minlength=len(told))
         for r in range(1, DISCOUNTED + 1):
             masses[f"n{r}"] = np.bincount(own, weights=sc == r, minlength=len(told))
-        rows += [("histories", b, x) for b, x in zip(*_by_bucket((mix(told) % np.uint64(buckets)).astype(np.int64), masses))]
-
         open_ = np.flatnonzero(c == 0)
         asked = np.zeros(len(open_), ASKED)
         asked["word"], asked["doc"], asked["count"] = before[open_], doc[open_], count[open_]
-        rows += [("asked", b, x) for b, x in zip(*_by_bucket((mix(asked["word"]) % np.uint64(buckets)).astype(np.int64), asked))]
-        times = np.bincount(np.minimum(sc, DISCOUNTED + 2), minlength=DISCOUNTED + 3)[1 : DISCOUNTED + 2]
+        return sums, masses, asked, np.bincount(np.minimum(sc, DISCOUNTED + 2), minlength=DISCOUNTED + 3)[1 : DISCOUNTED + 2]
+
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        done = list(zip(*(part(blobs) for _, blobs in group.groupby("part")["blob"])))
+        sums, masses = _added(np.concatenate(done[0]), "doc"), _added(np.concatenate(done[1]), "word")
+        asked, times = np.concatenate(done[2]), np.sum(done[3], axis=0)
+        rows = []
+        for kind, records, name in (("sums", sums, "doc"), ("histories", masses, "word"), ("asked", asked, "word")):
+            rows += [(kind, b, x) for b, x in zip(*_by_bucket((mix(records[name]) % np.uint64(buckets)).astype(np.int64), records))]
         rows.append(("times", 0, times.astype(np.int64).tobytes()))
         return pd.DataFrame(rows, columns=["kind", "bucket", "blob"])
 
     return run
 
 
+def _added(records: np.ndarray, name: str) -> np.ndarray:
+    """One record for each value of ``name``, the other fields added up."""
+    records = records[np.argsort(records[name], kind="stable")]
+    first = _heads(records[name])
+    out = records[first]
+    for f in records.dtype.names if len(first) else ():
+        if f != name:
+            out[f] = np.add.reduceat(records[f], first)
+    return out
+
+
 def _weights(buckets: int, factors: np.ndarray):
     """For one bucket of histories: what unseen bigrams add to their texts by the histories' backoff weights."""
 
