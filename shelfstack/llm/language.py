@@ -26,8 +26,7 @@ CENTROIDS = 4
 SAMPLE_PER_LANGUAGE = 1000  # labelled texts per language that the centroids are fitted on, about
 REJECT_SHARE = 0.2  # rejected below this share of the similarity that fitted texts of like length have
 UNDETERMINED = "und"
-_LETTER = np.zeros(0x3000, bool)
-_LETTER[[c for c in range(0x3000) if chr(c).isalpha()]] = True
+_LETTER = np.fromiter((chr(c).isalpha() for c in range(0x110000)), bool, 0x110000)
 _LENGTHS = 12  # length classes: powers of two of the number of trigrams
 
 
@@ -46,7 +45,7 @@ def trigram_counts(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
     # Lower-casing may change a text's length, so rows are found again by their own lengths.
     lengths = np.array([len((t or "").lower()) for t in texts], np.int64)
-    letter = (points >= 0x3000) | _LETTER[np.minimum(points, 0x2FFF)]
+    letter = _LETTER[points]
     clean = np.where(letter, points, 32).astype(np.uint32)
     row = np.repeat(np.arange(len(texts)), lengths + 1)[: len(points)]
     padded = np.concatenate(([np.uint32(32)], clean, [np.uint32(32)]))

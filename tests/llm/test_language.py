@@ -24,12 +24,12 @@ def test_names_the_language_and_does_not_look_at_labels(spark):
 def test_odd_rows(spark):
     model = language.fit(documents(spark))
     rows = [(1, None), (2, ""), (3, "12 -- 34\n"), (4, "walo mipe " * 50_000), (5, "walo tuko"), (5, "walo tuko"), (None, "漢字漢字" * 20),
-            (6, "İstanbul walo"), (7, "İ" * 5)]
+            (6, "İstanbul walo"), (7, "İ" * 5), (8, "😀 12 ♥")]
     docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "'x' AS lang_pred", "doc_id AS score")
     got = language.identify(docs, model, "doc_id").collect()
     assert len(got) == len(rows)
     by = {r.doc_id: r for r in got}
-    assert all(by[i].lang_pred == "und" and by[i].score == 0 and by[i].rejected for i in (1, 2, 3))
+    assert all(by[i].lang_pred == "und" and by[i].score == 0 and by[i].rejected for i in (1, 2, 3, 8))
     assert by[4].lang_pred == by[5].lang_pred == "aa"
     assert by[None].rejected  # other letters than any fitted text
     assert language.identify(docs.limit(0), model, "doc_id").count() == 0
