@@ -4,7 +4,7 @@ A text is the bag of its letter trigrams (lower-cased, words padded by one blank
 bins, weighted by TF-IDF with a damped count and scaled to length one. Each language has several
 centroids, found by spherical k-means on a bounded sample of its labelled texts. The nearest centroid
 by cosine names the language; a text that lies farther from it than nearly every training text of that
-centroid is rejected.
+centroid and of like length is rejected.
 """
 
 from __future__ import annotations
@@ -21,10 +21,13 @@ from pyspark.sql import types as T
 from shelfstack.llm.storage import text_batches
 from shelfstack.llm.texts import blocks
 
-BINS = 4096
+_BITS = 14
+BINS = 1 << _BITS  # so many that texts of unrelated languages seldom meet by collision
 CENTROIDS = 4
 SAMPLE_PER_LANGUAGE = 1000  # labelled texts per language that the centroids are fitted on, about
-REJECT_SHARE = 0.2  # rejected below this share of the similarity that fitted texts of like length have
+LOW = 0.01  # quantile of the similarities that a centroid's own fitted texts of like length have
+REJECT_SHARE = 0.8  # rejected below this share of that quantile
+_FLOOR_TEXTS = 50  # fitted texts that a quantile is taken from; where a length class has fewer, its neighbours help
 UNDETERMINED = "und"
 _LETTER = np.fromiter((chr(c).isalpha() for c in range(0x110000)), bool, 0x110000)
 _LENGTHS = 12  # length classes: powers of two of the number of trigrams
@@ -36,7 +39,7 @@ class Model:
     owner: np.ndarray  # language of each centroid
     centroids: np.ndarray  # one row per centroid, scaled to length one
     idf: np.ndarray
-    floor: np.ndarray  # per length class, the similarity under which a text is rejected
+    floor: np.ndarray  # per centroid and length class, the similarity under which a text is rejected
 
 
 def trigram_counts(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
@@ -54,7 +57,7 @@ def trigram_counts(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     code = (a[keep] * np.uint32(0x9E3779B1) ^ b[keep] * np.uint32(0x85EBCA77)) * np.uint32(0xC2B2AE3D) ^ c[keep] * np.uint32(0x27D4EB2F)
     code ^= code >> np.uint32(15)
     code *= np.uint32(0x2C1B3C6D)
-    at = row[keep] * BINS + (code >> np.uint32(20)).astype(np.int64)
+    at = row[keep] * BINS + (code >> np.uint32(32 - _BITS)).astype(np.int64)
     counts = np.bincount(at, minlength=len(texts) * BINS).reshape(len(texts), BINS)
     return counts, np.bincount(row[keep], minlength=len(texts))
 
@@ -70,8 +73,8 @@ def _length_class(letters: np.ndarray) -> np.ndarray:
 
 def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in blocks(batches, limit=1 << 20):
-        for at in range(0, batch.num_rows, 512):
-            yield batch.slice(at, 512)
+        for at in range(0, batch.num_rows, 128):
+            yield batch.slice(at, 128)
 
 
 def _document_frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -111,6 +114,20 @@ def _spherical_means(points: np.ndarray, k: int, rng: np.random.Generator) -> np
     return centres
 
 
+def _floors(near: np.ndarray, classes: np.ndarray) -> np.ndarray:
+    """For one centroid: per length class, the similarity that nearly all of its texts have, less some slack.
+
+    Texts of longer classes count for a shorter one with the similarity that falls with the root of the length.
+    """
+    out = np.zeros(_LENGTHS)
+    for c in range(_LENGTHS):
+        away = np.abs(classes - c)
+        own = away <= np.sort(away)[min(_FLOOR_TEXTS, len(away)) - 1]
+        like = near[own] * 2.0 ** (-0.5 * np.maximum(classes[own] - c, 0))
+        out[c] = REJECT_SHARE * np.quantile(like, LOW)
+    return out
+
+
 def fit(train: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> Model:
     """Fits a model on ``train`` (``doc_id, text, lang``); rows without text or label teach nothing.
 
@@ -133,7 +150,7 @@ def fit(train: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> Model:
         lambda batches: _features(batches, idf), "lang string, doc_id long, letters long, bins binary, weights binary").collect()
     rows.sort(key=lambda r: (r.lang, r.doc_id is None, r.doc_id or 0, r.bins))
     languages = sorted({r.lang for r in rows})
-    owner, centroids, near, letters = [], [], [], []
+    owner, centroids, floor = [], [], []
     rng = np.random.default_rng(7)
     for number, language in enumerate(languages):
         own = [r for r in rows if r.lang == language and r.letters > 0]
@@ -146,15 +163,15 @@ def fit(train: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> Model:
         centres = _spherical_means(points[size >= min(64, np.median(size))], CENTROIDS, rng)
         owner += [number] * len(centres)
         centroids.append(centres)
-        near.append((points @ centres.T).max(1))
-        letters.append(size)
+        like = points @ centres.T
+        mine, classes = like.argmax(1), _length_class(size)
+        best = like.max(1)
+        for j in range(len(centres)):  # a centroid with few texts, often outliers, takes all of its language
+            own = mine == j if (mine == j).sum() >= _FLOOR_TEXTS else mine >= 0
+            floor.append(_floors(best[own], classes[own]))
     if not centroids:
-        return Model([], np.zeros(0, int), np.zeros((0, BINS), np.float32), idf, np.zeros(_LENGTHS))
-    near_all, classes = np.concatenate(near), _length_class(np.concatenate(letters))
-    seen = np.unique(classes)
-    usual = np.array([np.median(near_all[classes == c]) for c in seen])
-    floor = REJECT_SHARE * np.interp(np.arange(_LENGTHS), seen, usual)
-    return Model(languages, np.array(owner), np.concatenate(centroids).astype(np.float32), idf, floor)
+        return Model([], np.zeros(0, int), np.zeros((0, BINS), np.float32), idf, np.zeros((0, _LENGTHS)))
+    return Model(languages, np.array(owner), np.concatenate(centroids).astype(np.float32), idf, np.array(floor))
 
 
 def identify(docs: DataFrame, model: Model, *keep: Column | str) -> DataFrame:
@@ -176,11 +193,12 @@ def identify(docs: DataFrame, model: Model, *keep: Column | str) -> DataFrame:
                 best = like.argmax(1)
                 similarity = np.clip(like[np.arange(len(best)), best].astype(float), 0.0, 1.0)
                 names = np.array(model.languages, object)[model.owner[best]]
+                far = similarity < model.floor[best, _length_class(letters)]
             else:
-                similarity, names = np.zeros(len(letters)), np.full(len(letters), UNDETERMINED, object)
+                similarity, names, far = np.zeros(len(letters)), np.full(len(letters), UNDETERMINED, object), True
             void = (letters == 0) | (not model.languages)
             names[void], similarity[void] = UNDETERMINED, 0.0
-            rejected = void | (similarity < model.floor[_length_class(letters)])
+            rejected = void | far
             yield pa.RecordBatch.from_arrays(
                 [batch.column("kept"), pa.array(names, pa.string()), pa.array(similarity), pa.array(rejected)],
                 ["kept", "lang_pred", "score", "rejected"])

@@ -1,3 +1,5 @@
+import random
+
 from shelfstack.llm import language
 
 WORDS = {"aa": "walo mipe tuko rana besi", "bb": "schrung kratz pfleng dorst wicht", "cc": "éàlo ùmbré çatèl ôniré"}
@@ -47,3 +49,18 @@ def test_rows_do_not_leak_into_each_other():
     for i, t in enumerate(texts):
         alone, n = language.trigram_counts([t])
         assert (alone[0] == counts[i]).all() and n[0] == letters[i]
+
+
+def test_long_texts_far_from_every_language_go_and_clean_ones_stay(spark):
+    rng = random.Random(1)
+    syllables = {lang: [a + b for a in first for b in second] for lang, first, second in (
+        ("aa", ("w", "l", "m", "t", "k", "r"), "aeiou"), ("bb", ("sch", "kr", "pfl", "d", "w", "st"), ("un", "atz", "eng", "ors", "icht")))}
+    unlearned = [a + b for a in ("zh", "g", "v", "q", "dz", "ny") for b in ("ya", "yu", "oi", "ei", "y")]
+    text = lambda parts, n: " ".join("".join(rng.choices(parts, k=rng.randint(2, 4))) for _ in range(n))
+    rows = [(i, text(syllables[lang], rng.randint(20, 400)), lang) for i, lang in enumerate(["aa", "bb"] * 150)]
+    model = language.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    letters = lambda n: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz      ", k=n))
+    rows = [(i, text(syllables[lang], n)) for i, (lang, n) in enumerate((lang, n) for lang in syllables for n in (5, 20, 400, 3000) for _ in range(10))]
+    rows += [(1000 + i, text(unlearned, n)) for i, n in enumerate((200, 1000, 5000))] + [(2000 + i, letters(n)) for i, n in enumerate((2000, 20_000, 200_000))]
+    got = language.identify(spark.createDataFrame(rows, "doc_id long, text string"), model, "doc_id").collect()
+    assert {r.doc_id for r in got if r.rejected} == {r[0] for r in rows if r[0] >= 1000}
