@@ -6,7 +6,8 @@ pruned so that no kept neighbour is much nearer to another one than to the vecto
 The adjacency lists of all shards are united. Then every vector is searched for in its shards: greedily
 from medoids over the united graph, expanding the best candidates and everything near the range until
 nothing new comes up. Hits are verified in double precision. A sample of vectors is audited against
-brute force over all vectors; below the wanted recall the graph is built again with more overlap.
+brute force over all vectors, each link between two classes counting once; below the wanted recall the graph
+is built again with more overlap, and where links are too rare for an audit until more overlap brings no more.
 """
 
 from __future__ import annotations
@@ -26,7 +27,9 @@ RANGE = 0.95
 OVERLAP = 4  # shards per vector at first
 SHARD = 1000  # vectors with their nearest centre in one shard, about
 SAMPLE_VALUES = 2_000_000  # numbers in the sample that centres are fitted on; at least four vectors to a centre
-AUDIT = 200  # vectors compared with all others
+AUDIT = 200  # vectors compared with all others at first
+AUDIT_LINKS = 400  # links between classes that an audit needs; it is widened until it has them
+AUDIT_MOST = 3200  # vectors in the widest audit; with too few links there the recall is unknown
 RECALL = 0.99  # wanted in the audit
 _POOL, _DEGREE, _FAR = 40, 16, 4
 _ALPHA = 1.2
@@ -164,13 +167,14 @@ def _hits(limit: float):
         first = np.where(both, shards[x], np.iinfo(np.int64).max).min(1, initial=np.iinfo(np.int64).max)
         mine = first == here
         np.add.at(links, x[mine], members[y[mine]])
+        near = np.bincount(x[mine], minlength=len(rep))
         while True:  # the smallest index reachable within the shard
             before = low.copy()
             np.minimum.at(low, x, low[y])
             low = low[low]
             if (low == before).all():
                 break
-        return pd.DataFrame({"rep": rep, "links": links, "low": rep[low]})
+        return pd.DataFrame({"rep": rep, "links": links, "near": near, "low": rep[low]})
 
     return run
 
@@ -191,29 +195,42 @@ def _search(classes: DataFrame, centres: np.ndarray, overlap: int, limit: float)
     united = graph.groupBy("rep").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("to")))).alias("to"))
     nodes = placed.join(united, "rep", "left").withColumn("to", F.coalesce("to", F.array().cast("array<long>")))
     spread = nodes.select(F.explode("shards").alias("shard"), "rep", "members", "vector", "shards", "to")
-    return materialised(spread.groupBy("shard").applyInPandas(_hits(limit), "rep long, links long, low long"))
+    return materialised(spread.groupBy("shard").applyInPandas(_hits(limit), "rep long, links long, near long, low long"))
 
 
-def _audited(classes: DataFrame, found: DataFrame, count: int, limit: float) -> float:
-    """The share of the links of about ``AUDIT`` vectors that the search has found."""
-    draw = F.pmod(F.xxhash64("rep", F.lit("audit")), F.lit(1 << 30)) < F.lit(int((1 << 30) * min(1.0, AUDIT / max(count, 1))))
-    sample = classes.where(draw).select("rep", "vector").collect()
-    if not sample:
-        return 1.0
-    rep, asked = np.array([r.rep for r in sample]), _matrix([r.vector for r in sample])
+def _audited(classes: DataFrame, found: DataFrame, count: int, limit: float) -> float | None:
+    """The share of the links between classes that the search has found, over a sample; None if it has too few.
 
+    How many vectors a class holds does not count, so that large groups of copies do not hide the others.
+    """
+    wanted = AUDIT
+    while True:
+        whole = wanted >= count
+        draw = F.pmod(F.xxhash64("rep", F.lit("audit")), F.lit(1 << 30)) < F.lit(int((1 << 30) * min(1.0, wanted / max(count, 1))))
+        sample = classes.where(draw).select("rep", "vector").collect()
+        rep = np.array([r.rep for r in sample])
+        true = _true_links(classes, rep, _matrix([r.vector for r in sample]), limit) if sample else 0
+        if whole or true >= AUDIT_LINKS or wanted >= AUDIT_MOST:
+            break
+        wanted *= 4
+    if not whole and true < AUDIT_LINKS:
+        return None
+    got = found.where(F.col("rep").isin(rep.tolist())).agg(F.sum("near")).first()[0] or 0
+    return min(1.0, got / true) if true else 1.0
+
+
+def _true_links(classes: DataFrame, rep: np.ndarray, asked: np.ndarray, limit: float) -> int:
     def count_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = 0
+        total, norm = 0, np.linalg.norm(asked, axis=1)[:, None]
         for batch in batches:
-            v = _matrix(batch.column("vector").to_pylist())
-            like = asked @ v.T / (np.linalg.norm(asked, axis=1)[:, None] * np.linalg.norm(v, axis=1)[None])
-            hit = (like >= limit) & (rep[:, None] != batch.column("rep").to_numpy()[None])
-            total += int((hit * batch.column("members").to_numpy()[None]).sum())
+            for a in range(0, batch.num_rows, 1024):
+                part = batch.slice(a, 1024)
+                v = _matrix(part.column("vector").to_pylist())
+                hit = asked @ v.T / (norm * np.linalg.norm(v, axis=1)[None]) >= limit
+                total += int((hit & (rep[:, None] != part.column("rep").to_numpy()[None])).sum())
         yield pa.RecordBatch.from_pydict({"links": [total]})
 
-    true = classes.select("rep", "members", "vector").mapInArrow(count_links, "links long").agg(F.sum("links")).first()[0] or 0
-    got = found.where(F.col("rep").isin(rep.tolist())).agg(F.sum("links")).first()[0] or 0
-    return min(1.0, got / true) if true else 1.0
+    return classes.select("rep", "vector").mapInArrow(count_links, "links long").agg(F.sum("links")).first()[0] or 0
 
 
 def near_vectors(vectors: DataFrame, limit: float = RANGE) -> DataFrame:
@@ -223,7 +240,7 @@ def near_vectors(vectors: DataFrame, limit: float = RANGE) -> DataFrame:
     empty or zero, or hold null or non-finite components, link with nothing, and vectors of different
     lengths do not link. A ``vec_id`` stands for one vector; rows that repeat it count as others; a null ``vec_id`` takes no part and
     has a null component. ``component_id`` is the smallest ``vec_id`` reachable and ``kept`` tells whether it
-    is the row's own. Labels and other columns are not looked at; an empty table gives no rows.
+    is the row's own. ``audited_recall`` is null where links are too rare to audit. Labels and other columns are not looked at; an empty table gives no rows.
     """
     usable = (
         F.col("vec_id").isNotNull() & F.col("embedding").isNotNull()
@@ -250,15 +267,15 @@ def near_vectors(vectors: DataFrame, limit: float = RANGE) -> DataFrame:
     rows = keyed.select("vec_id", "usable", "h", "g").join(classes, ["h", "g"], "left")
     links_of = F.when(F.col("usable"), F.coalesce("links", F.lit(0)) + F.col("members") - 1).otherwise(0)
     component = F.when(F.col("usable"), F.coalesce("component", "rep")).otherwise(F.col("vec_id"))
-    return _rows(rows.select("vec_id", links_of.cast("long").alias("n_links"), component.alias("component_id")), min(recalls))
+    return _rows(rows.select("vec_id", links_of.cast("long").alias("n_links"), component.alias("component_id")), None if None in recalls else min(recalls))
 
 
-def _rows(found: DataFrame, recall: float) -> DataFrame:
+def _rows(found: DataFrame, recall: float | None) -> DataFrame:
     kept = F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False))
-    return found.select("vec_id", "n_links", "component_id", kept.alias("kept"), F.lit(recall).alias("audited_recall"))
+    return found.select("vec_id", "n_links", "component_id", kept.alias("kept"), F.lit(recall).cast("double").alias("audited_recall"))
 
 
-def _of_length(classes: DataFrame, length: int, limit: float) -> tuple[DataFrame, float]:
+def _of_length(classes: DataFrame, length: int, limit: float) -> tuple[DataFrame, float | None]:
     count = classes.count()
     size = max(64, SAMPLE_VALUES // length)
     share = F.lit(int((1 << 30) * min(1.0, size / count)))
@@ -267,9 +284,15 @@ def _of_length(classes: DataFrame, length: int, limit: float) -> tuple[DataFrame
     sample = sample or classes.select("rep", "vector").limit(1).collect()
     centres = _centres(_matrix([r.vector for r in sample]), max(1, min(-(-count // SHARD), len(sample) // 4)))
     overlap = min(OVERLAP, len(centres))
+    before = None
     while True:
         found = _search(classes, centres, overlap, limit)
         recall = _audited(classes, found, count, limit)
-        if recall >= RECALL or overlap == len(centres):
+        if overlap == len(centres) or recall is not None and recall >= RECALL:
             return found, recall
+        if recall is None:
+            near = found.agg(F.sum("near")).first()[0] or 0
+            if before is not None and before >= RECALL * near:
+                return found, None
+            before = near
         overlap = min(2 * overlap, len(centres))

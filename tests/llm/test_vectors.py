@@ -49,3 +49,12 @@ def test_small_tables(spark):
     assert run(spark, [(3, None)])[0] == {3: (0, 3)}
     assert run(spark, [(3, [1.0])])[0] == {3: (0, 3)}
     assert run(spark, [(3, [1.0, 0.0]), (3, [1.0, 0.0]), (2, [1.0, 0.1])])[0] == {3: (2, 2), 2: (2, 2)}
+
+
+def test_the_audit_counts_links_of_classes_and_knows_when_it_has_too_few(spark):
+    angle = [10.0 * (i // 2) + i % 2 for i in range(12)] + [0.5]  # pairs, and a large group of copies near the first
+    rows = [(i, 10_000 if i == 12 else 1, [float(np.cos(np.radians(a))), float(np.sin(np.radians(a)))]) for i, a in enumerate(angle)]
+    classes = spark.createDataFrame(rows, "rep long, members long, vector array<double>")
+    found = spark.createDataFrame([(0, 10_000, 1, 0), (1, 10_000, 1, 1), (12, 2, 2, 0)], "rep long, links long, near long, low long")
+    assert vectors._audited(classes, found, 13, 0.999) == 4 / 16
+    assert vectors._audited(classes, found, 10**9, 0.999) is None
