@@ -7,11 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfstack.llm import jaccard, katz, language, mixing, passages, pieces, sql, suffixes, syncmers, urls, vectors
+from shelfstack.llm import jaccard, katz, language, middles, mixing, passages, pieces, sql, suffixes, syncmers, urls, vectors
 from shelfstack.llm.storage import importable
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {"op5_mixing": sql.MIXING, "op7_urls": sql.URLS}
+ORACLE: dict[str, str] = {"op5_mixing": sql.MIXING, "op7_urls": sql.URLS, "op11_middles": sql.MIDDLES}
 
 URL_RULES = [
     ("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
@@ -85,3 +85,12 @@ def op6_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op2_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages.shared_passages(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_middles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = middles.rearranged(table(spark, sf_dir, "documents"), "doc_id")
+    digest = lambda text: F.sha2(text.cast("binary"), 256)
+    return made.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", digest(F.col("output")).alias("output_sha256"),
+        digest(middles.restored(F.col("output"), F.col("form"))).alias("restored_sha256"))

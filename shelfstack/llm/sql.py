@@ -35,3 +35,23 @@ ruled AS (SELECT *, CASE
 SELECT page_id, host, path, rule,
   CASE WHEN rule IN ('example.com/en/', 'net/es/', 'net/fr/') THEN 'block' ELSE 'allow' END AS verdict FROM ruled
 """
+
+# Units as arrays; parts are joined from them.
+MIDDLES = r"""
+WITH cut AS (SELECT doc_id, coalesce(text, '') AS text,
+    regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS units,
+    sha256('42:' || coalesce(doc_id::VARCHAR, '')) AS digest FROM documents),
+drawn AS (SELECT *, len(units)::BIGINT AS n, ('0x' || digest[1:8])::BIGINT % (len(units) + 1) AS one,
+    ('0x' || digest[9:16])::BIGINT % (len(units) + 1) AS two,
+    CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+        OR ('0x' || digest[17:24])::BIGINT % 100 >= 50 THEN 'plain'
+      WHEN ('0x' || digest[25:32])::BIGINT % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM cut),
+parts AS (SELECT doc_id, text, n, form, array_to_string(units[1:least(one, two)], '') AS prefix,
+    array_to_string(units[least(one, two) + 1:greatest(one, two)], '') AS middle,
+    array_to_string(units[greatest(one, two) + 1:], '') AS suffix FROM drawn)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END::BIGINT AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN length(middle) END::BIGINT AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+    ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+  sha256(text) AS restored_sha256 FROM parts
+"""
