@@ -4,12 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfstack.llm import jaccard, katz, language, middles, mixing, passages, pieces, sql, suffixes, syncmers, urls, vectors
+from shelfstack.llm import (
+    jaccard, katz, language, middles, mixing, packing, passages, pieces, sql, suffixes, syncmers, urls, vectors,
+)
 from shelfstack.llm.storage import importable
 
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {"op5_mixing": sql.MIXING, "op7_urls": sql.URLS, "op11_middles": sql.MIDDLES}
 
@@ -94,3 +98,9 @@ def op11_middles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select(
         "doc_id", "n", "form", "prefix_chars", "middle_chars", digest(F.col("output")).alias("output_sha256"),
         digest(middles.restored(F.col("output"), F.col("form"))).alias("restored_sha256"))
+
+
+@query
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = packing.packed(table(spark, sf_dir, "documents"), TOKENIZER, ids_crc32=F.crc32("ids"))
+    return made.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
