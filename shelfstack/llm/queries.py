@@ -9,13 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfstack.llm import (
-    jaccard, katz, language, middles, mixing, packing, passages, pieces, sql, suffixes, syncmers, urls, vectors,
+    divergence, jaccard, katz, language, middles, mixing, packing, passages, pieces, sql, suffixes, syncmers, urls, vectors,
 )
 from shelfstack.llm.storage import importable
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {"op5_mixing": sql.MIXING, "op7_urls": sql.URLS, "op11_middles": sql.MIDDLES}
+ORACLE: dict[str, str] = {"op5_mixing": sql.MIXING, "op7_urls": sql.URLS, "op11_middles": sql.MIDDLES, "op13_divergence": sql.DIVERGENCE}
 
 URL_RULES = [
     ("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
@@ -104,3 +104,8 @@ def op11_middles(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = packing.packed(table(spark, sf_dir, "documents"), TOKENIZER, ids_crc32=F.crc32("ids"))
     return made.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+@query
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergence(table(spark, sf_dir, "documents"))

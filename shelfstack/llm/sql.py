@@ -55,3 +55,27 @@ SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END::BIGIN
     ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
   sha256(text) AS restored_sha256 FROM parts
 """
+
+DIVERGENCE = r"""
+WITH docs AS (SELECT row_number() OVER () AS doc, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+found AS (SELECT doc, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM docs),
+kept AS (SELECT lang, term FROM found GROUP BY ALL HAVING count(DISTINCT doc) >= 30),
+sizes AS (SELECT lang, count(*)::HUGEINT AS v FROM kept GROUP BY lang),
+groups AS (SELECT DISTINCT lang, source FROM docs),
+counted AS (SELECT lang, source, term, count(*) AS n FROM found JOIN kept USING (lang, term) GROUP BY ALL),
+dense AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0)::HUGEINT AS n FROM groups g JOIN kept k USING (lang)
+  LEFT JOIN counted c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+summed AS (SELECT *, sum(n) OVER (PARTITION BY lang, source) AS total, sum(n) OVER (PARTITION BY lang) AS all_total,
+  sum(n) OVER (PARTITION BY lang, term) AS all_n FROM dense),
+rated AS (SELECT lang, source, term, n, 1 + (1000000000 * (n + 5)) // (total + 5 * v) AS p,
+  1 + (1000000000 * (all_n + 5)) // (all_total + 5 * v) AS q FROM summed JOIN sizes USING (lang)),
+apart AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+  FROM rated a JOIN rated b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+parts AS (SELECT g.lang, g.source, 'pair' AS part, h.source AS item, coalesce(value, 0)::BIGINT AS value
+    FROM groups g JOIN groups h ON g.lang = h.lang AND g.source <> h.source
+    LEFT JOIN apart a ON a.lang = g.lang AND a.source = g.source AND a.item = h.source
+  UNION ALL SELECT lang, source, 'term', term, (p - q)::BIGINT FROM rated WHERE n > 0 AND p > q)
+SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank FROM parts
+QUALIFY part = 'pair' OR rank <= 50
+"""
