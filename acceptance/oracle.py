@@ -477,3 +477,27 @@ ORACLE["upsert_twice"] = sql("""
     WHERE status = 'processing'""")
 # A whole run ends in the tables that the same SQL gives over the files' contents.
 ORACLE |= {f"run_{table}": ORACLE[table] for table in ("daily_revenue", "product_performance", "customer_ltv")}
+ORACLE |= {f"run_incremental_{table}": ORACLE[table] for table in ("daily_revenue", "product_performance", "customer_ltv")}
+
+MISFIT_CELLS = """
+    (SELECT line_item_id, note,
+      CASE WHEN quantity LIKE 'KE-%' OR quantity IN ('1,000', '4.5') THEN quantity END AS quantity_text,
+      CASE WHEN unit_price_usd = '12 USD' THEN unit_price_usd END AS price_text,
+      quantity, unit_price_usd FROM misfits_raw) AS cells"""
+ORACLE |= {name: sql(text) for name, text in {
+    "bronze_csv_rescued": f"""
+        SELECT line_item_id, CASE WHEN quantity_text IS NULL THEN CAST(CAST(quantity AS DOUBLE) AS BIGINT) END AS quantity,
+          CASE WHEN price_text IS NULL THEN CAST(unit_price_usd AS DOUBLE) END AS unit_price_usd, quantity_text, price_text FROM {MISFIT_CELLS}""",
+    "bronze_jsonl_rescued": f"""
+        SELECT line_item_id, 'quantity' AS column_name, quantity_text AS text FROM {MISFIT_CELLS} WHERE quantity_text IS NOT NULL
+        UNION ALL SELECT line_item_id, 'unit_price_usd', price_text FROM {MISFIT_CELLS} WHERE price_text IS NOT NULL
+        UNION ALL SELECT line_item_id, 'note', note FROM misfits_raw WHERE note IS NOT NULL""",
+    "quarantine_audit": f"""
+        SELECT n AS rows_in, n AS rows_out, unnest(['quarantined', 'broken_line', 'unknown_field', 'misfit_line_item_id',
+          'misfit_quantity', 'misfit_unit_price_usd']) AS rule, unnest([quarantined, 0, 0, 0, quantities, prices]) AS violations
+        FROM (SELECT count(*) AS n, count(*) FILTER (quantity_text IS NOT NULL OR price_text IS NOT NULL) AS quarantined,
+          count(quantity_text) AS quantities, count(price_text) AS prices FROM {MISFIT_CELLS})""",
+    "bronze_parquet_drift": """
+        SELECT event_id, CAST(user_id AS VARCHAR) AS user_id, CASE WHEN dt < DATE '2024-01-11' THEN floor(_ttfb_ms) ELSE _ttfb_ms END AS _ttfb_ms, dt
+        FROM clickstream_raw""",
+}.items()}

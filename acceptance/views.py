@@ -52,6 +52,21 @@ VIEWS: dict[str, str] = {
           'W' || CAST(l_suppkey AS STRING) AS _warehouse_id, l_returnflag AS _pick_slot
         FROM lineitem
     """,
+    "order_line_items_keyed_raw": """
+        SELECT (((l_orderkey * 10 + l_linenumber) * 100000 + l_partkey) * 10000 + l_suppkey) * 100 + CAST(l_quantity AS BIGINT) AS line_item_id, CASE WHEN l_orderkey % 97 = 5 THEN l_orderkey + 100000000 ELSE l_orderkey END AS order_id, l_partkey AS product_id,
+          CAST(CASE WHEN l_linenumber = 7 AND l_orderkey % 10 = 1 THEN 0 ELSE l_quantity END AS BIGINT) AS quantity,
+          CAST(900 + l_partkey % 100 AS DOUBLE) AS unit_price_usd,
+          CAST(900 + l_partkey % 100 AS DOUBLE) * l_quantity + CASE WHEN l_orderkey % 50 = 7 THEN CAST(0.5 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS line_total_usd,
+          'W' || CAST(l_suppkey AS STRING) AS _warehouse_id, l_returnflag AS _pick_slot
+        FROM lineitem
+    """,
+    "misfits_raw": """
+        SELECT l_orderkey * 10 + l_linenumber AS line_item_id,
+          CASE l_orderkey % 9 WHEN 1 THEN 'KE-' || CAST(l_linenumber AS STRING) WHEN 2 THEN '1,000' WHEN 3 THEN '4.5' WHEN 4 THEN NULL WHEN 5 THEN '7.0' ELSE CAST(l_suppkey AS STRING) END AS quantity,
+          CASE l_linenumber WHEN 1 THEN '12 USD' WHEN 2 THEN '1e3' WHEN 3 THEN '2.5' ELSE '99' END AS unit_price_usd,
+          CASE WHEN l_orderkey % 5 = 0 THEN 'x' || CAST(l_partkey AS STRING) END AS note
+        FROM lineitem
+    """,
     "clickstream_raw": """
         SELECT event_id, CASE event_type WHEN 'view' THEN 'page_view' WHEN 'click' THEN 'product_view' WHEN 'signup' THEN 'add_to_cart' WHEN 'purchase' THEN 'checkout' ELSE event_type END AS event_type,
           ts AS event_ts, CASE WHEN event_id % 10 < 3 THEN NULL ELSE user_id END AS user_id,
@@ -104,7 +119,7 @@ VIEWS: dict[str, str] = {
     """,
 }
 
-# Every sixth order is an abandoned cart; it holds none, one or two items.
+# Every order is an abandoned cart as well; it holds none, one or two items.
 CARTS = """
     SELECT CAST(o_orderkey AS STRING) AS cart_id, CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE o_custkey END AS user_id,
       CASE WHEN o_orderkey % 4 = 0 THEN 'payment' ELSE 'shipping' END AS abandonment_step, o_totalprice AS cart_total_usd,

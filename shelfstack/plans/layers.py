@@ -11,9 +11,9 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from shelfstack.plans import gold, silver
-from shelfstack.settings import Settings
+from shelfstack.settings import MODES, Settings
 from shelfstack.sinks.tables import ensure_layers, save_table
-from shelfstack.sources.files import read_dataset
+from shelfstack.sources.files import bronze_types, read_dataset, rescue_rules
 from shelfstack.sources.registry import BY_NAME, Dataset, datasets
 from shelfstack.sources.tables import read_table
 
@@ -23,6 +23,8 @@ AUDIT_SCHEMA = (
     "columns int, rules map<string,bigint>, status string"
 )
 CORE_SILVER = ("products", "users", "orders", "order_line_items")
+# The column that tells the groups of a core Gold table apart.
+GOLD_GROUPS = {"daily_revenue": "order_date", "product_performance": "product_id", "customer_ltv": "user_id"}
 
 
 def load_counted(
@@ -55,11 +57,20 @@ def write_audit(audit: DataFrame, path: str) -> None:
     audit.write.mode("append").json(path)
 
 
+def read_source(spark: SparkSession, settings: Settings, dataset: Dataset) -> DataFrame:
+    """The files of a dataset, read by the schema of the Bronze table that the last load left."""
+    name = f"{settings.bronze}.{dataset.bronze}"
+    last = spark.table(name) if spark.catalog.tableExists(name) else None
+    return read_dataset(spark, settings, dataset, last)
+
+
 def extract(spark: SparkSession, settings: Settings, dataset: Dataset) -> tuple:
-    """One dataset into its Bronze table, as it is."""
+    """One dataset into its Bronze table, as it is; cells that do not fit are kept and counted."""
+    source = read_source(spark, settings, dataset)
+    rules = rescue_rules(source, bronze_types(dataset), settings.rescue) if settings.rescue else {}
     return load_counted(
-        "extract", dataset.bronze, read_dataset(spark, settings, dataset), lambda df: df,
-        lambda df: save_table(df, settings.bronze, dataset.bronze, partition_by=dataset.partition_by),
+        "extract", dataset.bronze, source, lambda df: df,
+        lambda df: save_table(df, settings.bronze, dataset.bronze, partition_by=dataset.partition_by), rules,
     )
 
 
@@ -86,8 +97,12 @@ def transform(spark: SparkSession, settings: Settings, dataset: Dataset) -> tupl
 def transform_all(spark: SparkSession, settings: Settings, bonus: bool = False) -> list[tuple]:
     """The four core tables, with ``bonus`` also reviews, clickstream, payments and inventory."""
     ensure_layers(spark, settings.silver)
-    names = CORE_SILVER + (("reviews", "clickstream", "payments", "inventory") if bonus else ())
-    return [transform(spark, settings, BY_NAME[name]) for name in names]
+    return [transform(spark, settings, BY_NAME[name]) for name in silver_names(bonus)]
+
+
+def silver_names(bonus: bool = False) -> tuple[str, ...]:
+    """Datasets that have a Silver table."""
+    return CORE_SILVER + (("reviews", "clickstream", "payments", "inventory") if bonus else ())
 
 
 def gold_frames(spark: SparkSession, settings: Settings, bonus: bool = False) -> dict[str, DataFrame]:
@@ -115,10 +130,12 @@ def gold_frames(spark: SparkSession, settings: Settings, bonus: bool = False) ->
     return frames
 
 
-def create_gold(spark: SparkSession, settings: Settings, bonus: bool = False) -> list[tuple]:
+def create_gold(spark: SparkSession, settings: Settings, bonus: bool = False, leave_out: tuple[str, ...] = ()) -> list[tuple]:
     ensure_layers(spark, settings.gold)
     rows = []
     for table, frame in gold_frames(spark, settings, bonus).items():
+        if table in leave_out:
+            continue
         seen = Observation()
         save_table(frame.observe(seen, F.count("*").alias("rows")), settings.gold, table)
         rows.append(("gold", table, None, seen.get["rows"], None, len(frame.columns), {}, "success"))
@@ -129,6 +146,12 @@ def run(spark: SparkSession, settings: Settings, step: str = "all", bonus: bool
     """Runs one step, or all in order, and returns the audit of the loaded tables."""
     if step not in (*STEPS, "all"):
         raise ValueError(f"step must be one of {STEPS} or 'all', not {step!r}")
+    if settings.mode not in MODES:
+        raise ValueError(f"mode must be one of {MODES}, not {settings.mode!r}")
+    if settings.mode != "replace":
+        from shelfstack.plans.incremental import run_changes  # builds on this module
+
+        return run_changes(spark, settings, step, bonus)
     rows = []
     if step in ("all", "extract"):
         rows += extract_all(spark, settings, bonus)

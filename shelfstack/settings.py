@@ -20,6 +20,8 @@ MODERATION_STATUSES = ("approved", "pending", "rejected")
 OUTGOING_MOVEMENTS = ("sale", "transfer_out", "damaged_write_off", "stock_adjustment_minus")
 MIN_RATING, MAX_RATING = 1, 5
 
+MODES = ("replace", "append", "upsert")
+
 # Largest difference, in dollars, between a stored and a recomputed amount.
 AMOUNT_TOLERANCE = 0.01
 
@@ -38,5 +40,9 @@ class Settings:
     multiline_csv: bool = False
     # Off: Parquet columns are those of one file, and not every footer is read first.
     merge_parquet_schema: bool = True
+    # Bronze column that keeps what does not fit its type or has no column; None drops it.
+    rescue: str | None = "_rescued"
+    # "replace" builds every table anew; "append" and "upsert" load changes (plans/incremental.py).
+    mode: str = "replace"
     check_order_lines_ri: bool = False
     exact_revenue: bool = False
