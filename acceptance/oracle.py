@@ -101,6 +101,18 @@ SILVER = {
         SELECT session_id, bool_or(event_type = 'page_view') AS s1, bool_or(event_type = 'product_view') AS s2,
           bool_or(event_type = 'add_to_cart') AS s3, bool_or(event_type = 'checkout') AS s4
         FROM fct_clickstream WHERE session_id IS NOT NULL GROUP BY session_id""",
+    "moments1": """
+        SELECT e.session_id, min({'ts': e.event_ts, 'id': e.event_id}) AS moment FROM fct_clickstream e
+        WHERE e.event_type = 'page_view' AND e.session_id IS NOT NULL AND e.event_ts IS NOT NULL GROUP BY e.session_id""",
+    "moments2": """
+        SELECT e.session_id, min({'ts': e.event_ts, 'id': e.event_id}) AS moment FROM fct_clickstream e JOIN moments1 b ON b.session_id = e.session_id AND (e.event_ts > b.moment.ts OR e.event_ts = b.moment.ts AND e.event_id > b.moment.id)
+        WHERE e.event_type = 'product_view' AND e.session_id IS NOT NULL AND e.event_ts IS NOT NULL GROUP BY e.session_id""",
+    "moments3": """
+        SELECT e.session_id, min({'ts': e.event_ts, 'id': e.event_id}) AS moment FROM fct_clickstream e JOIN moments2 b ON b.session_id = e.session_id AND (e.event_ts > b.moment.ts OR e.event_ts = b.moment.ts AND e.event_id > b.moment.id)
+        WHERE e.event_type = 'add_to_cart' AND e.session_id IS NOT NULL AND e.event_ts IS NOT NULL GROUP BY e.session_id""",
+    "moments4": """
+        SELECT e.session_id, min({'ts': e.event_ts, 'id': e.event_id}) AS moment FROM fct_clickstream e JOIN moments3 b ON b.session_id = e.session_id AND (e.event_ts > b.moment.ts OR e.event_ts = b.moment.ts AND e.event_id > b.moment.id)
+        WHERE e.event_type = 'checkout' AND e.session_id IS NOT NULL AND e.event_ts IS NOT NULL GROUP BY e.session_id""",
     "funnel_totals": """
         SELECT COUNT(*) FILTER (WHERE s1) AS n1, COUNT(*) FILTER (WHERE s2) AS n2,
           COUNT(*) FILTER (WHERE s3) AS n3, COUNT(*) FILTER (WHERE s4) AS n4 FROM session_steps""",
@@ -334,6 +346,7 @@ ORACLE |= {name: sql(text) for name, text in {
         _fk("inventory.product_id", "inventory_raw", "product_id", "products_raw", "product_id"),
         _fk("abandoned_carts.user_id", "abandoned_carts", "user_id", "users_raw", "user_id"),
         _fk("abandoned_carts.recovered_order_id", "abandoned_carts", "recovered_order_id", "orders_raw", "order_id"),
+        _fk("abandoned_carts.items.product_id", "cart_items", "product_id", "products_raw", "product_id"),
         _fk("fct_order_lines.product_id", "fct_order_lines", "product_id", "dim_products", "product_id"),
     ),
     "product_sizes": """
@@ -479,6 +492,18 @@ ORACLE["upsert_twice"] = sql("""
 ORACLE |= {f"run_{table}": ORACLE[table] for table in ("daily_revenue", "product_performance", "customer_ltv")}
 ORACLE |= {f"run_incremental_{table}": ORACLE[table] for table in ("daily_revenue", "product_performance", "customer_ltv")}
 
+ORACLE |= {name: sql(text) for name, text in {
+    "carts_with_products": """
+        SELECT c.cart_id, c.product_id, c.quantity, c.unit_price_usd, p.brand, p.price_usd
+        FROM cart_items c LEFT JOIN dim_products p ON c.product_id = p.product_id""",
+    "funnel_in_order": """
+        SELECT step_no, step, sessions, CAST(sessions AS DOUBLE) / nullif(CAST(first_value(sessions) OVER (ORDER BY step_no) AS DOUBLE), 0) AS rate FROM (
+          SELECT 1 AS step_no, 'page_view' AS step, count(*) AS sessions FROM moments1
+          UNION ALL SELECT 2, 'product_view', count(*) FROM moments2
+          UNION ALL SELECT 3, 'add_to_cart', count(*) FROM moments3
+          UNION ALL SELECT 4, 'checkout', count(*) FROM moments4) AS steps""",
+}.items()}
+
 MISFIT_CELLS = """
     (SELECT line_item_id, note,
       CASE WHEN quantity LIKE 'KE-%' OR quantity IN ('1,000', '4.5') THEN quantity END AS quantity_text,

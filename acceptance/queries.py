@@ -173,6 +173,11 @@ def funnel_analysis(i: Inputs) -> DataFrame:
     return gold.funnel_analysis(i.clickstream)
 
 
+@query
+def funnel_in_order(i: Inputs) -> DataFrame:
+    return gold.funnel_in_order(i.clickstream, ts=TS)
+
+
 @query
 def inventory_status(i: Inputs) -> DataFrame:
     return gold.inventory_status(i.inventory)
@@ -267,6 +272,12 @@ def payments_with_orders(i: Inputs) -> DataFrame:
     return joins.follow(tables, "payments", "order_id", ["order_status"], "transaction_id")
 
 
+@query
+def carts_with_products(i: Inputs) -> DataFrame:
+    tables = {"abandoned_carts": i.raw("abandoned_carts").select("cart_id", "items"), "products": i.products}
+    return joins.follow(tables, "abandoned_carts", "items.product_id", ["brand", "price_usd"], "cart_id")
+
+
 @query
 def fk_violations(i: Inputs) -> DataFrame:
     bronze = {name: i.raw("search" if name == "search_events" else name) for name in BY_NAME}

@@ -8,6 +8,8 @@ plain SQL joins would repeat rows, the number of repeats is carried along and mu
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -171,6 +173,33 @@ def funnel_analysis(events: DataFrame, steps: tuple[str, ...] = FUNNEL_STEPS) ->
     )
 
 
+def funnel_in_order(
+    events: DataFrame, ts: str = "timestamp", event: str = "event_id", steps: tuple[str, ...] = FUNNEL_STEPS
+) -> DataFrame:
+    """Sessions that took the steps one after the other, and their share of the sessions of the first step.
+
+    A step counts from its earliest event after the earliest time the step before was reached; of equal stamps
+    the smaller ``event`` is first. Events without a stamp or session have no place in the order. Each step's
+    events cross the network once, and a session is one row per task by then, however many events it has.
+    """
+    moment = F.struct(F.col(ts).alias("ts"), F.col(event).alias("event"))
+    placed = events.filter(F.col("session_id").isNotNull() & F.col(ts).isNotNull())
+    reached: list[DataFrame] = []
+    for step in steps:
+        of_step = placed.filter(F.col("event_type") == step).select("session_id", moment.alias("moment"))
+        if reached:
+            before = reached[-1].withColumnRenamed("moment", "before")
+            of_step = of_step.join(before, "session_id").filter(F.col("moment") > F.col("before"))
+        reached.append(of_step.groupBy("session_id").agg(F.min("moment").alias("moment")))
+    counts = reduce(DataFrame.unionByName, [
+        frame.agg(F.lit(i).alias("step_no"), F.lit(step).alias("step"), F.count("*").alias("sessions"))
+        for i, (step, frame) in enumerate(zip(steps, reached), start=1)
+    ])
+    rows = counts.agg(F.array_sort(F.collect_list(F.struct("step_no", "step", "sessions"))).alias("rows"))  # one per step
+    table = rows.select(F.col("rows")[0]["sessions"].alias("first_sessions"), F.inline("rows"))
+    return table.select("step_no", "step", "sessions", _share("sessions", "first_sessions").alias("rate"))
+
+
 def inventory_status(inventory: DataFrame) -> DataFrame:
     """Current stock per product from the signed movements."""
     return inventory.groupBy("product_id").agg(

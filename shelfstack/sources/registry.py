@@ -50,7 +50,7 @@ def datasets(bonus: bool = False) -> tuple[Dataset, ...]:
     return tuple(d for d in DATASETS if d.core or bonus)
 
 
-# Child dataset and column, and the dataset and key they point to.
+# Child dataset and column (with a dot: a field of the items of an array), and the dataset and key they point to.
 RELATIONS = (
     ("orders", "user_id", "users", "user_id"),
     ("order_line_items", "order_id", "orders", "order_id"),
@@ -67,4 +67,5 @@ RELATIONS = (
     ("inventory", "product_id", "products", "product_id"),
     ("abandoned_carts", "user_id", "users", "user_id"),
     ("abandoned_carts", "recovered_order_id", "orders", "order_id"),
+    ("abandoned_carts", "items.product_id", "products", "product_id"),
 )

@@ -160,3 +160,21 @@ def test_conversion_without_interactions(spark):
     sold = spark.createDataFrame([(1, 4), (2, 1)], "product_id long, num_orders long")
     touched = spark.createDataFrame([(1,), (1,)], "product_id long")
     assert rows(gold.product_conversion(sold, touched)) == [(1, 4, 2, 2.0), (2, 1, 0, None)]
+
+
+def test_funnel_in_order(spark):
+    events = spark.createDataFrame(
+        [
+            # In order; each step before the one it needs; the second view of a page does not undo the first.
+            ("a", 1, 1, "page_view"), ("a", 2, 2, "product_view"), ("a", 3, 3, "page_view"), ("a", 4, 4, "add_to_cart"), ("a", 5, 5, "checkout"),
+            ("b", 1, 6, "checkout"), ("b", 2, 7, "add_to_cart"), ("b", 3, 8, "product_view"), ("b", 4, 9, "page_view"),
+            # A step left out; equal stamps in the order of the ids; no stamp, no session.
+            ("c", 1, 10, "page_view"), ("c", 2, 11, "add_to_cart"), ("c", 3, 12, "product_view"), ("c", 4, 13, "add_to_cart"),
+            ("d", 1, 14, "page_view"), ("d", 1, 15, "product_view"), ("e", 1, 17, "page_view"), ("e", 1, 16, "product_view"),
+            ("f", 1, 18, "page_view"), ("f", None, 19, "product_view"), (None, 2, 20, "page_view"),
+        ],
+        "session_id string, timestamp long, event_id long, event_type string")
+    got = {r.step: (r.step_no, r.sessions, r.rate) for r in gold.funnel_in_order(events).collect()}
+    assert got == {"page_view": (1, 6, 1.0), "product_view": (2, 3, 0.5), "add_to_cart": (3, 2, 2 / 6), "checkout": (4, 1, 1 / 6)}
+    none = gold.funnel_in_order(events.filter("event_id < 0"))
+    assert {(r.sessions, r.rate) for r in none.collect()} == {(0, None)}
