@@ -526,3 +526,4 @@ ORACLE |= {name: sql(text) for name, text in {
         SELECT event_id, CAST(user_id AS VARCHAR) AS user_id, CASE WHEN dt < DATE '2024-01-11' THEN floor(_ttfb_ms) ELSE _ttfb_ms END AS _ttfb_ms, dt
         FROM clickstream_raw""",
 }.items()}
+ORACLE["bronze_csv_stream"] = ORACLE["bronze_csv_rescued"]

@@ -20,6 +20,7 @@ from shelfstack.sources import files
 from shelfstack.sources.registry import BY_NAME
 from shelfstack.sources.schemas import column_types
 from shelfstack.sources.tables import read_table, run_sql
+from shelfstack.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -523,6 +524,21 @@ def bronze_csv_rescued(i: Inputs) -> DataFrame:
     return bronze.select("line_item_id", "quantity", "unit_price_usd", kept("quantity").alias("quantity_text"), kept("unit_price_usd").alias("price_text"))
 
 
+@query
+def bronze_csv_stream(i: Inputs) -> DataFrame:
+    """The same cells in files that arrive in two runs of an incremental load."""
+    root, dataset = i.scratch("stream"), BY_NAME["order_line_items"]
+    settings = Settings(raw_root=f"{root}/raw", bronze=f"bronze_{root.rpartition('-')[2]}")
+    i.spark.sql(f"CREATE DATABASE {settings.bronze} LOCATION '{root}/bronze'")
+    for late in (False, True):
+        part = i.raw("misfits").filter((F.col("line_item_id") % 3 == 0) == late)
+        sinks.write_csv(part, f"{settings.raw_root}/{dataset.key}", mode="append")
+        ingest.ingest_new_files(i.spark, settings, dataset, f"{root}/log")
+    kept = lambda name: F.col("_rescued")[name]
+    bronze = read_table(i.spark, settings.bronze, dataset.bronze)
+    return bronze.select("line_item_id", "quantity", "unit_price_usd", kept("quantity").alias("quantity_text"), kept("unit_price_usd").alias("price_text"))
+
+
 @query
 def bronze_jsonl_rescued(i: Inputs) -> DataFrame:
     """The same as JSON lines, read by a schema that does not know one of the fields."""

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 
 def ensure_layers(spark: SparkSession, *layers: str) -> None:
@@ -26,6 +27,14 @@ def save_table(
     writer.saveAsTable(f"{layer}.{table}")
 
 
+def add_columns(spark: SparkSession, layer: str, table: str, schema: T.StructType) -> None:
+    """Adds the columns of ``schema`` that the table does not have; older rows have NULLs there."""
+    known = spark.table(f"{layer}.{table}").columns
+    new = [f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields if f.name not in known]
+    if new:
+        spark.sql(f"ALTER TABLE {layer}.{table} ADD COLUMNS ({', '.join(new)})")
+
+
 def create_view(spark: SparkSession, layer: str, view: str, sql: str) -> None:
     spark.sql(f"CREATE OR REPLACE VIEW {layer}.{view} AS {sql}")
 
