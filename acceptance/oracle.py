@@ -469,6 +469,7 @@ ORACLE |= {name: sql(text) for name, text in {
         _audit_rule("fct_orders", "unknown_status", "orders_raw", f"NOT {KNOWN}"),
         _audit_rule("fct_orders", "unreadable_date", "orders_raw",
                     f"{KNOWN} AND TRY_CAST(order_date AS TIMESTAMP) IS NULL"),
+        _audit_rule("fct_orders", "ambiguous_date", "orders_raw", "false"),
         _audit_rule("fct_orders", "inconsistent_total", "fct_orders", f"{ORDER_GAP} > {TOLERANCE}"),
         _audit_rule("fct_order_lines", "quantity_not_positive", "order_line_items_raw",
                     "NOT coalesce(quantity > 0, false)"),
@@ -527,3 +528,13 @@ ORACLE |= {name: sql(text) for name, text in {
         FROM clickstream_raw""",
 }.items()}
 ORACLE["bronze_csv_stream"] = ORACLE["bronze_csv_rescued"]
+ORACLE |= {name: sql(text) for name, text in {
+    "fct_orders_dated": """
+        SELECT r.order_id, r.status, r.total_usd, CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) + CASE r.order_id % 8 WHEN 2 THEN INTERVAL '8 hours 15 minutes'
+            WHEN 5 THEN INTERVAL '8 hours 30 minutes' WHEN 6 THEN INTERVAL '25 hours 500 milliseconds' ELSE INTERVAL '0 hours' END AS order_date
+        FROM orders_dated_raw r JOIN orders ON r.order_id = o_orderkey WHERE r.order_id % 8 <> 7""",
+    "date_formats": """
+        SELECT CASE order_id % 8 WHEN 0 THEN 'iso' WHEN 1 THEN 'year_first' WHEN 3 THEN 'dotted' WHEN 4 THEN 'compact' WHEN 5 THEN 'iso_offset'
+            WHEN 6 THEN 'iso_offset' WHEN 7 THEN 'other' ELSE CASE WHEN CAST(substr(order_date, 1, 2) AS INTEGER) > 12 THEN 'day_first' ELSE 'ambiguous' END END AS format,
+          count(*) AS cnt FROM orders_dated_raw GROUP BY ALL""",
+}.items()}

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from acceptance.views import base_tables, register, view
-from shelfstack.functions import values
+from shelfstack.functions import dates, values
 from shelfstack.functions.text import tag_array
 from shelfstack.operators import carts, columns, joins, profile, quality, ranking, search, sessions, sets
 from shelfstack.plans import gold, layers, silver
@@ -101,6 +101,18 @@ def fct_orders(i: Inputs) -> DataFrame:
     return i.orders
 
 
+@query
+def fct_orders_dated(i: Inputs) -> DataFrame:
+    """Dates in seven formats and unreadable ones."""
+    bronze = i.raw("orders_dated")
+    return silver.fct_orders(bronze, dates.day_first(bronze, "order_date"))
+
+
+@query
+def date_formats(i: Inputs) -> DataFrame:
+    return dates.date_formats(i.raw("orders_dated"), "order_date")
+
+
 @query
 def fct_order_lines(i: Inputs) -> DataFrame:
     return i.lines

@@ -44,6 +44,14 @@ VIEWS: dict[str, str] = {
           'ch_' || CAST(o_orderkey AS STRING) AS _stripe_charge_id, CAST(o_orderkey % 10 AS DOUBLE) AS _fraud_score
         FROM orders
     """,
+    "orders_dated_raw": """
+        SELECT o_orderkey AS order_id, 'shipped' AS status, o_totalprice AS total_usd,
+          CASE o_orderkey % 8 WHEN 0 THEN d WHEN 1 THEN substr(d, 1, 4) || '/' || substr(d, 6, 2) || '/' || substr(d, 9, 2)
+            WHEN 2 THEN substr(d, 9, 2) || '/' || substr(d, 6, 2) || '/' || substr(d, 1, 4) || ' 08:15:00'
+            WHEN 3 THEN substr(d, 9, 2) || '.' || substr(d, 6, 2) || '.' || substr(d, 1, 4) WHEN 4 THEN replace(d, '-', '')
+            WHEN 5 THEN d || 'T10:30:00+02:00' WHEN 6 THEN d || ' 23:30:00.5-0130' ELSE 'on ' || d END AS order_date
+        FROM (SELECT *, CAST(CAST(o_orderdate AS DATE) AS STRING) AS d FROM orders) AS dated
+    """,
     "order_line_items_raw": """
         SELECT CASE WHEN l_orderkey % 97 = 5 THEN l_orderkey + 100000000 ELSE l_orderkey END AS order_id, l_partkey AS product_id,
           CAST(CASE WHEN l_linenumber = 7 AND l_orderkey % 10 = 1 THEN 0 ELSE l_quantity END AS BIGINT) AS quantity,

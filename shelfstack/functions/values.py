@@ -45,17 +45,6 @@ def whole_number(col: Column) -> Column:
     return F.regexp_replace(col, r"\.0+$", "").try_cast("bigint")
 
 
-def parse_timestamp(col: Column) -> Column:
-    """ISO dates and timestamps, each row by itself; anything else is NULL.
-
-    The cast alone would also take ``2026`` and ``2026-2``; the two dashes ask for a full date. The
-    result has no time zone, like the naive stamps in the files.
-    """
-    text = col.cast("string")
-    full_date = (F.substring(text, 5, 1) == "-") & (F.substring(text, 8, 1) == "-")
-    return F.when(full_date, text.try_cast("timestamp_ntz"))
-
-
 def cents(col: Column) -> Column:
     """An amount in dollars as whole cents, halves rounded away from zero.
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfstack.functions.text import clean_query
@@ -32,34 +32,58 @@ def correct_queries(
 
 
 def _nearest(typos: DataFrame, terms: DataFrame, max_edits: int) -> DataFrame:
-    """Best term per query.
-
-    Two strings within k edits share a string that is left of both after at most k deletions,
-    so an equi-join on those finds every candidate without comparing all pairs.
-    """
-    left = _deletions(typos, "query_clean", max_edits)
-    right = _deletions(terms, "term", max_edits)
-    distance = F.levenshtein("query_clean", "term", max_edits)
-    candidates = left.join(right, "variant").withColumn("edit_distance", distance)
+    """Best term per query; every candidate pair is compared once."""
+    pairs = candidate_pairs(typos, terms, max_edits).withColumn(
+        "edit_distance", F.levenshtein("query_clean", "term", max_edits))
     return (
-        candidates.filter(F.col("edit_distance") >= 0)
+        pairs.filter(F.col("edit_distance") >= 0)
         .groupBy("query_clean").agg(F.min(F.struct("edit_distance", "term")).alias("best"))
         .select("query_clean", F.col("best.term").alias("query_corrected"), "best.edit_distance")
     )
 
 
-def _deletions(df: DataFrame, column: str, depth: int) -> DataFrame:
-    """``column`` with a hash of itself and of every string left by up to ``depth`` deletions."""
-    # Each step deletes one letter at or after the last deleted place, or (place 0) ends the deletions.
-    level = df.select(column, F.col(column).alias("rest"), F.lit(1).alias("place"))
-    for _ in range(depth):
-        open_places = F.when(
-            (F.col("place") > 0) & (F.col("place") <= F.length("rest")),
-            F.concat(F.array(F.lit(0)), F.sequence("place", F.length("rest"))),
-        ).otherwise(F.array(F.lit(0)))
-        before = F.substring("rest", F.lit(1), F.col("place") - 1)
-        after = F.substring("rest", F.col("place") + 1, F.length("rest"))
-        level = level.select(column, "rest", F.explode(open_places).alias("place")).withColumn(
-            "rest", F.when(F.col("place") == 0, F.col("rest")).otherwise(F.concat(before, after))
-        )
-    return level.select(column, F.xxhash64("rest").alias("variant"))
+def candidate_pairs(typos: DataFrame, terms: DataFrame, max_edits: int) -> DataFrame:
+    """Pairs of ``query_clean`` and ``term`` that could be within ``max_edits``, each once.
+
+    A term is cut into one segment more than there are edits, so one segment is untouched. It then stands in the
+    query, moved by no more places than the edits left and right of it can make up for. A term is as many rows
+    as it has segments; the rows of a query depend on ``max_edits`` alone, not on its length.
+    """
+    found = segments(terms, max_edits).join(_probes(typos, max_edits), "segment")
+    return found.select("query_clean", "term").distinct()
+
+
+def segments(terms: DataFrame, max_edits: int) -> DataFrame:
+    """``term`` and the hash of each of its segments, with the segment's number and the term's length."""
+    size = F.length("term")
+    keys = F.array(*[_key(i, size, F.substring("term", *_place(size, i, max_edits))) for i in range(max_edits + 1)])
+    return terms.select("term", F.explode(keys).alias("segment"))
+
+
+def _place(size: Column, i: int, max_edits: int) -> tuple[Column, Column]:
+    """First place and length of segment ``i`` of a string; the later ones take what does not divide."""
+    parts = max_edits + 1
+    short = F.floor(size / parts).cast("int")
+    longer = parts - size % parts  # segments before this one have the short length
+    return i * short + F.greatest(F.lit(0), F.lit(i) - longer) + 1, short + F.when(F.lit(i) >= longer, 1).otherwise(0)
+
+
+def _key(i: int, size: Column, text: Column) -> Column:
+    return F.xxhash64(F.lit(i), size.cast("int"), text)
+
+
+def _probes(queries: DataFrame, max_edits: int) -> DataFrame:
+    """``query_clean`` and the hashes of all its substrings that can be a segment of a term within reach."""
+    own = F.length("query_clean")
+    lengths = queries.select("query_clean", F.explode(F.sequence(F.greatest(own - max_edits, F.lit(0)), own + max_edits)).alias("size"))
+    size, more = F.col("size"), own - F.col("size")
+
+    def of_segment(i: int) -> Column:
+        start, length = _place(size, i, max_edits)
+        low = F.greatest(F.lit(1), start - F.floor((max_edits - more) / 2).cast("int"))
+        high = F.least(own - length + 1, start + F.floor((max_edits + more) / 2).cast("int"))
+        places = F.when(low <= high, F.sequence(low, high)).otherwise(F.array().cast("array<int>"))
+        return F.transform(places, lambda at: _key(i, size, F.substring("query_clean", at, length)))
+
+    keys = F.array_distinct(F.flatten(F.array(*[of_segment(i) for i in range(max_edits + 1)])))
+    return lengths.select("query_clean", F.explode(keys).alias("segment"))

@@ -10,6 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from shelfstack.functions.dates import day_first
 from shelfstack.plans import gold, silver
 from shelfstack.settings import MODES, Settings
 from shelfstack.sinks.tables import ensure_layers, save_table
@@ -88,6 +89,9 @@ def transform(spark: SparkSession, settings: Settings, dataset: Dataset) -> tupl
         orders = read_table(spark, settings.silver, "fct_orders")
         build = lambda df: silver.fct_order_lines(df, orders)
     rules = silver.RULES[table](bronze) if table in silver.RULES else {}
+    if table == "fct_orders":
+        order = day_first(bronze, "order_date")  # a pass over this one column
+        build, rules = (lambda df: silver.fct_orders(df, order)), silver.order_rules(bronze, order)
     return load_counted(
         "transform", table, bronze, build,
         lambda df: save_table(df, settings.silver, table, partition_by=dataset.partition_by), rules,

@@ -11,8 +11,9 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfstack.functions.dates import is_ambiguous, parse_timestamp
 from shelfstack.functions.text import clean_email, join_tags, phone_country
-from shelfstack.functions.values import flag, is_number, parse_timestamp, signed_quantity
+from shelfstack.functions.values import flag, is_number, signed_quantity
 from shelfstack.operators.columns import drop_internal, fill, has_columns
 from shelfstack.operators.joins import with_parent
 from shelfstack.operators.quality import (
@@ -50,10 +51,13 @@ def dim_users(bronze: DataFrame, max_phone_digits: int | None = None) -> DataFra
     })
 
 
-def fct_orders(bronze: DataFrame) -> DataFrame:
-    """Orders with a known status and a readable date; wrong totals are counted, not dropped."""
+def fct_orders(bronze: DataFrame, day_first: bool | None = None) -> DataFrame:
+    """Orders with a known status and a readable date; wrong totals are counted, not dropped.
+
+    ``day_first`` tells how to read slashed dates (``dates.day_first`` counts what the column itself says).
+    """
     df = drop_internal(bronze).filter(F.col("status").isin(*ORDER_STATUSES))
-    df = df.withColumn("order_date", parse_timestamp(F.col("order_date")))
+    df = df.withColumn("order_date", parse_timestamp(F.col("order_date"), day_first))
     return fill(df.filter(F.col("order_date").isNotNull()), {"coupon_code": ""})
 
 
@@ -97,10 +101,11 @@ def product_rules(df: DataFrame) -> dict[str, Column]:
     return {"price_not_positive": ~F.coalesce((F.col("price_usd") > 0) & is_number(df, "price_usd"), F.lit(False))}
 
 
-def order_rules(df: DataFrame) -> dict[str, Column]:
+def order_rules(df: DataFrame, day_first: bool | None = None) -> dict[str, Column]:
     known = F.coalesce(F.col("status").isin(*ORDER_STATUSES), F.lit(False))
-    dated = parse_timestamp(F.col("order_date")).isNotNull()
-    rules = {"unknown_status": ~known, "unreadable_date": known & ~dated}
+    dated = parse_timestamp(F.col("order_date"), day_first).isNotNull()
+    unclear = known & ~dated & is_ambiguous(F.col("order_date"))  # part of the unreadable ones
+    rules = {"unknown_status": ~known, "unreadable_date": known & ~dated, "ambiguous_date": unclear}
     if has_columns(df, *ORDER_AMOUNTS):
         rules["inconsistent_total"] = known & dated & (order_total_gap(df) > AMOUNT_TOLERANCE)
     return rules

@@ -3,7 +3,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from shelfstack.functions import text, values
+from shelfstack.functions import dates, text, values
 from shelfstack.operators import carts, columns
 from tests.conftest import rows
 
@@ -36,9 +36,14 @@ def test_flag_from_numbers(spark, raw, expected):
     ("2026-02-11", datetime(2026, 2, 11)), ("2026-02-11 10:00:00", datetime(2026, 2, 11, 10)),
     ("2026-02-11T10:00:00", datetime(2026, 2, 11, 10)), ("2026-02-30", None), ("2026-02", None), ("2026", None),
     ("11/02/2026", None), ("bad", None), ("", None), (None, None),
+    ("2026/2/11", datetime(2026, 2, 11)), ("2026/02/11 10:00:00", datetime(2026, 2, 11, 10)), ("20260211", datetime(2026, 2, 11)),
+    ("11.2.2026", datetime(2026, 2, 11)), ("31/01/2026", datetime(2026, 1, 31)), ("01/31/2026 08:00:00", datetime(2026, 1, 31, 8)),
+    ("2026-02-11T10:00:00+02:00", datetime(2026, 2, 11, 8)), ("2026-02-11 00:30:00+0100", datetime(2026, 2, 10, 23, 30)),
+    ("2026-02-11T10:00:00Z", datetime(2026, 2, 11, 10)), ("2026-02-11T10:00:00.5-01:30", datetime(2026, 2, 11, 11, 30, 0, 500000)),
+    ("2026-02-11T10:00:00-05", datetime(2026, 2, 11, 15)), ("2026/13/01", None), ("2026021", None), ("32.1.2026", None), ("13/13/2026", None),
 ])
 def test_parse_timestamp(spark, raw, expected):
-    assert value(spark, values.parse_timestamp(F.lit(raw).cast("string"))) == expected
+    assert value(spark, dates.parse_timestamp(F.lit(raw).cast("string"))) == expected
 
 
 @pytest.mark.parametrize("raw,expected", [("7", 7), ("7.0", 7), ("7.00", 7), ("7.5", None), ("x", None), ("-3", -3)])
@@ -115,3 +120,17 @@ def test_flatten_items(spark):
     assert rows(carts.flatten_items(carts_df)) == [
         ("a", 1, 2), ("a", 2, 1), ("b", None, None), ("c", None, None)
     ]
+
+
+def test_the_column_says_which_number_is_the_day(spark):
+    frame = lambda *texts: spark.createDataFrame([(t,) for t in texts], "d string")
+    days = frame("03/04/2024", "25/12/2024", "2024-01-01", None, "soon", "2024-01-01T10:00:00Z", "20240101", "1.1.2024", "2024/1/1")
+    assert {r.format: r.cnt for r in dates.date_formats(days, "d").collect()} == {
+        "ambiguous": 1, "day_first": 1, "iso": 1, "iso_offset": 1, "missing": 1, "other": 1, "compact": 1, "dotted": 1, "year_first": 1}
+    assert dates.day_first(days, "d") is True
+    assert dates.day_first(frame("03/04/2024", "12/25/2024"), "d") is False
+    assert dates.day_first(frame("03/04/2024"), "d") is None and dates.day_first(frame("25/12/2024", "12/25/2024"), "d") is None
+    read = lambda order: value(spark, dates.parse_timestamp(F.lit("03/04/2024"), order))
+    assert (read(True), read(False), read(None)) == (datetime(2024, 4, 3), datetime(2024, 3, 4), None)
+    both = frame("03/04/2024", "05/05/2024", "25/12/2024", "x")
+    assert [r.a for r in both.select(dates.is_ambiguous(F.col("d")).alias("a")).collect()] == [True, False, False, False]

@@ -260,3 +260,36 @@ def test_query_correction_against_all_pairs(spark):
         clean = None if query is None else " ".join(query.lower().split())
         near = [] if clean is None else sorted((edits(clean, w), w) for w in known if edits(clean, w) <= 2)
         assert got[i] == ((near[0][1], near[0][0]) if near else (None, None)), (query, near[:1])
+
+
+def test_corrections_of_short_long_and_many_worded_queries(spark):
+    import random
+
+    rng = random.Random(5)
+    words = ["".join(rng.choice("abc") for _ in range(rng.randint(0, 7))) for _ in range(80)] + ["red running shoe", "blue running shoe", "x" * 300]
+
+    def changed(word):
+        letters = list(word)
+        for _ in range(rng.randint(0, 3)):
+            at, kind = rng.randint(0, len(letters)), rng.randint(0, 2)
+            letters[at : at + (kind > 0)] = [] if kind == 2 else [rng.choice("abc")]
+        return "".join(letters)
+
+    queries = sorted({changed(rng.choice(words)) for _ in range(150)} | {"rd runing shoe", "x" * 298, "y" + "x" * 299})
+
+    def distance(one, two):
+        row = list(range(len(two) + 1))
+        for i, c in enumerate(one, 1):
+            before, row[0] = row[0], i
+            for j, d in enumerate(two, 1):
+                before, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, before + (c != d))
+        return row[-1]
+
+    frames = spark.createDataFrame([(q,) for q in queries], "query_clean string"), spark.createDataFrame([(w,) for w in set(words)], "term string")
+    for edits in (1, 2):
+        got = {tuple(r) for r in search.candidate_pairs(*frames, edits).collect()}
+        near = {(q, w) for q in queries for w in set(words) if abs(len(q) - len(w)) <= edits and distance(q, w) <= edits}
+        assert near <= got
+    # Rows do not grow with the length: three segments a term, and at most 3 places of 3 segments for 5 lengths.
+    assert search.segments(frames[1], 2).count() == 3 * len(set(words))
+    assert search._probes(frames[0].filter("length(query_clean) > 200"), 2).count() <= 2 * 45
