@@ -302,7 +302,7 @@ def fk_violations(i: Inputs) -> DataFrame:
 
 @query
 def product_sizes(i: Inputs) -> DataFrame:
-    return i.products.select("product_id", F.explode(values.string_list(F.col("available_sizes_json"))).alias("size"))
+    return gold.product_sizes(i.products)
 
 
 @query
@@ -448,9 +448,7 @@ def cast_failures(i: Inputs) -> DataFrame:
 
 @query
 def revenue_reconciliation(i: Inputs) -> DataFrame:
-    plain = quality.revenue_reconciliation(gold.daily_revenue(i.orders, i.lines, ordered=False), i.orders)
-    exact = quality.revenue_reconciliation(gold.daily_revenue(i.orders, i.lines, exact=True, ordered=False), i.orders)
-    return plain.withColumn("variant", F.lit("per_line")).unionByName(exact.withColumn("variant", F.lit("exact")))
+    return quality.reconciled(gold.revenue_by_variant(i.orders, i.lines), i.orders)
 
 
 @query

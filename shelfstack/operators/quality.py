@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfstack.operators import sets
@@ -110,6 +110,17 @@ def revenue_reconciliation(daily_revenue: DataFrame, orders: DataFrame) -> DataF
     )
 
 
+def reconciled(reported: DataFrame, orders: DataFrame) -> DataFrame:
+    """Rows of ``variant`` and ``reported_revenue`` (few) against the revenue of ``orders``, which are read once for all of them."""
+    expected = orders.filter(~F.col("status").isin(*NON_REVENUE_STATUSES)).agg(
+        dollars(F.sum(cents(F.col("total_usd")))).alias("expected_revenue"))
+    off = F.abs(F.col("reported_revenue") - F.col("expected_revenue"))
+    together = reported.unionByName(expected, allowMissingColumns=True)  # a handful of rows
+    everywhere = F.max("expected_revenue").over(Window.partitionBy())
+    return together.withColumn("expected_revenue", everywhere).filter(F.col("variant").isNotNull()).withColumn(
+        "matches", F.coalesce(off <= AMOUNT_TOLERANCE, F.lit(False)))
+
+
 def all_filled(counts: DataFrame, expected_tables: int) -> DataFrame:
     """One row: are there ``expected_tables`` tables, and does each hold rows?"""
     return counts.agg(

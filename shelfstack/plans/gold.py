@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfstack.functions.values import cents, dollars, total_of, whole_days
+from shelfstack.functions.values import cents, dollars, string_list, total_of, whole_days
 from shelfstack.operators.joins import lookup
 from shelfstack.operators.ranking import ascending, descending
 from shelfstack.settings import EMAIL_EVENTS, FUNNEL_STEPS, NON_REVENUE_STATUSES
@@ -33,18 +33,15 @@ def _share(part: str, whole: str) -> Column:
     return _per(F.col(part), whole)
 
 
-def daily_revenue(orders: DataFrame, lines: DataFrame, exact: bool = False, ordered: bool = True) -> DataFrame:
-    """Orders, revenue, average order value and items per day.
+def _orders_with_lines(orders: DataFrame, lines: DataFrame) -> DataFrame:
+    """Per revenue order and day: its rows, its total in cents, and the rows and quantity of its lines.
 
-    The default counts the total of an order once per line it has, as the plain LEFT JOIN of orders
-    and lines does; ``exact=True`` counts it once. ``ordered`` is for reading; a table needs no order.
+    Orders are joined first: both sides then lie by order, and grouping by order needs no shuffle.
     """
     per_line_order = lines.groupBy("order_id").agg(
         F.count("*").alias("line_rows"), F.sum("quantity").alias("quantity")
     )
-    repeats = F.lit(1) if exact else F.coalesce(F.col("line_rows"), F.lit(1))
-    # Orders are joined first: both sides then lie by order, and grouping by order needs no shuffle.
-    per_order = (
+    return (
         revenue_orders(orders)
         .select("order_id", F.to_date("order_date").alias("order_date"), cents(F.col("total_usd")).alias("cents"))
         .join(per_line_order, "order_id", "left")
@@ -57,6 +54,25 @@ def daily_revenue(orders: DataFrame, lines: DataFrame, exact: bool = False, orde
             F.max("quantity").alias("quantity"),
         )
     )
+
+
+def revenue_by_variant(orders: DataFrame, lines: DataFrame) -> DataFrame:
+    """``variant, reported_revenue`` of both daily revenues, from one join of orders and lines."""
+    days = _orders_with_lines(orders, lines).groupBy("order_date").agg(
+        F.sum(F.col("total") * F.coalesce(F.col("line_rows"), F.lit(1))).alias("per_line"), F.sum("total").alias("exact"))
+    names = ["per_line", "exact"]
+    sums = days.agg(*[total_of(dollars(F.col(name))).alias(name) for name in names])
+    return sums.unpivot([], names, "variant", "reported_revenue")
+
+
+def daily_revenue(orders: DataFrame, lines: DataFrame, exact: bool = False, ordered: bool = True) -> DataFrame:
+    """Orders, revenue, average order value and items per day.
+
+    The default counts the total of an order once per line it has, as the plain LEFT JOIN of orders
+    and lines does; ``exact=True`` counts it once. ``ordered`` is for reading; a table needs no order.
+    """
+    repeats = F.lit(1) if exact else F.coalesce(F.col("line_rows"), F.lit(1))
+    per_order = _orders_with_lines(orders, lines)
     days = (
         per_order.groupBy("order_date")
         .agg(
@@ -254,3 +270,8 @@ def orders_enriched(orders: DataFrame, users: DataFrame) -> DataFrame:
 def lines_enriched(lines: DataFrame, products: DataFrame) -> DataFrame:
     """Order lines with brand and category of the product."""
     return lookup(lines, products.select("product_id", "brand", "category"), "product_id", spread_by="order_id")
+
+
+def product_sizes(products: DataFrame) -> DataFrame:
+    """One row per product and size on offer, from the JSON list of sizes."""
+    return products.select("product_id", F.explode(string_list(F.col("available_sizes_json"))).alias("size"))

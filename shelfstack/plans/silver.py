@@ -23,6 +23,7 @@ from shelfstack.operators.quality import (
     order_total_gap,
     payment_sign_rules,
 )
+from shelfstack.operators.ranking import number_events
 from shelfstack.settings import AMOUNT_TOLERANCE, MAX_RATING, MIN_RATING, ORDER_STATUSES
 from shelfstack.sources.files import apply_types
 from shelfstack.sources.schemas import column_types
@@ -79,11 +80,15 @@ def fct_reviews(bronze: DataFrame, moderation: tuple[str, ...] = ("approved",))
     return dim_reviews(bronze).filter(F.col("moderation_status").isin(*moderation))
 
 
-def fct_clickstream(bronze: DataFrame) -> DataFrame:
-    """Human traffic without addresses; an unknown bot flag counts as human."""
+def fct_clickstream(bronze: DataFrame, ts: str | None = None) -> DataFrame:
+    """Human traffic without addresses; an unknown bot flag counts as human.
+
+    With ``ts`` every event has its place in its session as well (``event_seq``), which takes a shuffle.
+    """
     df = drop_internal(bronze).drop("ip_address")
     df = df.filter(~F.coalesce(F.col("is_bot"), F.lit(False)))
-    return df.withColumn("is_anonymous", F.col("user_id").isNull())
+    df = df.withColumn("is_anonymous", F.col("user_id").isNull())
+    return number_events(df, "session_id", ts, "event_id") if ts else df
 
 
 def fct_payments(bronze: DataFrame) -> DataFrame:
