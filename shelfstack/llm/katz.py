@@ -1,7 +1,8 @@
 """Language-model scores by Katz backoff over bigrams, with Good-Turing discounts.
 
 Tokens are words and one end per text; a text's first token follows a start. Counts up to ``DISCOUNTED``
-are discounted by Good-Turing; what that frees of a history's probability goes to its unseen successors in
+are discounted by Good-Turing, larger ones by ``TAIL``, so that every history, also one with frequent
+successors only, keeps something for the others; what that frees of a history's probability goes to its unseen successors in
 proportion to their unigram probability, with a backoff weight that makes the history's distribution sum
 to one exactly. Unigrams back off in the same way to one class for all unknown tokens.
 
@@ -27,13 +28,14 @@ from shelfstack.llm.storage import shuffle_width, stored, text_batches
 from shelfstack.llm.texts import SpanHash, blocks, mix, utf8, words
 
 DISCOUNTED = 5
+TAIL = 0.5  # taken off every larger count, as off the others where the counts of counts are too thin
 _START, _END = np.uint64(1), np.uint64(2)
 _HEAVY = 2000  # tokens with more than one in so many of all tokens: there can't be more of them than this
 _FLUSH = 1_000_000  # tokens that a task packs at a time
 _PARTS = 4  # a bucket of bigrams is worked off in so many parts, to bound a task's memory
 COUNT = np.dtype([("word", "u8"), ("count", "u8")])
 PART = np.dtype([("doc", "u8"), ("sum", "f8"), ("base", "f8"), ("tokens", "u4"), ("known", "u4")] + [(f"r{r}", "u4") for r in range(1, DISCOUNTED + 1)])
-HISTORY = np.dtype([("word", "u8"), ("seen", "f8"), ("more", "u8")] + [(f"n{r}", "u4") for r in range(1, DISCOUNTED + 1)])
+HISTORY = np.dtype([("word", "u8"), ("seen", "f8"), ("more", "u8"), ("large", "u4")] + [(f"n{r}", "u4") for r in range(1, DISCOUNTED + 1)])
 ASKED = np.dtype([("word", "u8"), ("doc", "u8"), ("count", "u4")])
 
 
@@ -134,11 +136,11 @@ def _unigrams(train: DataFrame, buckets: int) -> DataFrame:
 def discounts(times: list[int]) -> np.ndarray:
     """Good-Turing factors of the counts 1 to ``DISCOUNTED`` from how many types have each count, up to one more.
 
-    Where the counts of counts are too thin for factors between 0 and 1, the factor of ``r`` is ``(r - 0.5) / r``.
+    Where the counts of counts are too thin for factors between 0 and 1, the factor of ``r`` is ``(r - TAIL) / r``.
     """
     r = np.arange(1, DISCOUNTED + 1)
     n = np.asarray(times, float)
-    plain = (r - 0.5) / r
+    plain = (r - TAIL) / r
     if n[0] <= 0 or n[-1] <= 0:
         return plain
     top = (DISCOUNTED + 1) * n[-1] / n[0]
@@ -149,7 +151,7 @@ def discounts(times: list[int]) -> np.ndarray:
 
 def _discounted(count: np.ndarray, factors: np.ndarray) -> np.ndarray:
     count = count.astype(np.int64)
-    return count * np.where(count <= DISCOUNTED, np.r_[0.0, factors, 1.0][np.minimum(count, DISCOUNTED + 1)], 1.0)
+    return np.where(count <= DISCOUNTED, count * np.r_[0.0, factors, 1.0][np.minimum(count, DISCOUNTED + 1)], count - TAIL)
 
 
 def _bigrams(docs: DataFrame, buckets: int, heavy: np.ndarray) -> DataFrame:
@@ -229,7 +231,7 @@ def _joined(buckets: int, total: int, types: int, factors: np.ndarray, unknown:
         p = np.where(word_count > 0, _discounted(word_count, factors) / max(total, 1), unknown)
         c, cw, n = pair_count[pair_of], word_count[word_of], count.astype(float)
         # What a token adds to its text: log c(h, w) of frequent bigrams, log p(w) of unseen ones; and less log c(w) for the token after it.
-        value = np.where(c > DISCOUNTED, np.log10(np.maximum(c, 1)), np.where(c == 0, np.log10(p)[word_of], 0.0))
+        value = np.where(c > DISCOUNTED, np.log10(np.maximum(c - TAIL, 1)), np.where(c == 0, np.log10(p)[word_of], 0.0))
         value -= np.where((word != _END) & (cw > 0), np.log10(np.maximum(cw, 1)), 0.0)
         names, at = np.unique(doc, return_inverse=True)
         add = lambda w: np.bincount(at, weights=w, minlength=len(names))
@@ -246,6 +248,7 @@ def _joined(buckets: int, total: int, types: int, factors: np.ndarray, unknown:
         masses["seen"] = np.bincount(own, weights=p[word_of[pair[seen]]], minlength=len(told))
         sc = pair_count[seen]
         masses["more"] = np.bincount(own, weights=np.where(sc > DISCOUNTED, sc, 0), minlength=len(told))
+        masses["large"] = np.bincount(own, weights=sc > DISCOUNTED, minlength=len(told))
         for r in range(1, DISCOUNTED + 1):
             masses[f"n{r}"] = np.bincount(own, weights=sc == r, minlength=len(told))
         open_ = np.flatnonzero(c == 0)
@@ -310,8 +313,8 @@ def backoff(told: np.ndarray, factors: np.ndarray) -> tuple[np.ndarray, np.ndarr
     r = np.arange(1, DISCOUNTED + 1)
     kinds = np.stack([total(f"n{i}") for i in r])
     count = (r[:, None] * kinds).sum(0) + total("more")
-    freed = ((1 - factors) * r) @ kinds / count
-    return told["word"][first], np.maximum(freed, 1e-300) / np.maximum(1 - total("seen"), 1e-300), count
+    freed = (((1 - factors) * r) @ kinds + TAIL * total("large")) / count
+    return told["word"][first], freed / np.maximum(1 - total("seen"), np.finfo(float).tiny), count
 
 
 def _summed(group: pd.DataFrame) -> pd.DataFrame:
@@ -351,7 +354,8 @@ def scored(docs: DataFrame) -> DataFrame:
 
     heavy = sorted((np.uint64(r.word % (1 << 64)), r["count"]) for r in single.select("counts").mapInArrow(frequent, "word long, count long").collect())
     names, sizes = np.array([w for w, _ in heavy], np.uint64), np.array([c for _, c in heavy], np.int64)
-    freed = max(float(((1 - factors) * np.arange(1, DISCOUNTED + 1) * np.array(times[:-1])).sum()) / max(total, 1), 1e-300) if total else 1.0
+    taken = float(((1 - factors) * np.arange(1, DISCOUNTED + 1) * np.array(times[:-1])).sum()) + TAIL * (types - sum(times[:-1]))
+    freed = taken / total if total else 1.0
     pairs = _bigrams(rows, buckets, names).groupBy("bucket").applyInPandas(
         _joined(buckets, total, types, factors, freed, names, sizes), "kind string, bucket int, blob binary")
     table = stored(pairs, "bigrams", "kind")

@@ -1,7 +1,7 @@
 """URL rules by Bloom filter cascades: exact membership over the corpus's keys, without joins.
 
-A rule is a host and a path prefix. A URL's keys are its host's suffixes at labels, each followed by the
-path's prefixes of the lengths that rules have; its longest listed key is the rule that decides. The
+A rule is a host and a path prefix. A URL's keys are its host's suffixes of as many
+labels as rules have, each followed by the path's prefixes of the lengths that rules have; its longest listed key is the rule that decides. The
 first level of a cascade encodes the listed keys. Every other key of the corpus that passes it is encoded
 in the second, every listed key that passes that in the third, and so on until nothing passes wrongly;
 the level that first turns a key away then tells whether it is listed. A level's size follows the listed
@@ -66,10 +66,15 @@ def host_and_path(url: Column) -> tuple[Column, Column]:
     return F.translate(part(1), _CAPITALS, _CAPITALS.lower()), part(2)
 
 
-def url_keys(host: Column, path: Column, lengths: list[int]) -> Column:
-    """All keys that could be rules for a URL, the longest first, of equal ones that with the longer host."""
-    labels = F.split(host, r"\.")
-    suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+def url_keys(host: Column, path: Column, lengths: list[int], labels: list[int]) -> Column:
+    """All keys that could be rules for a URL, the longest first, of equal ones that with the longer host.
+
+    ``lengths`` are those of the rules' paths and ``labels`` the numbers of their hosts' labels: no other part
+    of a host or path is looked at, however long they are.
+    """
+    parts = F.split(host, r"\.")
+    counts = F.filter(F.array(*map(F.lit, labels)).cast("array<int>"), lambda k: k <= F.size(parts))
+    suffixes = F.transform(counts, lambda k: F.array_join(F.slice(parts, -k, k), "."))
     fitting = F.filter(F.array(*map(F.lit, lengths)).cast("array<int>"), lambda n: n <= F.length(path))
     keys = F.flatten(F.transform(suffixes, lambda s: F.transform(
         fitting, lambda n: F.struct((F.length(s) + n).alias("n"), F.length(s).alias("h"), F.concat(s, F.substring(path, F.lit(1), n)).alias("key")))))
@@ -141,10 +146,10 @@ def judged(pages: DataFrame, rules: list[tuple[str, str, str]], *keep: str) -> D
     looked at; an empty table or list of rules is fine.
     """
     spark = pages.sparkSession
-    lengths = sorted({len(path) for _, path, _ in rules})
+    lengths, labels = sorted({len(path) for _, path, _ in rules}), sorted({host.count(".") + 1 for host, _, _ in rules})
     host, path = host_and_path(pages["url"])
     named = pages.select(F.struct(*(keep or pages.columns)).alias("row"), host.alias("host"), path.alias("path"))
-    keyed = named.withColumn("keys", url_keys(F.col("host"), F.col("path"), lengths) if lengths else F.array().cast("array<string>"))
+    keyed = named.withColumn("keys", url_keys(F.col("host"), F.col("path"), lengths, labels) if lengths else F.array().cast("array<string>"))
     universe = keyed.select(F.explode("keys").alias("key"))
     cascades = []
     for verdict in ("block", "allow"):

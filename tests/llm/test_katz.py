@@ -35,7 +35,7 @@ class Brute:
         return katz.discounts([times[r] for r in range(1, 7)])
 
     def cut(self, c, d):
-        return c * d[c - 1] if c <= 5 else c
+        return c * d[c - 1] if c <= 5 else c - 0.5
 
     def p1(self, w):
         if not self.total:
@@ -93,3 +93,19 @@ def test_small_tables(spark):
     assert (r.n_tokens, r.n_known, r.train_tokens, r.score) == (3, 0, 0, 0.0)
     got = {r.doc_id: r for r in katz.scored(spark.createDataFrame([(1, "a b", False), (2, "a c", True)], kind)).collect()}
     assert got[2].n_known == 2 and math.isfinite(got[2].score) and got[1].score > got[2].score
+
+
+def test_histories_with_frequent_successors_only(spark):
+    train = ["alpha beta"] * 20 + [f"word{i} alpha beta" for i in range(30)]
+    rows = [(i, t, False) for i, t in enumerate(train)] + [(900, "alpha gamma", True), (901, "alpha beta", True), (902, "alpha word3", True)]
+    got = {r.doc_id: r for r in katz.scored(spark.createDataFrame(rows, "doc_id long, text string, held_out boolean")).collect()}
+    model = Brute(train)
+    assert set(model.two[k] for k in model.two if k[0] == "alpha") == {50}
+    assert sum(model.p("alpha", w) for w in [*model.one, "unknown"]) == pytest.approx(1)
+    for i, text in ((900, "alpha gamma"), (901, "alpha beta"), (902, "alpha word3")):
+        assert got[i].score == pytest.approx(model.score(text), rel=1e-9)
+    assert -8 < min(r.score for r in got.values()) and got[901].score > max(got[900].score, got[902].score)
+    # No token that is rare, either.
+    rows = [(i, "alpha beta", False) for i in range(20)] + [(900, "beta gamma", True)]
+    got = {r.doc_id: r for r in katz.scored(spark.createDataFrame(rows, "doc_id long, text string, held_out boolean")).collect()}
+    assert got[900].score == pytest.approx(Brute(["alpha beta"] * 20).score("beta gamma")) and got[900].score > -8

@@ -1,0 +1,141 @@
+"""Every stage of the pipeline against a plain version of it, odd rows and clashing columns included."""
+
+import re
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline as pipeline
+from shelfstack.llm import mixing
+
+SMALL = "/root/testdata/sf0.001"
+CLASHES = ("rejected", "score", "lang_pred", "kept", "n_bytes", "n_removed", "copies", "component_id", "row", "n_shingles", "target")
+ODD = [
+    (None, None, None, None, None), (None, "", "en", "s", 0), (5001, None, "en", None, None), (5002, "", None, "s", 0),
+    (5003, "!!! 123 ???", "en", "s", 11), (5004, "漢字 と 日本語 だけ の 文書 です " * 20, None, "s", 340), (5005, "  ", "de", "s", 2),
+]
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    """The smallest documents, some twice, odd rows, and columns with the names that the operators use."""
+    given = spark.read.parquet(f"{SMALL}/documents.parquet")
+    rows = given.union(given.where("doc_id % 40 = 3")).union(spark.createDataFrame(ODD, given.schema))
+    return rows.withColumns({name: F.lit(f"of {name}") for name in CLASHES})
+
+
+def kept(frame):
+    return Counter((r.doc_id, r.text) for r in frame.select("doc_id", "text").collect())
+
+
+def unharmed(frame, docs):
+    assert frame.columns == docs.columns
+    for name in CLASHES:
+        assert {r[0] for r in frame.select(name).distinct().collect()} <= {f"of {name}"}
+
+
+def shingles(text, n):
+    words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    return {tuple(words[i : i + n]) for i in range(max(1, len(words) - n + 1))} if words else set()
+
+
+def test_language_stage(spark, docs):
+    """Texts without letters go, the labelled prose stays."""
+    out = pipeline.identify_language(spark, docs, SMALL)
+    unharmed(out, docs)
+    before, after = kept(docs), kept(out)
+    assert not after - before
+    assert not any(text is None or not any(map(str.isalpha, text)) for _, text in after)
+    assert not {5001, 5002, 5003, 5004, 5005} & {d for d, _ in after}
+    prose = {k for k in before if k[1] and len(re.findall(r"[^\W\d_]{3,}", k[1])) > 100 and k[0] is not None and k[0] < 5000}
+    assert len(prose - set(after)) <= 0.02 * len(prose)
+
+
+def test_near_copy_stage(spark, docs):
+    out = pipeline.drop_near_copies(spark, docs, SMALL)
+    unharmed(out, docs)
+    before = kept(docs)
+    sets = {(d, t): shingles(t, 5) for d, t in before if d is not None}
+    group = {d: d for d, _ in sets}
+
+    def root(d):
+        while group[d] != d:
+            d = group[d]
+        return d
+
+    found = sorted(sets, key=repr)
+    for i, a in enumerate(found):
+        for b in found[:i]:
+            x, y = sets[a], sets[b]
+            if x and y and 100 * len(x & y) >= 80 * len(x | y):
+                one, two = sorted((root(a[0]), root(b[0])))
+                group[two] = one
+    assert kept(out) == Counter({k: n for k, n in before.items() if k[0] is None or root(k[0]) == k[0]})
+
+
+def test_suffix_stage(spark, docs):
+    out = pipeline.cut_repeated_spans(spark, docs, SMALL)
+    unharmed(out, docs)
+    rows = sorted(((r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()), key=lambda r: (r[0] is not None, r[0] or 0))
+    earlier, same, last, want = set(), set(), None, Counter()
+    for doc_id, text in rows:
+        data = (text or "").encode()
+        strings = [data[i : i + 50] for i in range(max(0, len(data) - 49))]
+        if doc_id is not None:
+            if doc_id != last:
+                earlier |= same
+                same, last = set(), doc_id
+            same |= set(strings)
+        gone = bytearray(len(data))
+        for i, s in enumerate(strings if doc_id is not None else []):
+            if s in earlier:
+                gone[i : i + 50] = b"\1" * 50
+        if not data or not all(gone):
+            left = bytes(c for c, g in zip(data, gone) if not g).decode("utf-8", "ignore")
+            want[doc_id, None if text is None else left] += 1
+    assert kept(out) == want
+    for r in out.select("text", "n_chars").collect():
+        assert r.n_chars == (None if r.text is None else len(r.text))
+    bare = docs.drop("n_chars")
+    assert pipeline.cut_repeated_spans(spark, bare, SMALL).columns == bare.columns
+
+
+def test_mixing_stage(spark, docs):
+    out = pipeline.mix_sources(spark, docs, SMALL)
+    unharmed(out, docs)
+    times = {(r.doc_id, r.source): r.copies for r in mixing.mixture(docs).collect()}
+    want = Counter()
+    for r in docs.select("doc_id", "text", "source").collect():
+        want[r.doc_id, r.text] += times[r.doc_id, r.source]
+    assert kept(out) == +want
+
+
+def test_encoding_stage(spark, docs):
+    from sentencepiece import SentencePieceProcessor
+
+    from shelfstack.llm import pieces
+
+    library = SentencePieceProcessor(model_file=pieces.MODEL)
+    text = {(r.doc_id, r.source): r.text for r in docs.collect()}
+    out = pipeline.encode_pieces(spark, docs, SMALL).collect()
+    assert len(out) == docs.count()
+    for r in out:
+        if r.doc_id is not None:
+            t = text[r.doc_id, r.source]
+            assert r.token_ids == (None if t is None else library.encode(t))
+
+
+def test_empty_table(spark, docs):
+    for _, stage in pipeline.STAGES:
+        assert stage(spark, docs.limit(0), SMALL).count() == 0
+
+
+def test_run_is_its_stages_one_after_the_other(spark):
+    found = pipeline.run(spark, SMALL)
+    assert [name for name, _ in pipeline.STAGES] == [
+        "language ID", "n-gram Jaccard join", "suffix-array dedup", "mixing sources to target weights", "SentencePiece encoding and decoding"]
+    given = spark.read.parquet(f"{SMALL}/documents.parquet")
+    ids = {r.doc_id for r in found.select("doc_id").collect()}
+    assert 0 < len(ids) < given.count() and ids <= {r.doc_id for r in given.select("doc_id").collect()}
+    assert {"doc_id", "lang", "source", "token_ids"} <= set(found.columns)

@@ -43,3 +43,11 @@ def test_cascade_is_exact_over_its_universe(spark):
     inside = np.array([int(r.key[1:]) % 4 == 0 and int(r.key[1:]) < 12_000 for r in rows])
     assert (cascade.listed(one, two) == inside).all()
     assert len(cascade.levels) > 2
+
+
+def test_hosts_of_a_hundred_thousand_labels(spark):
+    long = "a." * 100_000
+    rows = [(1, f"http://{long}example.com/en/x"), (2, f"http://{long}net/fr/"), (3, f"http://{long}org/")]
+    rules = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("net", "/fr/", "block")]
+    got = urls.judged(spark.createDataFrame(rows, "page_id long, url string"), rules, "page_id").select("page_id", "rule", "verdict").collect()
+    assert sorted(map(tuple, got)) == [(1, "example.com/en/", "block"), (2, "net/fr/", "block"), (3, None, "allow")]
