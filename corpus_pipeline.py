@@ -16,10 +16,12 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents whose language can't be told: no letters, or far from every centroid.
 
-    The centroids learn from the documents' own labels. Documents without ``doc_id`` are judged like others.
+    The centroids learn from the documents' own labels. Documents without ``doc_id`` are judged like others;
+    null and empty texts go. Repeated rows fare alike; other columns stay as they are, whatever their names.
     """
     model = language.fit(docs.select("doc_id", "text", "lang"))
-    return language.identify(docs, model).where(~F.col("rejected")).select(*docs.columns)
+    rows = docs.select("text", F.struct(*docs.columns).alias("row"))
+    return language.identify(rows, model, "row").where(~F.col("rejected")).select("row.*")
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,21 +38,28 @@ def cut_repeated_spans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     """Removes byte strings that start in a document with a smaller id as well; documents left empty go.
 
     What a cut leaves of a split character goes too. ``n_chars`` follows the text. A null or
-    empty text stays as it is.
+    empty text stays as it is, other columns do, and a table without ``n_chars`` gets none.
     """
-    cut = suffixes.deduplicated(docs, *docs.columns, with_text=True)
-    text = F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("text"))
-    left = cut.withColumn("text", text).where("n_removed < n_bytes OR n_bytes = 0")
-    return left.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+    others = [c for c in docs.columns if c != "text"]
+    rows = docs.select("doc_id", "text", F.struct(F.col("text").isNull().alias("__null"), *others).alias("row"))
+    cut = suffixes.deduplicated(rows, "row", with_text=True).where("n_removed < n_bytes OR n_bytes = 0")
+    text = F.when(~F.col("row.__null"), F.col("kept"))
+    changed = {"text": text}
+    if "n_chars" in others:
+        changed["n_chars"] = F.length(text).cast(docs.schema["n_chars"].dataType)
+    return cut.select(*[changed.get(c, F.col("row")[c]).alias(c) for c in docs.columns])
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents repeated to their sources' target weights."""
+    """Documents repeated to their sources' target weights.
+
+    Null and empty texts have size 0 and are repeated at their source's rate; a null source is one of its own.
+    """
     return mixing.mixed(docs)
 
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Piece ids of every document."""
+    """Piece ids of every document; null and empty texts have none, repeated rows stay repeated."""
     return pieces.encoded(docs, "doc_id", "lang", "source")
 
 
