@@ -14,7 +14,8 @@ from shelfstack.functions.dates import day_first
 from shelfstack.operators.sessions import summarize_sessions
 from shelfstack.plans import gold, silver
 from shelfstack.settings import MODES, Settings
-from shelfstack.sinks.tables import ensure_layers, save_table
+from shelfstack.sinks.publish import finish_publishing, newest_table, publish, stage_table
+from shelfstack.sinks.tables import ensure_layers
 from shelfstack.sources.files import bronze_types, read_dataset, rescue_rules
 from shelfstack.sources.registry import BY_NAME, Dataset, datasets
 from shelfstack.sources.tables import read_table
@@ -75,28 +76,32 @@ def read_source(spark: SparkSession, settings: Settings, dataset: Dataset) -> Da
 
 
 def extract(spark: SparkSession, settings: Settings, dataset: Dataset) -> tuple:
-    """One dataset into its Bronze table, as it is; cells that do not fit are kept and counted."""
+    """One dataset into the next Bronze table, as it is; cells that do not fit are kept and counted."""
     source = read_source(spark, settings, dataset)
     rules = rescue_rules(source, bronze_types(dataset), settings.rescue) if settings.rescue else {}
     return load_counted(
         "extract", dataset.bronze, source, lambda df: df,
-        lambda df: save_table(df, settings.bronze, dataset.bronze, partition_by=dataset.partition_by), rules,
+        lambda df: stage_table(df, settings.bronze, dataset.bronze, dataset.partition_by), rules,
     )
 
 
 def extract_all(spark: SparkSession, settings: Settings, bonus: bool = False) -> list[tuple]:
+    """All datasets; their tables are published together, once every one is written."""
     ensure_layers(spark, settings.bronze)
-    return [extract(spark, settings, dataset) for dataset in datasets(bonus)]
+    finish_publishing(spark, settings.bronze)
+    rows = [extract(spark, settings, dataset) for dataset in datasets(bonus)]
+    publish(spark, settings.bronze, {dataset.bronze: dataset.partition_by for dataset in datasets(bonus)})
+    return rows
 
 
 def transform(spark: SparkSession, settings: Settings, dataset: Dataset) -> tuple:
-    """One Bronze table into its Silver table."""
+    """One Bronze table into the next Silver table."""
     table = dataset.silver
     bronze = read_table(spark, settings.bronze, dataset.bronze)
     build, shuffles = silver.BUILDERS[table], False
     if table == "fct_order_lines" and settings.check_order_lines_ri:
         shuffles = True
-        orders = read_table(spark, settings.silver, "fct_orders")
+        orders = newest_table(spark, settings.silver, "fct_orders")
         build = lambda df: silver.fct_order_lines(df, orders)
     rules = silver.RULES[table](bronze) if table in silver.RULES else {}
     if table == "fct_clickstream" and {"session_id", "timestamp"} <= set(bronze.columns):
@@ -106,15 +111,19 @@ def transform(spark: SparkSession, settings: Settings, dataset: Dataset) -> tupl
         build, rules = (lambda df: silver.fct_orders(df, order)), silver.order_rules(bronze, order)
     return load_counted(
         "transform", table, bronze, build,
-        lambda df: save_table(df, settings.silver, table, partition_by=dataset.partition_by), rules,
-        (lambda: read_table(spark, settings.silver, table)) if shuffles else None,
+        lambda df: stage_table(df, settings.silver, table, dataset.partition_by), rules,
+        (lambda: newest_table(spark, settings.silver, table)) if shuffles else None,
     )
 
 
 def transform_all(spark: SparkSession, settings: Settings, bonus: bool = False) -> list[tuple]:
     """The four core tables, with ``bonus`` also reviews, clickstream, payments and inventory."""
     ensure_layers(spark, settings.silver)
-    return [transform(spark, settings, BY_NAME[name]) for name in silver_names(bonus)]
+    finish_publishing(spark, settings.silver)
+    names = [BY_NAME[name] for name in silver_names(bonus)]
+    rows = [transform(spark, settings, dataset) for dataset in names]
+    publish(spark, settings.silver, {dataset.silver: dataset.partition_by for dataset in names})
+    return rows
 
 
 def silver_names(bonus: bool = False) -> tuple[str, ...]:
@@ -155,14 +164,17 @@ def gold_frames(spark: SparkSession, settings: Settings, bonus: bool = False) ->
 
 
 def create_gold(spark: SparkSession, settings: Settings, bonus: bool = False, leave_out: tuple[str, ...] = ()) -> list[tuple]:
+    """The Gold tables but for those to ``leave_out``, published together."""
     ensure_layers(spark, settings.gold)
+    finish_publishing(spark, settings.gold)
     rows = []
     for table, frame in gold_frames(spark, settings, bonus).items():
         if table in leave_out:
             continue
-        save_table(frame, settings.gold, table)
-        count = read_table(spark, settings.gold, table).count()  # from the footers of the committed files
+        stage_table(frame, settings.gold, table)
+        count = newest_table(spark, settings.gold, table).count()  # from the footers of the committed files
         rows.append(("gold", table, None, count, None, len(frame.columns), {}, "success"))
+    publish(spark, settings.gold, {row[1]: None for row in rows})
     return rows
 
 

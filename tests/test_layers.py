@@ -126,3 +126,33 @@ def test_counts_of_a_shuffled_write_do_not_come_from_its_tasks(spark, tmp_path):
     assert row == ("transform", "t", 100, 90, 10, 2, {"small": 10}, "success")
     plan = spark.read.parquet(path).groupBy().count()._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<>" in plan  # only footers are read
+
+
+def test_a_run_that_dies_leaves_the_old_layer(spark, lake, tmp_path, monkeypatch):
+    from shelfstack.sinks import publish
+
+    settings = Settings(raw_root=lake, bronze="whole_bronze", silver="whole_silver", gold="whole_gold")
+    layers.run(spark, settings)
+    names = [r.table_name for r in tables.list_tables(spark, "whole_silver").collect()]
+    before = {name: rows(spark.table(f"whole_silver.{name}")) for name in names}
+    spark.sql("TRUNCATE TABLE whole_bronze.orders")
+
+    real = layers.transform
+    with monkeypatch.context() as patched:  # dies before the last table is written
+        patched.setattr(layers, "transform", lambda s, t, d: real(s, t, d) if d.name != "order_line_items" else 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            layers.run(spark, settings, "transform")
+    assert {name: rows(spark.table(f"whole_silver.{name}")) for name in names} == before
+
+    publish.finish_publishing(spark, "whole_silver")  # what was staged only goes
+    assert {r.table_name for r in tables.list_tables(spark, "whole_silver").collect()} == set(names)
+
+    swap = publish.finish_last_run
+    with monkeypatch.context() as patched:  # dies while the tables change places
+        patched.setattr(publish, "finish_last_run", lambda s, y, t, p: swap(s, y, t, p) if t != "fct_orders" else 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            layers.run(spark, settings, "transform")
+    publish.finish_publishing(spark, "whole_silver")
+    assert spark.table("whole_silver.fct_orders").count() == 0
+    assert rows(spark.table("whole_silver.dim_users")) == before["dim_users"]
+    assert {r.table_name for r in tables.list_tables(spark, "whole_silver").collect()} == set(names)
