@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import WindowSpec
 
+LARGEST = sys.float_info.max
 QUARTILES = {"p25": 0.25, "p50": 0.50, "p75": 0.75}
 
 
@@ -70,15 +72,17 @@ def _comparable(field: T.StructField) -> Column:
 
 
 def numeric_profile(
-    df: DataFrame, columns: Sequence[str], exact: bool = True, margin: float = 0.0005, pieces: int = 1000
+    df: DataFrame, columns: Sequence[str], exact: bool = True, margin: float = 0.0005, pieces: int = 1000,
+    most_rows: int = 1_000_000,
 ) -> DataFrame:
     """Count, mean, standard deviation, minimum, quartiles and maximum of numeric columns.
 
     Quartiles interpolate between the two nearest values. A quantile sketch brackets each of them
     ``margin`` below and above, and every bracket is cut into ``pieces`` of equal width. Rows are
-    counted per piece; the values of the pieces that hold a quartile are then scanned again, counted and
-    ranked, so a task sees at most one piece's distinct values. Wherever the pieces end, the ranks are counted, not estimated. ``exact=False`` returns
-    the quartiles of the sketch.
+    counted per piece, and a piece that holds a quartile is cut again, between its own least and greatest
+    value, until it has at most ``most_rows`` rows or one value only. The values left are counted and ranked,
+    however they cluster, by tasks that see no more than one such piece. Wherever the pieces end, the ranks are
+    counted, not estimated. ``exact=False`` returns the quartiles of the sketch.
     """
     values = (
         df.select(*[F.col(c).cast("double").alias(c) for c in columns])
@@ -98,7 +102,7 @@ def numeric_profile(
     summary = F.struct("count", "mean", "std", "min", "max").alias("summary")
     if exact:
         edges = F.concat(F.array("min"), "cuts", F.array("max")).alias("edges")
-        found = _exact_quartiles(values, stats.select("column_name", summary, edges), len(cuts), pieces)
+        found = _exact_quartiles(values, stats.select("column_name", summary, edges), len(cuts), pieces, most_rows)
     else:
         sketched = [F.col("cuts")[i].alias(name) for i, name in enumerate(QUARTILES)]
         found = stats.select("column_name", summary, *sketched)
@@ -107,29 +111,36 @@ def numeric_profile(
     )
 
 
-def _exact_quartiles(values: DataFrame, stats: DataFrame, cuts: int, pieces: int) -> DataFrame:
+def _exact_quartiles(values: DataFrame, stats: DataFrame, cuts: int, pieces: int, most_rows: int) -> DataFrame:
     # One row per profiled column: safe to broadcast at any data size.
     edges = F.broadcast(stats.select("column_name", "edges"))
     placed = values.join(edges, "column_name").select("column_name", "value", _piece(cuts, pieces).alias("piece"))
-    filled = (
-        placed.groupBy("column_name", "piece").agg(F.count("*").alias("rows"))
-        .withColumn("before", _running("rows", Window.partitionBy("column_name").orderBy("piece")))
-        .join(F.broadcast(stats.select("column_name", "summary", "edges")), "column_name")
-    )
+    filled = _filled(placed, "column_name").withColumn("first", F.lit(0).cast("bigint"))
+    sizes = stats.select("column_name", F.col("summary.count").alias("total"))
+    brackets = _holding(filled, sizes)
+    while any(b["rows"] > most_rows and b["low"] < b["high"] for b in brackets):
+        held = _bracket_frame(values, brackets).select("column_name", "low", "high", F.col("before").alias("first"))
+        inside = values.join(F.broadcast(held), "column_name").filter(F.col("value").between(F.col("low"), F.col("high")))
+        # Halves of finite values, so that no difference overflows.
+        half = lambda name: F.greatest(F.least(F.col(name), F.lit(LARGEST)), F.lit(-LARGEST)) / 2
+        share = F.coalesce((half("value") - half("low")) / F.nullif(half("high") - half("low"), F.lit(0.0)), F.lit(0.0))
+        parts = max(pieces, 2)  # the least and the greatest value part, whatever lies between them
+        piece = F.least(F.floor(share * parts), F.lit(parts - 1)).alias("piece")
+        cut = _filled(inside.select("column_name", "first", "value", piece), "column_name", "first")
+        before, brackets = brackets, _holding(cut, sizes)
+        if sorted(before) == sorted(brackets):  # an infinity beside the largest number: nothing between them
+            break
+    table = F.broadcast(_bracket_frame(values, brackets).join(stats.select("column_name", "summary"), "column_name"))
+    single = table.filter("low = high").select(
+        "column_name", F.col("low").alias("value"), F.col("rows").alias("n"), F.col("before").alias("start"), "summary")
+    # Of all values, only those of the brackets are shuffled, equal ones as one row.
+    counted = values.join(table.filter("low < high"), "column_name").filter(F.col("value").between(F.col("low"), F.col("high"))).groupBy(
+        "column_name", "low", "value").agg(F.count("*").alias("n"), F.first("before").alias("before"), F.first("summary").alias("summary"))
+    start = F.col("before") + _running("n", Window.partitionBy("column_name", "low").orderBy("value"))
+    ranked = counted.select("column_name", "value", "n", start.alias("start"), "summary").unionByName(single)
     last = F.col("summary.count") - 1
     lows = {name: F.floor(last * p) for name, p in QUARTILES.items()}
     highs = {name: F.ceil(last * p) for name, p in QUARTILES.items()}
-    held = F.lit(False)
-    for position in (*lows.values(), *highs.values()):
-        held = held | ((position >= F.col("before")) & (position < F.col("before") + F.col("rows")))
-    # At most two pieces per quartile and column.
-    wanted = F.broadcast(filled.filter(held).select("column_name", "piece", "before", "summary"))
-    # A second scan: of all values, only those of the wanted pieces are shuffled, equal ones as one row.
-    counted = placed.join(wanted, ["column_name", "piece"]).groupBy("column_name", "piece", "value").agg(
-        F.count("*").alias("n"), F.first("before").alias("before"), F.first("summary").alias("summary"))
-    ranked = counted.withColumn(
-        "start", F.col("before") + _running("n", Window.partitionBy("column_name", "piece").orderBy("value"))
-    )
 
     def at(position: Column) -> Column:
         covers = (position >= F.col("start")) & (position < F.col("start") + F.col("n"))
@@ -149,6 +160,29 @@ def _exact_quartiles(values: DataFrame, stats: DataFrame, cuts: int, pieces: int
     return found.select("column_name", "summary", *[between(name, p) for name, p in QUARTILES.items()])
 
 
+def _filled(placed: DataFrame, *of: str) -> DataFrame:
+    """Per piece: its rows, its least and greatest value, and the rows of earlier pieces."""
+    counted = placed.groupBy(*of, "piece").agg(
+        F.count("*").alias("rows"), F.min("value").alias("low"), F.max("value").alias("high"))
+    return counted.withColumn("earlier", _running("rows", Window.partitionBy(*of).orderBy("piece")))
+
+
+def _holding(filled: DataFrame, sizes: DataFrame) -> list[Row]:
+    """The pieces that hold a quartile: at most two per quartile and column."""
+    before, last = F.col("first") + F.col("earlier"), F.col("total") - 1
+    held = F.lit(False)
+    for p in QUARTILES.values():
+        for position in (F.floor(last * p), F.ceil(last * p)):
+            held = held | ((position >= before) & (position < before + F.col("rows")))
+    return filled.join(F.broadcast(sizes), "column_name").filter(held).select(
+        "column_name", "low", "high", before.alias("before"), "rows").collect()
+
+
+def _bracket_frame(values: DataFrame, brackets: list[Row]) -> DataFrame:
+    return values.sparkSession.createDataFrame(
+        [tuple(b) for b in brackets], "column_name string, low double, high double, before bigint, rows bigint")
+
+
 def _piece(cuts: int, pieces: int) -> Column:
     """Number of the piece that holds ``value``; it never falls as the value rises."""
     value, edge = F.col("value"), [F.col("edges")[i] for i in range(cuts + 2)]

@@ -293,3 +293,21 @@ def test_corrections_of_short_long_and_many_worded_queries(spark):
     # Rows do not grow with the length: three segments a term, and at most 3 places of 3 segments for 5 lengths.
     assert search.segments(frames[1], 2).count() == 3 * len(set(words))
     assert search._probes(frames[0].filter("length(query_clean) > 200"), 2).count() <= 2 * 45
+
+
+def test_clustered_quartiles_are_cut_until_no_piece_is_large(spark, monkeypatch):
+    pick = random.Random(3)
+    values = [1.0 + pick.randrange(4000) * 1e-12 for _ in range(2000)] + [7.0] * 900 + [1e300, -1e300, float("inf"), float("-inf")]
+    held = []
+    real = profile._bracket_frame
+    monkeypatch.setattr(profile, "_bracket_frame", lambda values, brackets: held.append(brackets) or real(values, brackets))
+    df = spark.createDataFrame([(v,) for v in values], "a double").repartition(3)
+    row = profile.numeric_profile(df, ["a"], margin=0.2, pieces=4, most_rows=60).first()
+    ordered = sorted(values)
+    for name, p in profile.QUARTILES.items():
+        place = p * (len(values) - 1)
+        low, high = ordered[math.floor(place)], ordered[math.ceil(place)]
+        assert math.isclose(row[name], low + (high - low) * (place - math.floor(place)), rel_tol=1e-15)
+    assert len(held) > 2
+    assert all(b["rows"] <= 60 or b["low"] == b["high"] for b in held[-1])
+    assert any(b["rows"] > 60 and b["low"] == b["high"] for b in held[-1])  # the 7.0s are counted, not ranked
