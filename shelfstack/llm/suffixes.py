@@ -33,9 +33,12 @@ LENGTH = 50
 SEED = 24
 _SPAN = LENGTH - SEED + 1  # anchors to choose from in a window
 _NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
-ANCHOR = np.dtype([("anchor", "u8"), ("doc", "i8")])
-PLACE = np.dtype([("anchor", "u8"), ("unit", "u8"), ("doc", "i8"), ("text", "u4"), ("at", "u4"), ("size", "u1")])
-RANGE = np.dtype([("text", "u4"), ("start", "i8"), ("end", "i8")])
+_KEY = np.uint64((1 << 48) - 1)  # bits by which anchors are gathered; two that agree on them only cost work
+SLICE_BYTES = 1 << 22  # units of about this many bytes are sorted at a time
+ANCHOR = np.dtype([("low", "u4"), ("high", "u2"), ("doc", "i8")])
+UNIT = np.dtype([("anchor", "u8"), ("unit", "u8"), ("doc", "i8"), ("text", "u4"), ("at", "u4"), ("size", "u1")])
+PLACE = np.dtype([("anchor", "u8"), ("new", "u1"), ("doc", "i8"), ("text", "u4"), ("at", "u4"), ("size", "u1")])
+RANGE = np.dtype([("doc", "i8"), ("text", "u4"), ("start", "i8"), ("size", "i8")])
 
 
 def _squeezed(raw: bytes) -> bytes:
@@ -47,8 +50,10 @@ def _unsqueezed(blob: bytes) -> bytes:
 
 
 def _pack(records: np.ndarray) -> bytes:
-    """Columns one after the other, compressed."""
-    return _squeezed(b"".join(np.ascontiguousarray(records[f]).tobytes() for f in records.dtype.names))
+    """Columns one after the other, documents as differences, compressed."""
+    columns = {f: np.ascontiguousarray(records[f]) for f in records.dtype.names}
+    columns["doc"] = np.diff(columns["doc"], prepend=np.int64(0))
+    return _squeezed(b"".join(c.tobytes() for c in columns.values()))
 
 
 def _unpack(blob: bytes, kind: np.dtype) -> np.ndarray:
@@ -58,9 +63,29 @@ def _unpack(blob: bytes, kind: np.dtype) -> np.ndarray:
     for f in kind.names:
         out[f] = np.frombuffer(blob, kind[f], size, at)
         at += kind[f].itemsize * size
+    out["doc"] = np.cumsum(out["doc"])
     return out
 
 
+def _keyed(anchor: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    out = np.empty(len(anchor), ANCHOR)
+    out["low"], out["high"], out["doc"] = anchor & np.uint64(0xFFFFFFFF), (anchor & _KEY) >> np.uint64(32), doc
+    return out
+
+
+def _keys(records: np.ndarray) -> np.ndarray:
+    return records["high"].astype(np.uint64) << np.uint64(32) | records["low"]
+
+
+def _by_bucket(records: np.ndarray, bucket: np.ndarray) -> pd.DataFrame:
+    """Records with their documents in order, packed by bucket."""
+    order = np.lexsort((records["doc"], bucket))
+    records, bucket = records[order], bucket[order]
+    first = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]][: len(records)])
+    parts = np.split(records, first[1:]) if len(records) else []
+    return pd.DataFrame({"bucket": bucket[first].astype(np.int32), "blob": [_pack(p) for p in parts]})
+
+
 def _sliding(x: np.ndarray, width: int, of) -> np.ndarray:
     """``of`` (minimum or maximum) over ``x[i : i + width]`` for every full window, by doubling."""
     done, out = 1, x
@@ -115,26 +140,20 @@ def _text_keys(spans: SpanHash, offsets: np.ndarray) -> np.ndarray:
 
 
 def _anchor_postings(buckets: int):
-    """Per bucket, the distinct (anchor, document) pairs of a run of documents, packed."""
+    """Per bucket, the (anchor, document) pairs of a run of documents, packed."""
 
     def flush(parts: list[np.ndarray]) -> pa.RecordBatch:
         every = np.concatenate(parts)
-        bucket = (every["anchor"] >> np.uint64(20)) % np.uint64(buckets)
-        order = np.argsort(bucket, kind="stable")
-        every, bucket = every[order], bucket[order]
-        first = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
-        return pa.RecordBatch.from_pydict({
-            "bucket": bucket[first].astype(np.int32), "blob": pa.array([_pack(p) for p in np.split(every, first[1:])], pa.binary())})
+        packed = _by_bucket(every, (_keys(every) >> np.uint64(20)) % np.uint64(buckets))
+        return pa.RecordBatch.from_pydict({"bucket": packed["bucket"].to_numpy(), "blob": pa.array(packed["blob"], pa.binary())})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, held = [], 0
         for batch in blocks(batches):
             data, offsets = utf8(batch.column("text"))
             at, value, _ = anchors(data, offsets)
-            found = np.empty(len(at), ANCHOR)
-            found["anchor"], found["doc"] = value[at], batch.column("doc_id").to_numpy()[_rows_of(at, offsets)]
-            parts.append(found)
-            held += len(found)
+            parts.append(_keyed(value[at], batch.column("doc_id").to_numpy()[_rows_of(at, offsets)]))
+            held += len(at)
             if held > 1_000_000:
                 yield flush(parts)
                 parts, held = [], 0
@@ -149,27 +168,37 @@ def _repeated(buckets: int):
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
         every = np.concatenate([_unpack(b, ANCHOR) for b in group["blob"]])
-        every = every[np.argsort(every["anchor"], kind="stable")]
-        first = np.flatnonzero(np.r_[True, every["anchor"][1:] != every["anchor"][:-1]])
+        key = _keys(every)
+        order = np.argsort(key, kind="stable")
+        every, key = every[order], key[order]
+        first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
         size = np.diff(np.r_[first, len(every)])
         several = np.minimum.reduceat(every["doc"], first) != np.maximum.reduceat(every["doc"], first)
         every = every[np.repeat(several, size)]
-        bucket = mix(every["doc"].view(np.uint64)) % np.uint64(buckets)
-        order = np.lexsort((every["doc"], bucket))
-        every, bucket = every[order], bucket[order]
-        first = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]][: len(every)])
-        parts = np.split(every, first[1:]) if len(every) else []
-        return pd.DataFrame({"bucket": bucket[first].astype(np.int32), "blob": [_pack(p) for p in parts]})
+        return _by_bucket(every, _document_bucket(every["doc"], buckets))
 
     return run
 
 
+def _document_bucket(doc: np.ndarray, buckets: int) -> np.ndarray:
+    return mix(doc.astype(np.int64).view(np.uint64)) % np.uint64(buckets)
+
+
 def _by_document(group: pd.DataFrame) -> pd.DataFrame:
-    """Of one bucket of documents: each document's repeated anchors."""
+    """Of one bucket of documents: each document's repeated anchors, six bytes each."""
     every = np.concatenate([_unpack(b, ANCHOR) for b in group["blob"]])
     every = every[np.argsort(every["doc"], kind="stable")]
     first = np.flatnonzero(np.r_[True, every["doc"][1:] != every["doc"][:-1]])
-    return pd.DataFrame({"doc_id": every["doc"][first], "anchors": [p.tobytes() for p in np.split(every["anchor"], first[1:])]})
+    keys = [_keys(p).view(np.uint8).reshape(-1, 8)[:, :6].tobytes() for p in np.split(every, first[1:])]
+    return pd.DataFrame({"doc_id": every["doc"][first], "anchors": keys})
+
+
+def _ranges_by_document(group: pd.DataFrame) -> pd.DataFrame:
+    """Of one bucket of documents: each document's ranges, packed."""
+    every = np.concatenate([_unpack(b, RANGE) for b in group["blob"]])
+    every = every[np.argsort(every["doc"], kind="stable")]
+    first = np.flatnonzero(np.r_[True, every["doc"][1:] != every["doc"][:-1]])
+    return pd.DataFrame({"doc_id": every["doc"][first], "ranges": [_pack(p) for p in np.split(every, first[1:])]})
 
 
 def _unit_postings(buckets: int):
@@ -182,17 +211,22 @@ def _unit_postings(buckets: int):
         shift = np.repeat(np.cumsum([0, *[len(t[0]) for t in texts[:-1]]]), [len(t[1]) for t in texts])
         start = start + shift
         bucket = ((every["anchor"] >> np.uint64(20)) % np.uint64(buckets)).astype(np.int32)
-        order = np.lexsort((every["unit"], every["anchor"], bucket))
+        order = np.lexsort((every["doc"], every["unit"], every["anchor"], bucket))
         every, bucket, start = every[order], bucket[order], start[order]
         new = np.r_[True, (every["unit"][1:] != every["unit"][:-1]) | (every["anchor"][1:] != every["anchor"][:-1])]
         first = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
         out_b, out_p, out_t = [], [], []
         for a, b in zip(first, np.r_[first[1:], len(every)]):
+            new[a] = True
             own = np.flatnonzero(new[a:b]) + a
             size = every["size"][own].astype(np.int64)
             index = np.repeat(start[own] - (np.cumsum(size) - size), size) + np.arange(size.sum())
+            sent = np.empty(b - a, PLACE)
+            for f in ("anchor", "doc", "text", "at", "size"):
+                sent[f] = every[f][a:b]
+            sent["new"] = new[a:b]
             out_b.append(bucket[a])
-            out_p.append(_pack(every[a:b]))
+            out_p.append(_pack(sent))
             out_t.append(_squeezed(raw[index].tobytes()))
         return pa.RecordBatch.from_arrays(
             [pa.array(out_b, pa.int32()), pa.array(out_p, pa.binary()), pa.array(out_t, pa.binary())], ["bucket", "places", "texts"])
@@ -205,14 +239,16 @@ def _unit_postings(buckets: int):
             row = _rows_of(at, offsets)
             salt = mix(np.arange(batch.num_rows, dtype=np.uint64))
             wanted, ends = utf8(batch.column("anchors"))
-            known = mix(np.frombuffer(wanted.tobytes(), np.uint64) ^ np.repeat(salt, np.diff(ends) // 8))
-            hit = np.isin(mix(value[at] ^ salt[row]), known)
+            keys = np.zeros((len(wanted) // 6, 8), np.uint8)
+            keys[:, :6] = wanted.reshape(-1, 6)
+            known = mix(keys.view(np.uint64).ravel() ^ np.repeat(salt, np.diff(ends) // 6))
+            hit = np.isin(mix(value[at] & _KEY ^ salt[row]), known)
             at, row = at[hit], row[hit]
             if not len(at):
                 continue
             low, high = _own_windows(at, value, least)
             spans = SpanHash(data)
-            found = np.empty(len(at), PLACE)
+            found = np.empty(len(at), UNIT)
             found["anchor"], found["unit"] = value[at], spans(low, high + LENGTH)
             found["doc"] = batch.column("doc_id").to_numpy()[row]
             found["text"] = _text_keys(spans, offsets)[row]
@@ -271,21 +307,44 @@ def bucket_pointers(raw: np.ndarray, size: np.ndarray) -> np.ndarray:
     return pointer
 
 
-def _unit_ranges(group: pd.DataFrame) -> pd.DataFrame:
-    """Of one bucket: the ranges that start in documents with smaller ids, packed by document."""
-    places = [_unpack(b, PLACE) for b in group["places"]]
-    every = np.concatenate(places)
-    origin, offset = [], 0
-    texts = [_unsqueezed(t) for t in group["texts"]]
-    for p, t in zip(places, texts):
-        new = np.r_[True, (p["unit"][1:] != p["unit"][:-1]) | (p["anchor"][1:] != p["anchor"][:-1])]
-        first = np.flatnonzero(new)
-        size = p["size"][first].astype(np.int64)
-        origin.append(np.repeat(offset + np.cumsum(size) - size, np.diff(np.r_[first, len(p)])))
-        offset += len(t)
-    raw, origin = np.frombuffer(b"".join(texts), np.uint8), np.concatenate(origin)
+def _gathered(group: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places of one bucket by anchor and unit, where each one's unit starts, and the units' bytes."""
+    records, origin, texts, offset = [], [], [], 0
+    for blob, text in zip(group["places"], group["texts"]):
+        place, raw = _unpack(blob, PLACE), np.frombuffer(_unsqueezed(text), np.uint8)
+        first = np.flatnonzero(place["new"])
+        size = place["size"][first].astype(np.int64)
+        start, count = np.cumsum(size) - size, np.diff(np.r_[first, len(place)])
+        out = np.empty(len(place), UNIT)
+        for f in ("anchor", "doc", "text", "at", "size"):
+            out[f] = place[f]
+        out["unit"] = np.repeat(SpanHash(raw)(start, start + size), count)
+        records.append(out)
+        origin.append(np.repeat(offset + start, count))
+        texts.append(raw)
+        offset += len(raw)
+    every, origin, raw = np.concatenate(records), np.concatenate(origin), np.concatenate(texts)
     order = np.lexsort((every["unit"], every["anchor"]))
-    every, origin = every[order], origin[order]
+    return every[order], origin[order], raw
+
+
+def _unit_ranges(buckets: int):
+    """Of one bucket of anchors: the ranges that start in documents with smaller ids, by bucket of documents."""
+
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        every, origin, raw = _gathered(group)
+        # Whole anchors are taken together until their units make up a slice.
+        first = np.flatnonzero(np.r_[True, every["anchor"][1:] != every["anchor"][:-1]])
+        filled = np.cumsum(np.add.reduceat(every["size"].astype(np.int64), first)) // SLICE_BYTES
+        cuts = [*first[np.flatnonzero(np.diff(filled, prepend=-1))], len(every)]
+        found = np.concatenate([_slice_ranges(every[a:b], origin[a:b], raw) for a, b in zip(cuts, cuts[1:])])
+        return _by_bucket(found, _document_bucket(found["doc"], buckets))
+
+    return run
+
+
+def _slice_ranges(every: np.ndarray, origin: np.ndarray, raw: np.ndarray) -> np.ndarray:
+    """The ranges of places sorted by anchor and unit that start in documents with smaller ids."""
     anchor_new = np.r_[True, every["anchor"][1:] != every["anchor"][:-1]]
     unit_new = anchor_new | np.r_[True, every["unit"][1:] != every["unit"][:-1]]
     first = np.flatnonzero(unit_new)
@@ -297,7 +356,7 @@ def _unit_ranges(group: pd.DataFrame) -> pd.DataFrame:
 
     later = single[unit] & (every["doc"] > smallest[unit])
     start = [every["at"][later].astype(np.int64)]
-    end = [start[0] + every["size"][later]]
+    length = [every["size"][later].astype(np.int64)]
     owner = [np.flatnonzero(later)]
 
     mixed = np.flatnonzero(~single)
@@ -328,29 +387,26 @@ def _unit_ranges(group: pd.DataFrame) -> pd.DataFrame:
         place = np.repeat(who, n)
         owner.append(place[begins])
         start.append(every["at"][place[begins]].astype(np.int64) + step[begins])
-        end.append(every["at"][place[ends]].astype(np.int64) + step[ends] + LENGTH)
+        length.append(step[ends] - step[begins] + LENGTH)
     owner = np.concatenate(owner)
     found = np.empty(len(owner), RANGE)
-    found["text"], found["start"], found["end"] = every["text"][owner], np.concatenate(start), np.concatenate(end)
-    doc = every["doc"][owner]
-    order = np.argsort(doc, kind="stable")
-    doc, found = doc[order], found[order]
-    first = np.flatnonzero(np.r_[True, doc[1:] != doc[:-1]]) if len(doc) else np.zeros(0, np.int64)
-    return pd.DataFrame({"doc_id": doc[first], "ranges": [_pack(p) for p in np.split(found, first[1:])] if len(doc) else []})
+    found["doc"], found["text"] = every["doc"][owner], every["text"][owner]
+    found["start"], found["size"] = np.concatenate(start), np.concatenate(length)
+    return found
 
 
-def _removed(size: int, text: int, blobs: list[bytes] | None, copy: bool) -> np.ndarray:
+def _removed(size: int, text: int, blob: bytes | None, copy: bool) -> np.ndarray:
     """Maximal removed runs of one text as (start, end) rows."""
     if copy and size >= LENGTH:
         return np.array([[0, size]])
-    if not blobs:
+    if not blob:
         return np.zeros((0, 2), np.int64)
-    every = np.concatenate([_unpack(b, RANGE) for b in blobs])
+    every = _unpack(blob, RANGE)
     every = every[every["text"] == text]
     if not len(every):
         return np.zeros((0, 2), np.int64)
     every = every[np.argsort(every["start"], kind="stable")]
-    reach = np.maximum.accumulate(every["end"])
+    reach = np.maximum.accumulate(every["start"] + every["size"])
     new = np.r_[True, every["start"][1:] > reach[:-1]]
     first = np.flatnonzero(new)
     return np.stack([every["start"][first], reach[np.r_[first[1:] - 1, len(every) - 1]]], 1)
@@ -408,11 +464,11 @@ def deduplicated(docs: DataFrame, *keep: str, with_text: bool = False) -> DataFr
     numbered = plain.where("doc_id IS NOT NULL")
     units = numbered.join(wanted, "doc_id").select("doc_id", "text", "row", "anchors") \
         .mapInArrow(_unit_postings(buckets), "bucket int, places binary, texts binary")
-    ranges = units.groupBy("bucket").applyInPandas(_unit_ranges, "doc_id long, ranges binary") \
-        .groupBy("doc_id").agg(F.collect_list("ranges").alias("ranges"))
+    ranges = units.groupBy("bucket").applyInPandas(_unit_ranges(buckets), packed) \
+        .groupBy("bucket").applyInPandas(_ranges_by_document, "doc_id long, ranges binary")
     found = numbered.join(ranges.join(copies, "doc_id", "full"), "doc_id", "left")
     copy = F.coalesce(F.array_contains("copied", F.xxhash64("text")), F.lit(False))
-    apart = plain.where("doc_id IS NULL").select("row", "text", F.lit(None).cast("array<binary>").alias("ranges"), F.lit(False).alias("copy"))
+    apart = plain.where("doc_id IS NULL").select("row", "text", F.lit(None).cast("binary").alias("ranges"), F.lit(False).alias("copy"))
     kind = docs.select(F.struct(*(keep or ("doc_id",))).alias("row")).schema["row"].dataType.simpleString()
     cut = found.select("row", "text", "ranges", copy.alias("copy")).union(apart).mapInArrow(
         _cut, f"row {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept string")

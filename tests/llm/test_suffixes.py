@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 
 from shelfstack.llm import suffixes
 
@@ -63,3 +64,31 @@ def test_bucket_pointers_order_windows():
     strings = {p: raw[p : p + 50].tobytes() for p in starts}
     ordered = sorted(starts, key=strings.get)
     assert all((pointer[a] < pointer[b]) == (strings[a] < strings[b]) for a, b in zip(ordered, ordered[1:]))
+
+
+def test_slices_of_a_bucket_give_the_same_ranges(monkeypatch):
+    rng = random.Random(8)
+    pool = ["".join(rng.choice("abcd ") for _ in range(rng.choice([60, 90]))) for _ in range(6)]
+    texts = ["".join(rng.choice(pool) for _ in range(4)) for _ in range(40)]
+    data = [np.frombuffer(t.encode(), np.uint8) for t in texts]
+    found = [suffixes.anchors(d, np.array([0, len(d)])) for d in data]
+    keys = [(v[at] & suffixes._KEY).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes() for at, v, _ in found]
+    batch = pa.RecordBatch.from_pydict({"doc_id": pa.array(range(40), pa.int64()), "text": texts, "anchors": pa.array(keys, pa.binary())})
+    group = pa.Table.from_batches(suffixes._unit_postings(1)(iter([batch]))).to_pandas()
+
+    def ranges(size):
+        monkeypatch.setattr(suffixes, "SLICE_BYTES", size)
+        out = suffixes._unit_ranges(3)(group)
+        assert out["bucket"].is_unique and len(out) <= 3
+        every = [tuple(r) for b in out["blob"] for r in suffixes._unpack(b, suffixes.RANGE).tolist()]
+        return sorted(every)
+
+    assert ranges(1) == ranges(500) == ranges(1 << 30) != []
+
+
+def test_packed_records_come_back():
+    rng = np.random.default_rng(2)
+    anchor, doc = rng.integers(0, 1 << 63, 500).astype(np.uint64), rng.integers(-(1 << 63), (1 << 63) - 1, 500)
+    records = suffixes._keyed(anchor, doc)
+    again = suffixes._unpack(suffixes._pack(records), suffixes.ANCHOR)
+    assert (again == records).all() and (suffixes._keys(again) == anchor & suffixes._KEY).all()
