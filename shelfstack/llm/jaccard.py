@@ -8,7 +8,8 @@ pairs, which are expanded to classes and verified on whole sets.
 
 A shingle shared by many groups is not expanded into all pairs at once. Round one compares everyone on
 its list with the list's most copied group. Round two compares the other pairs of a list, as far as their
-documents are still in different components. Every link between two components of round one is
+classes are still in different components; a pair comes from its first common list only, and long lists
+are dealt into chunks that meet in pairs. Every link between two components of round one is
 therefore compared, and components come out exact. Before whole sets are fetched, 1024-bit maps of the
 sets bound their overlap: every bit in which two maps differ is a shingle that the sets do not share.
 """
@@ -31,6 +32,7 @@ COUNT_BITS = 18  # the count table has 2**18 entries, whatever the corpus
 _SLICES = 64
 MAP_BITS = 1024
 SHORT_LIST = 64  # up to this many groups, a list's pairs are formed where it lies; longer ones after round one
+CHUNK = 2048  # about so many classes of a long list meet as many others in one group of round two
 POSTING = np.dtype([("token", "u8"), ("group", "u8"), ("n", "u4"), ("at", "u4"), ("docs", "u4")])
 
 
@@ -47,6 +49,13 @@ def _sets(batch: pa.RecordBatch, n: int) -> tuple[np.ndarray, np.ndarray]:
     return shingles(*word_hashes(batch.column("text")), n)
 
 
+def _set_keys(row: np.ndarray, token: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """One key per set, whatever the order of its shingles."""
+    whole = np.zeros(len(size), np.uint64)
+    np.add.at(whole, row, mix(token ^ np.uint64(0xA5A5A5A5)))
+    return mix(whole + size.astype(np.uint64))
+
+
 def shingle_counts(docs: DataFrame, n: int) -> np.ndarray:
     """How many shingles of all documents fall into each entry of the count table."""
 
@@ -101,11 +110,10 @@ def _prefixes(docs: DataFrame, n: int, percent: int, counts: np.ndarray) -> Data
             place = np.arange(len(token)) - start[row]
             prefix = size - need(size, percent) + 1
             front = place < prefix[row]
-            whole, head = (np.zeros(rows, np.uint64) for _ in range(2))
-            np.add.at(whole, row, mix(token ^ np.uint64(0xA5A5A5A5)))
+            head = np.zeros(rows, np.uint64)
             np.add.at(head, row[front], mix(token[front]))
             group = mix(head ^ mix(size.astype(np.uint64)))
-            keys = mix(whole + size.astype(np.uint64))
+            keys = _set_keys(row, token, size)
             bits = np.zeros((rows, MAP_BITS), bool)
             bits[row, (token % np.uint64(MAP_BITS)).astype(np.int64)] = True
             maps = [m.tobytes() for m in np.packbits(bits, axis=1)]
@@ -232,24 +240,30 @@ def _possible(classes: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
             sizes = batch.column("n").to_numpy() + batch.column("m").to_numpy()
             yield batch.select(["a", "b"]).filter(pa.array(_room(one, two, sizes, percent)))
 
-    one = classes.select(F.col("rep").alias("a"), F.col("n").alias("n"), F.col("map").alias("x"))
-    two = classes.select(F.col("rep").alias("b"), F.col("n").alias("m"), F.col("map").alias("y"))
+    one = classes.select(F.col("set_key").alias("a"), F.col("n").alias("n"), F.col("map").alias("x"))
+    two = classes.select(F.col("set_key").alias("b"), F.col("n").alias("m"), F.col("map").alias("y"))
     return pairs.join(one, "a").join(two, "b").select("a", "b", "n", "m", "x", "y").mapInArrow(compare, "a long, b long")
 
 
 def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, n: int, percent: int) -> DataFrame:
-    """The pairs of documents (``a``, ``b``) whose whole sets are alike enough."""
+    """The pairs of classes (``a``, ``b``) whose whole sets are alike enough."""
     pairs = materialised(_possible(classes, pairs, percent))
-    wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
+    ends = pairs.select(F.col("a").alias("set_key")).union(pairs.select("b")).distinct()
+    wanted = materialised(classes.join(ends, "set_key").select("rep", "set_key"))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in blocks(batches):
             row, token = _sets(batch, n)
-            parts = np.split(token, np.cumsum(np.bincount(row, minlength=batch.num_rows))[:-1])
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([p.tobytes() for p in parts], pa.binary())], ["doc_id", "members"])
+            size = np.bincount(row, minlength=batch.num_rows)
+            parts = np.split(token, np.cumsum(size)[:-1])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(_set_keys(row, token, size).view(np.int64)), pa.array([p.tobytes() for p in parts], pa.binary())], ["set_key", "members"])
 
-    found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted, "doc_id", "left_semi")
-    found = materialised(found.mapInArrow(sets, "doc_id long, members binary").dropDuplicates(["doc_id"]))
+    # Rows of one doc_id may have several sets, of which only the wanted ones stay.
+    found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text") \
+        .join(wanted.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi").select("text")
+    found = found.mapInArrow(sets, "set_key long, members binary").join(wanted.select("set_key"), "set_key", "left_semi")
+    found = materialised(found.dropDuplicates(["set_key"]))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -260,8 +274,8 @@ def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, n: int, per
                 keep.append(100 * both >= percent * (len(one) + len(two) - both))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    left = pairs.join(found.select(F.col("doc_id").alias("a"), F.col("members").alias("x")), "a")
-    both = left.join(found.select(F.col("doc_id").alias("b"), F.col("members").alias("y")), "b")
+    left = pairs.join(found.select(F.col("set_key").alias("a"), F.col("members").alias("x")), "a")
+    both = left.join(found.select(F.col("set_key").alias("b"), F.col("members").alias("y")), "b")
     return both.select("a", "b", "x", "y").mapInArrow(compare, "a long, b long")
 
 
@@ -269,14 +283,68 @@ def _ordered(a: Column, b: Column) -> list[Column]:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
+def _earlier(members: DataFrame) -> DataFrame:
+    """Members of lists with the lists before theirs that hold their group as well."""
+    lists = members.select("group_key", "list").distinct().groupBy("group_key").agg(F.collect_list("list").alias("lists"))
+    return members.join(lists, "group_key").withColumn("lists", F.filter("lists", lambda x: x < F.col("list")))
+
+
+def _chunked(members: DataFrame, sizes: DataFrame) -> DataFrame:
+    """Members of lists dealt into chunks, once for every chunk that theirs has to meet."""
+    rows = members.join(sizes.select("list", F.ceil(F.col("members") / CHUNK).alias("chunks")), "list")
+    rows = rows.withColumn("chunk", F.expr("pmod(xxhash64(set_key), chunks)"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    return rows.select(
+        "list", "set_key", "n", "map", "component", "lists", "chunk",
+        F.least("chunk", "other").alias("low"), F.greatest("chunk", "other").alias("high"))
+
+
+def _cross(percent: int):
+    """Of two chunks of a list: the pairs of different components that may link and share no earlier list."""
+
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values(["n", "set_key"])
+        key, size, own, chunk = (group[c].to_numpy() for c in ("set_key", "n", "component", "chunk"))
+        apart = group["low"].iat[0] != group["high"].iat[0]
+        maps = np.frombuffer(b"".join(group["map"]), np.uint64).reshape(len(key), -1)
+        count = group["lists"].str.len().to_numpy()
+        every = np.concatenate([np.asarray(x, np.int64) for x in group["lists"]])
+        names, place = np.unique(every, return_inverse=True)
+        shared = np.zeros((len(key), len(names)), bool)
+        shared[np.repeat(np.arange(len(key)), count), place] = True
+        shared = np.packbits(shared, axis=1)
+        a, b = [], []
+        for i in range(len(key)):  # partners are the next larger sets, up to the size limit
+            last = np.searchsorted(size, size[i] * 100 // percent, "right")
+            fresh = own[i + 1 : last] != own[i]
+            if apart:
+                fresh &= chunk[i + 1 : last] != chunk[i]
+            near = np.arange(i + 1, last)[fresh]
+            near = near[~(shared[i] & shared[near]).any(1)]
+            near = near[_room(maps[i], maps[near], size[i] + size[near], percent)]
+            a.append(np.full(len(near), key[i]))
+            b.append(key[near])
+        a, b = np.concatenate(a), np.concatenate(b)
+        return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+
+    return run
+
+
+def _shared_ids(keyed: DataFrame) -> DataFrame:
+    """Links between the different sets of one ``doc_id``."""
+    rows = keyed.where("n > 0 AND doc_id IS NOT NULL").select("doc_id", "set_key")
+    several = rows.groupBy("doc_id").agg(F.min("set_key").alias("a"), F.max("set_key").alias("high")).where("a < high")
+    return rows.join(several, "doc_id").where("set_key <> a").select("a", F.col("set_key").alias("b")).distinct()
+
+
 def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     """``doc_id, n_shingles, component_id`` per row of ``docs`` (``doc_id``, ``text``), exactly.
 
     Two documents link when ``100 * |A & B| >= percent * |A | B|`` for their sets of distinct ``n``-word
     shingles; ``component_id`` is the smallest ``doc_id`` reachable by links, itself included. Null and
     empty texts and texts without words have empty sets and link with nothing; a text of fewer than ``n``
-    words is one shingle. Rows of one ``doc_id`` are one document that links if any of them does. A null
-    ``doc_id`` links with nothing and has a null component. Other columns are not looked at; an empty
+    words is one shingle. Rows of one ``doc_id`` are one document that links if any of them does; of these, rows
+    without words stay alone. A null ``doc_id`` links with nothing and has a null component. Other columns are not looked at; an empty
     table gives no rows. Texts are read whole, and no pair is left out for the length of a list.
     """
     text_batches(docs.sparkSession)
@@ -292,48 +360,34 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFr
 
     # Round one: the most copied class of a group against the group's others, and those of hub pairs.
     best = classes.groupBy("group_key").agg(
-        F.max_by("rep", F.struct("docs", "rep")).alias("hub"), F.count("*").alias("classes"))
-    inside = classes.join(best.where("classes > 1"), "group_key").where("rep <> hub").select(*_ordered(F.col("hub"), F.col("rep")))
+        F.max_by("set_key", F.struct("docs", "set_key")).alias("hub"), F.count("*").alias("classes"))
+    inside = classes.join(best.where("classes > 1"), "group_key").where("set_key <> hub").select(*_ordered(F.col("hub"), F.col("set_key")))
     one, two = best.select(F.col("group_key").alias("a"), F.col("hub").alias("x")), best.select(F.col("group_key").alias("b"), F.col("hub").alias("y"))
     across = hub_pairs.join(one, "a").join(two, "b").select(*_ordered(F.col("x"), F.col("y")))
     tested = materialised(inside.union(across).where("a <> b").distinct())
-    links = materialised(_verified(docs, classes, tested, n, percent))
-    placed = classes.join(components(links).withColumnRenamed("id", "rep"), "rep", "left") \
-        .select("group_key", "rep", "n", "map", F.coalesce("component", "rep").alias("component"))
+    links = materialised(_verified(docs, classes, tested, n, percent).union(_shared_ids(keyed)))
+    placed = classes.join(components(links).withColumnRenamed("id", "set_key"), "set_key", "left") \
+        .select("group_key", "set_key", "n", "map", F.coalesce("component", "set_key").alias("component"))
     placed = materialised(placed)
 
-    # Round two: what may still link documents of different components.
+    # Round two: what may still link classes of different components.
     members = (
         lists.where("kind = 2").select(F.col("a").alias("list"), F.col("b").alias("group_key"))
         .union(best.where("classes > 1").select(F.col("group_key").alias("list"), "group_key"))
         .join(placed, "group_key"))
-    open_lists = members.groupBy("list").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("list")
-
-    def cross(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.drop_duplicates("rep").sort_values(["n", "rep"])
-        rep, size, own = (group[c].to_numpy() for c in ("rep", "n", "component"))
-        maps = np.frombuffer(b"".join(group["map"]), np.uint64).reshape(len(rep), -1)
-        a, b = [], []
-        for i in range(len(rep)):  # partners are the next larger sets, up to the size limit
-            last = np.searchsorted(size, size[i] * 100 // percent, "right")
-            near = np.arange(i + 1, last)[own[i + 1 : last] != own[i]]
-            near = near[_room(maps[i], maps[near], size[i] + size[near], percent)]
-            a.append(np.full(len(near), rep[i]))
-            b.append(rep[near])
-        a, b = np.concatenate(a), np.concatenate(b)
-        return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
-
-    again = members.join(open_lists, "list", "left_semi").groupBy("list").applyInPandas(cross, "a long, b long")
+    open_lists = members.groupBy("list").agg(
+        F.min("component").alias("first"), F.max("component").alias("last"), F.count("*").alias("members")).where("first < last")
+    open_members = _earlier(members.join(open_lists.select("list"), "list", "left_semi"))
+    again = _chunked(open_members, open_lists).groupBy("list", "low", "high").applyInPandas(_cross(percent), "a long, b long")
     # Pairs of groups stand for the pairs of all their classes.
-    x, y = (placed.select(F.col("group_key").alias(g), F.col("rep").alias(r), F.col("component").alias(c))
+    x, y = (placed.select(F.col("group_key").alias(g), F.col("set_key").alias(r), F.col("component").alias(c))
             for g, r, c in (("a", "x", "p"), ("b", "y", "q")))
     rest = hub_pairs.union(other_pairs).join(x, "a").join(y, "b").where("p <> q").select(*_ordered(F.col("x"), F.col("y")))
     untested = materialised(again.union(rest).distinct().join(tested, ["a", "b"], "left_anti"))
-    all_links = links.union(_verified(docs, classes, untested, n, percent))
-    final = components(all_links).withColumnRenamed("id", "rep")
-    owner = classes.join(final, "rep", "left").select(
-        "group_key", "set_key", "n", F.coalesce("component", "rep").alias("component"))
-    joined = keyed.join(owner, ["group_key", "set_key", "n"], "left")
+    found = components(links.union(_verified(docs, classes, untested, n, percent))).withColumnRenamed("id", "set_key")
+    final = classes.join(found, "set_key", "left").select("set_key", "rep", F.coalesce("component", "set_key").alias("component"))
+    owner = final.join(final.groupBy("component").agg(F.min("rep").alias("least")), "component").select("set_key", "least")
+    joined = keyed.join(owner, "set_key", "left")
     return joined.select(
         "doc_id", F.col("n").alias("n_shingles"),
-        F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
+        F.when(F.col("doc_id").isNotNull(), F.coalesce("least", "doc_id")).alias("component_id"))

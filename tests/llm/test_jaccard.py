@@ -1,6 +1,8 @@
 import random
 import re
 
+import pandas as pd
+
 from shelfstack.llm import jaccard
 from shelfstack.llm.components import components
 
@@ -78,6 +80,37 @@ def test_repeated_rows_null_ids_and_empty_table(spark):
     assert jaccard.jaccard_components(docs.limit(0), 5, 80).count() == 0
 
 
+def test_different_texts_of_one_id_link_by_either(spark):
+    one, two = [f"a{i}" for i in range(40)], [f"b{i}" for i in range(40)]
+    rows = [(5, one), (5, two), (7, one[:-1]), (9, two[:-1]), (3, ["c"] * 20), (8, one), (2, ["d", "e"]), (11, ["d", "e"]), (11, two)]
+    docs = spark.createDataFrame([(d, " ".join(t)) for d, t in rows], "doc_id long, text string")
+    got = {(r.doc_id, r.component_id) for r in jaccard.jaccard_components(docs, 5, 80).collect()}
+    assert got == {(5, 2), (7, 2), (9, 2), (8, 2), (2, 2), (11, 2), (3, 3)}
+
+
+def test_chunks_of_a_list_give_each_pair_from_its_first_list(monkeypatch):
+    rng = random.Random(4)
+    maps = [bytes([rng.randrange(4)] * 8) for _ in range(30)]
+    rows = [(k, 40 + k % 3, maps[k], k % 5, [x for x in range(9) if rng.random() < 0.2]) for k in range(30)]
+
+    def cross(chunks):
+        pairs = []
+        for low in range(chunks):
+            for high in range(low, chunks):
+                part = [(*r, r[0] % chunks, low, high) for r in rows if r[0] % chunks in (low, high)]
+                frame = pd.DataFrame(part, columns=["set_key", "n", "map", "component", "lists", "chunk", "low", "high"])
+                pairs += list(jaccard._cross(85)(frame).itertuples(index=False, name=None))
+        return pairs
+
+    def fits(x, y):
+        apart = sum((a ^ b).bit_count() for a, b in zip(x[2], y[2]))
+        return x[3] != y[3] and not set(x[4]) & set(y[4]) and (x[1] + y[1] - apart) * 185 >= 170 * (x[1] + y[1])
+
+    expected = [(x[0], y[0]) for i, x in enumerate(rows) for y in rows[i + 1 :] if fits(x, y)]
+    for chunks in (1, 2, 5):
+        assert sorted(cross(chunks)) == expected != []
+
+
 def test_components(spark):
     links = [(i, i + 1) for i in range(1, 40)] + [(100, 90), (90, 95), (95, 95), (100, 90)]
     got = {r.id: r.component for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
