@@ -152,8 +152,13 @@ def _filled_map(texts: Mapping[str, Column]) -> Column:
 
 
 def rescued_cells(df: DataFrame, *keys: str, rescue: str = RESCUED) -> DataFrame:
-    """What was rescued, one row per cell: the ``keys`` of its row, ``column_name`` and ``text``."""
-    return df.select(*keys, F.explode(rescue).alias("column_name", "text"))
+    """What was rescued, one row per cell: the ``keys`` of its row, ``column_name`` and ``text``.
+
+    Rows without any go after the outer explode: for a plain one Spark asks for filled maps below the projections
+    that make them, and so parses and checks every row again for each use of them in that filter.
+    """
+    cells = df.select(*keys, F.explode_outer(rescue).alias("column_name", "text"))
+    return cells.where("column_name IS NOT NULL")
 
 
 def rescue_rules(df: DataFrame, types: Mapping[str, str], rescue: str = RESCUED) -> dict[str, Column]:

@@ -99,3 +99,11 @@ def test_bronze_keeps_everything_by_default(spark, tmp_path):
     assert rows(df, "order_id", "_rescued") == [(1, None), (None, {"order_id": "KE-2", "total_usd": "12 USD"})]
     plain = files.read_dataset(spark, Settings(raw_root=str(tmp_path), rescue=None), BY_NAME["orders"])
     assert "_rescued" not in plain.columns
+
+
+def test_lines_are_parsed_once_for_their_rescued_cells(spark, tmp_path):
+    (tmp_path / "a.json").write_text('{"id": 1, "n": "x", "more": "y"}\n{"id": 2, "n": "5"}\n')
+    read = files.read_jsonl(spark, str(tmp_path), {"n": "bigint"}, "id bigint, n bigint", rescue="_rescued")
+    cells = files.rescued_cells(read, "id")
+    assert sorted(map(tuple, cells.collect())) == [(1, "more", "y"), (1, "n", "x")]
+    assert cells._jdf.queryExecution().optimizedPlan().toString().count("from_json") == 2  # as columns, and as a map
