@@ -153,3 +153,15 @@ def test_merging_twice_with_null_keys_changes_nothing(spark):
     once = merge_rows(old, batch, ["k"])
     twice = merge_rows(once, batch, ["k"])
     assert rows(once) == rows(twice) == rows(spark.createDataFrame([(1, "b", 2.0), (None, "x", None), (None, "y", 3.0)], kind))
+
+
+def test_a_settled_batch_is_read_from_where_it_is(spark):
+    sinks.ensure_layers(spark, "sink")
+    sinks.save_table(frame(spark, (1, 1, "a"), (2, 1, "b"), (None, 1, "n")), "sink", "s")
+    sinks.save_table(frame(spark, (2, 0, "c"), (3, 1, "d"), (None, 1, "n")), "sink", "s_new")
+    for _ in range(2):
+        upsert_table(spark, "sink", "s", spark.table("sink.s_new"), ["id"], settled=True)
+        assert sorted(map(str, rows(spark.table("sink.s")))) == sorted(map(str, [(1, 1, "a"), (2, 0, "c"), (3, 1, "d"), (None, 1, "n")]))
+    plan = spark.table("sink.s_new")
+    assert plan.count() == 3 and not spark.catalog.tableExists("sink.s__batch")
+    assert all(".zstd." in path for path in spark.table("sink.s").inputFiles())
