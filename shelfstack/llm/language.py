@@ -30,6 +30,7 @@ REJECT_SHARE = 0.8  # rejected below this share of that quantile
 _FLOOR_TEXTS = 50  # fitted texts that a quantile is taken from; where a length class has fewer, its neighbours help
 UNDETERMINED = "und"
 _LETTER = np.fromiter((chr(c).isalpha() for c in range(0x110000)), bool, 0x110000)
+_BLOCK = 64  # vectors of a sample that are whole at a time
 _LENGTHS = 12  # length classes: powers of two of the number of trigrams
 
 
@@ -98,18 +99,45 @@ def _features(batches: Iterator[pa.RecordBatch], idf: np.ndarray) -> Iterator[pa
             "weights": pa.array([p[b].tobytes() for p, b in zip(points, bins)], pa.binary())})
 
 
-def _spherical_means(points: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
-    """Centroids by k-means with cosine, from ``k`` points far from each other."""
-    chosen = [int(rng.integers(len(points)))]
-    while len(chosen) < min(k, len(points)):
-        nearest = (points @ points[chosen].T).max(1)
+class _Points:
+    """The vectors of one language's sample, kept as bins and weights; whole ones exist for a block of rows at a time."""
+
+    def __init__(self, bins: list[bytes], weights: list[bytes]):
+        self.bins = [np.frombuffer(b, np.uint16) for b in bins]
+        self.weights = [np.frombuffer(w, np.float32) for w in weights]
+
+    def __len__(self) -> int:
+        return len(self.bins)
+
+    def whole(self, rows: np.ndarray) -> np.ndarray:
+        out = np.zeros((len(rows), BINS), np.float32)
+        for point, i in zip(out, rows):
+            point[self.bins[i]] = self.weights[i]
+        return out
+
+    def like(self, rows: np.ndarray, centres: np.ndarray) -> np.ndarray:
+        """The cosines of some rows with ``centres``."""
+        return np.concatenate([self.whole(rows[at : at + _BLOCK]) @ centres.T for at in range(0, len(rows), _BLOCK)])
+
+    def total(self, rows: np.ndarray) -> np.ndarray:
+        out = np.zeros(BINS, np.float32)
+        for i in rows:  # a vector has a bin once
+            out[self.bins[i]] += self.weights[i]
+        return out
+
+
+def _spherical_means(points: _Points, rows: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
+    """Centroids of some rows by k-means with cosine, from ``k`` points far from each other."""
+    chosen = [int(rng.integers(len(rows)))]
+    while len(chosen) < min(k, len(rows)):
+        nearest = points.like(rows, points.whole(rows[chosen])).max(1)
         chosen.append(int(nearest.argmin()))
-    centres = points[chosen].copy()
+    centres = points.whole(rows[chosen])
     for _ in range(15):
-        own = (points @ centres.T).argmax(1)
+        own = points.like(rows, centres).argmax(1)
         for j in range(len(centres)):
             if (own == j).any():
-                mean = points[own == j].sum(0)
+                mean = points.total(rows[own == j])
                 centres[j] = mean / max(np.linalg.norm(mean), 1e-12)
     return centres
 
@@ -133,7 +161,7 @@ def fit(train: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> Model:
 
     The trigrams' document frequencies cover every row. The centroids are fitted on about ``per_language``
     whole texts of each language, chosen by a hash of the row; the vectors of that sample are all that
-    reaches the driver. Without any labelled text the model is empty and every text is undetermined.
+    reaches the driver, which holds them as bins and weights. Without any labelled text the model is empty and every text is undetermined.
     """
     text_batches(train.sparkSession)
     train = train.where("text IS NOT NULL AND lang IS NOT NULL").select("doc_id", "text", "lang")
@@ -156,14 +184,12 @@ def fit(train: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> Model:
         own = [r for r in rows if r.lang == language and r.letters > 0]
         if not own:
             continue
-        points = np.zeros((len(own), BINS), np.float32)
-        for point, r in zip(points, own):
-            point[np.frombuffer(r.bins, np.uint16)] = np.frombuffer(r.weights, np.float32)
+        points = _Points([r.bins for r in own], [r.weights for r in own])
         size = np.array([r.letters for r in own])
-        centres = _spherical_means(points[size >= min(64, np.median(size))], CENTROIDS, rng)
+        centres = _spherical_means(points, np.flatnonzero(size >= min(64, np.median(size))), CENTROIDS, rng)
         owner += [number] * len(centres)
         centroids.append(centres)
-        like = points @ centres.T
+        like = points.like(np.arange(len(points)), centres)
         mine, classes = like.argmax(1), _length_class(size)
         best = like.max(1)
         for j in range(len(centres)):  # a centroid with few texts, often outliers, takes all of its language

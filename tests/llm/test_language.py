@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 
 from shelfstack.llm import language
 
@@ -64,3 +65,15 @@ def test_long_texts_far_from_every_language_go_and_clean_ones_stay(spark):
     rows += [(1000 + i, text(unlearned, n)) for i, n in enumerate((200, 1000, 5000))] + [(2000 + i, letters(n)) for i, n in enumerate((2000, 20_000, 200_000))]
     got = language.identify(spark.createDataFrame(rows, "doc_id long, text string"), model, "doc_id").collect()
     assert {r.doc_id for r in got if r.rejected} == {r[0] for r in rows if r[0] >= 1000}
+
+
+def test_the_driver_holds_no_whole_vectors_of_the_sample(spark):
+    rng = random.Random(11)
+    rows = [(i, " ".join("".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(30)), "xx") for i in range(700)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    tracemalloc.start()
+    model = language.fit(docs)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert model.centroids.shape == (language.CENTROIDS, language.BINS)
+    assert peak < 700 * language.BINS * 4  # the vectors of the sample, without copies of them
