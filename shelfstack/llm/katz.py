@@ -21,6 +21,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,10 +33,13 @@ TAIL = 0.5  # taken off every larger count, as off the others where the counts o
 _START, _END = np.uint64(1), np.uint64(2)
 _HEAVY = 2000  # tokens with more than one in so many of all tokens: there can't be more of them than this
 _FLUSH = 1_000_000  # tokens that a task packs at a time
+_ROWS = 22  # bits for a text's place among those that a task packs at a time; each has an end, so that there are not many more than _FLUSH
+_PACKS = 20  # bits for the number of such a pack in its task; the task's number has the others
 _PARTS = 4  # a bucket of bigrams is worked off in so many parts, to bound a task's memory
 COUNT = np.dtype([("word", "u8"), ("count", "u8")])
 PART = np.dtype([("doc", "u8"), ("sum", "f8"), ("base", "f8"), ("tokens", "u4"), ("known", "u4")] + [(f"r{r}", "u4") for r in range(1, DISCOUNTED + 1)])
 HISTORY = np.dtype([("word", "u8"), ("seen", "f8"), ("more", "u8"), ("large", "u4")] + [(f"n{r}", "u4") for r in range(1, DISCOUNTED + 1)])
+NAME = np.dtype([("doc", "u8"), ("key", "u8")])
 ASKED = np.dtype([("word", "u8"), ("doc", "u8"), ("count", "u4")])
 
 
@@ -155,60 +159,67 @@ def _discounted(count: np.ndarray, factors: np.ndarray) -> np.ndarray:
 
 
 def _bigrams(docs: DataFrame, buckets: int, heavy: np.ndarray) -> DataFrame:
-    """Per bucket: bigrams with the texts that have them. A text has a key of its own in ``key``."""
+    """Per bucket: bigrams with the texts that have them, and in part -1 which rows these texts are.
+
+    A text is named by its task, pack and place, which a blob has once for all its texts; its row's ``key`` is sent
+    once and not with every bucket that has some of its bigrams.
+    """
 
     def place(word: np.ndarray, before: np.ndarray) -> np.ndarray:
         spread = np.isin(word, heavy)
         at = mix(word) + np.where(spread, mix(before ^ np.uint64(0x5555)), np.uint64(0))
         return (at % np.uint64(buckets * _PARTS)).astype(np.int64)
 
-    def pack(parts: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
-        word, before, doc, held = (np.concatenate(p) for p in zip(*parts))
+    def pack(parts: list[tuple[np.ndarray, ...]], base: int) -> Iterator[pa.RecordBatch]:
+        word, before, at_row, keys, held = (np.concatenate(p) for p in zip(*parts))
         bucket = place(word, before)
-        order = np.lexsort((doc, before, word, bucket))
-        bucket, word, before, doc, held = (x[order] for x in (bucket, word, before, doc, held))
-        entry = _heads(bucket, word, before, doc)
+        order = np.lexsort((at_row, before, word, bucket))
+        bucket, word, before, at_row = (x[order] for x in (bucket, word, before, at_row))
+        entry = _heads(bucket, word, before, at_row)
         count = _sizes(entry, len(word)).astype(np.uint32)
-        bucket, word, before, doc, held = (x[entry] for x in (bucket, word, before, doc, held))
+        bucket, word, before, at_row = (x[entry] for x in (bucket, word, before, at_row))
+        marked = at_row.astype(np.uint32) << np.uint32(1) | held[at_row]
         out_b, blobs = [], []
         first = _heads(bucket)
         for a, b in zip(first, np.r_[first[1:], len(bucket)]):
             pair, single = _heads(word[a:b], before[a:b]), _heads(word[a:b])
-            names, index = np.unique(doc[a:b], return_inverse=True)
-            train = np.zeros(len(names), np.uint8)
-            train[index] = ~held[a:b]
-            sizes = np.array([len(single), len(pair), b - a, len(names)], np.uint64)
+            sizes = np.array([len(single), len(pair), b - a, base], np.uint64)
             blobs.append(_pack(
-                sizes, word[a:b][single], before[a:b][pair], names, _sizes(single, b - a).astype(np.uint32), _sizes(pair, b - a).astype(np.uint32),
-                index.astype(np.uint32), count[a:b], train))
+                sizes, word[a:b][single], before[a:b][pair], _sizes(single, b - a).astype(np.uint32), _sizes(pair, b - a).astype(np.uint32),
+                marked[a:b], count[a:b]))
             out_b.append(bucket[a])
+        names = np.empty(len(keys), NAME)
+        names["doc"], names["key"] = np.uint64(base) + np.arange(len(keys), dtype=np.uint64), keys
         bucket, part = np.divmod(np.array(out_b, np.int32), _PARTS)
-        yield pa.RecordBatch.from_arrays([pa.array(bucket), pa.array(part), pa.array(blobs, pa.binary())], ["bucket", "part", "blob"])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.r_[bucket, bucket[:1]]), pa.array(np.r_[part, np.int32(-1)]), pa.array([*blobs, _columns(names)], pa.binary())],
+            ["bucket", "part", "blob"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts, size = [], 0
+        parts, size, rows, packs = [], 0, 0, TaskContext.get().partitionId() << _PACKS
         for batch in blocks(batches):
             token, before, row = _tokens(batch)
-            parts.append((token, before, batch.column("key").to_numpy().view(np.uint64)[row], batch.column("held_out").to_numpy(zero_copy_only=False)[row]))
-            size += len(token)
+            held = batch.column("held_out").to_numpy(zero_copy_only=False).astype(np.uint32)
+            parts.append((token, before, row + rows, batch.column("key").to_numpy().view(np.uint64), held))
+            size, rows = size + len(token), rows + batch.num_rows
             if size > _FLUSH:
-                yield from pack(parts)
-                parts, size = [], 0
+                yield from pack(parts, packs << _ROWS)
+                parts, size, rows, packs = [], 0, 0, packs + 1
         if size:
-            yield from pack(parts)
+            yield from pack(parts, packs << _ROWS)
 
     return docs.select("key", "held_out", "text").mapInArrow(run, "bucket int, part int, blob binary")
 
 
 def _unpacked(blob: bytes) -> tuple[np.ndarray, ...]:
     raw = _raw(blob)
-    singles, pairs, entries, names = (int(x) for x in np.frombuffer(raw, np.uint64, 4))
+    singles, pairs, entries, base = (int(x) for x in np.frombuffer(raw, np.uint64, 4))
     at, out = 32, []
-    for kind, n in ((np.uint64, singles), (np.uint64, pairs), (np.uint64, names), (np.uint32, singles), (np.uint32, pairs), (np.uint32, entries), (np.uint32, entries), (np.uint8, names)):
+    for kind, n in ((np.uint64, singles), (np.uint64, pairs), (np.uint32, singles), (np.uint32, pairs), (np.uint32, entries), (np.uint32, entries)):
         out.append(np.frombuffer(raw, kind, n, at))
         at += np.dtype(kind).itemsize * n
-    word, before, doc, per_word, per_pair, index, count, train = out
-    return np.repeat(word, per_word), np.repeat(before, per_pair), doc[index], count, train[index].astype(bool)
+    word, before, per_word, per_pair, marked, count = out
+    return np.repeat(word, per_word), np.repeat(before, per_pair), np.uint64(base) + (marked >> np.uint32(1)), count, marked & np.uint32(1) == 0
 
 
 def _joined(buckets: int, total: int, types: int, factors: np.ndarray, unknown: float, heavy: np.ndarray, heavy_count: np.ndarray):
@@ -257,11 +268,13 @@ def _joined(buckets: int, total: int, types: int, factors: np.ndarray, unknown:
         return sums, masses, asked, np.bincount(np.minimum(sc, DISCOUNTED + 2), minlength=DISCOUNTED + 3)[1 : DISCOUNTED + 2]
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
-        done = list(zip(*(part(blobs) for _, blobs in group.groupby("part")["blob"])))
+        packed = group["part"] >= 0
+        done = list(zip(*(part(blobs) for _, blobs in group[packed].groupby("part")["blob"])))
         sums, masses = _added(np.concatenate(done[0]), "doc"), _added(np.concatenate(done[1]), "word")
         asked, times = np.concatenate(done[2]), np.sum(done[3], axis=0)
+        names = np.concatenate([np.zeros(0, NAME), *(_records(b, NAME) for b in group["blob"][~packed])])
         rows = []
-        for kind, records, name in (("sums", sums, "doc"), ("histories", masses, "word"), ("asked", asked, "word")):
+        for kind, records, name in (("sums", sums, "doc"), ("names", names, "doc"), ("histories", masses, "word"), ("asked", asked, "word")):
             rows += [(kind, b, x) for b, x in zip(*_by_bucket((mix(records[name]) % np.uint64(buckets)).astype(np.int64), records))]
         rows.append(("times", 0, times.astype(np.int64).tobytes()))
         return pd.DataFrame(rows, columns=["kind", "bucket", "blob"])
@@ -318,11 +331,12 @@ def backoff(told: np.ndarray, factors: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 def _summed(group: pd.DataFrame) -> pd.DataFrame:
-    every = np.concatenate([_records(b, PART) for b in group["blob"]])
-    every = every[np.argsort(every["doc"], kind="stable")]
-    first = _heads(every["doc"])
-    out = {f: np.add.reduceat(every[f].astype(float if f in ("sum", "base") else np.int64), first) for f in PART.names[1:]}
-    return pd.DataFrame({"key": every["doc"][first].view(np.int64), **out})
+    """For one bucket of texts: their sums, by the keys of their rows."""
+    named = group["kind"] == "names"
+    names = np.concatenate([_records(b, NAME) for b in group["blob"][named]])
+    sums = _added(np.concatenate([_records(b, PART) for b in group["blob"][~named]]), "doc")
+    key = names["key"][np.argsort(names["doc"], kind="stable")]
+    return pd.DataFrame({"key": key.view(np.int64), **{f: sums[f] if f in ("sum", "base") else sums[f].astype(np.int64) for f in PART.names[1:]}})
 
 
 def scored(docs: DataFrame) -> DataFrame:
@@ -365,15 +379,14 @@ def scored(docs: DataFrame) -> DataFrame:
     pair_factors = discounts(times.tolist())
     backed = table.where("kind IN ('histories', 'asked')").groupBy("bucket").applyInPandas(_weights(buckets, pair_factors), "bucket int, blob binary")
     kinds = ", ".join(f"{f} {'double' if f in ('sum', 'base') else 'long'}" for f in PART.names[1:])
-    sums = table.where("kind = 'sums'").select("bucket", "blob").union(backed).groupBy("bucket").applyInPandas(_summed, f"key long, {kinds}")
+    sums = table.where("kind IN ('sums', 'names')").select("kind", "bucket", "blob").union(backed.select(F.lit("sums"), "bucket", "blob"))
+    sums = sums.groupBy("bucket").applyInPandas(_summed, f"key long, {kinds}")
+    sums = sums.groupBy("key").agg(*[F.max(f).alias(f) for f in PART.names[1:]])  # repeated rows have equal sums
     texts = rows.where("NOT held_out").count()
-    times_there = rows.groupBy("key").agg(F.count("*").alias("repeats"))
     score = F.col("sum")
     for r in range(1, DISCOUNTED + 1):
         score = score + F.col(f"r{r}") * F.lit(float(np.log10(r * pair_factors[r - 1])))
-    out = rows.select("doc_id", "held_out", "key").join(sums.join(times_there, "key"), "key")
-    each = lambda c: (F.col(c) / F.col("repeats")).cast("long")
+    out = rows.select("doc_id", "held_out", "key").join(sums, "key")
     return out.select(
-        "doc_id", "held_out", each("tokens").alias("n_tokens"), each("known").alias("n_known"), F.lit(total).cast("long").alias("train_tokens"),
-        (F.col("base") / F.col("repeats")).alias("base_score"),
-        (score / F.col("repeats") - F.lit(float(np.log10(texts)) if texts else 0.0)).alias("score"))
+        "doc_id", "held_out", F.col("tokens").alias("n_tokens"), F.col("known").alias("n_known"), F.lit(total).cast("long").alias("train_tokens"),
+        F.col("base").alias("base_score"), (score - F.lit(float(np.log10(texts)) if texts else 0.0)).alias("score"))

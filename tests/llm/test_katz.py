@@ -3,6 +3,7 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 from shelfstack.llm import katz
@@ -109,3 +110,13 @@ def test_histories_with_frequent_successors_only(spark):
     rows = [(i, "alpha beta", False) for i in range(20)] + [(900, "beta gamma", True)]
     got = {r.doc_id: r for r in katz.scored(spark.createDataFrame(rows, "doc_id long, text string, held_out boolean")).collect()}
     assert got[900].score == pytest.approx(Brute(["alpha beta"] * 20).score("beta gamma")) and got[900].score > -8
+
+
+def test_a_text_is_named_once_however_many_buckets_there_are(spark):
+    rng = random.Random(6)
+    rows = [(i, " ".join(f"w{rng.randrange(3000)}" for _ in range(60)), i % 7 == 2) for i in range(600)]
+    docs = spark.createDataFrame(rows, "key long, text string, held_out boolean").coalesce(1)
+    few, many = (katz._bigrams(docs, n, np.zeros(0, np.uint64)).selectExpr("sum(length(blob))").first()[0] for n in (4, 64))
+    assert many < 1.4 * few
+    packs = katz._bigrams(docs, 4, np.zeros(0, np.uint64)).where("part < 0").collect()
+    assert sorted(k for p in packs for k in katz._records(bytes(p.blob), katz.NAME)["key"].tolist()) == list(range(600))
