@@ -9,7 +9,7 @@ finite weight, the BPE segmentation, so the tropical shortest path needs one las
 
 No piece has a blank after another character, so every path passes through the places before runs of
 blanks, and the composition falls into independent segments (a word with the blanks before it). Equal
-segments of a batch are composed once, all of them in step, place by place, in numpy.
+segments of a stretch of text are composed once, all of them in step, place by place, in numpy.
 """
 
 from __future__ import annotations
@@ -30,6 +30,7 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 _BLANK = "▁"
 _NEVER = np.int64(1) << 40
 _LONG = 96  # bytes; longer segments are composed one by one
+STRETCH = 1 << 17  # bytes of text that are composed together; a path takes some hundred bytes per byte
 _CACHE_BITS = 21
 
 
@@ -320,32 +321,36 @@ def normalised(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return utf8(pc.binary_join_element_wise(dummy, column, pa.scalar("", pa.large_string())))
 
 
-def encode_batch(context: Context, column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Piece ids of a column of texts, the number of pieces per row, and per row whether decoding gives the text back."""
-    data, offsets = normalised(column)
-    blank = data == 32
-    begins = blank.copy()
-    begins[1:] &= ~blank[:-1]
-    begins[offsets[:-1][offsets[:-1] < len(data)]] = True
-    start = np.flatnonzero(begins)
+def _stretches(begins: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Ranges of about ``STRETCH`` bytes that end where a segment does."""
+    a = 0
+    while a < len(begins):
+        b = a + STRETCH
+        while b < len(begins) and not begins[b : b + STRETCH].any():
+            b += STRETCH
+        b = b + int(begins[b : b + STRETCH].argmax()) if b < len(begins) else len(begins)
+        yield a, b
+        a = b
+
+
+def _encode_segments(context: Context, data: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pieces of the segments that begin at ``start`` in ``data``, and the number of pieces of each."""
     size = np.diff(np.r_[start, len(data)])
     _, first, which = np.unique(SpanHash(data)(start, start + size), return_index=True, return_inverse=True)
-    piece, count = np.zeros(0, np.int64), np.zeros(len(first), np.int64)
+    piece, count = np.zeros(0, np.int32), np.zeros(len(first), np.int64)
     short = np.flatnonzero(size[first] <= _LONG)
     short = short[np.argsort(size[first[short]], kind="stable")]
     parts, owners = [], []
-    for some in np.array_split(short, max(1, len(short) // 50_000)):
-        if not len(some):
-            continue
-        n = size[first[some]]
-        index = np.repeat(start[first[some]] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+    if len(short):
+        n = size[first[short]]
+        index = np.repeat(start[first[short]] - (np.cumsum(n) - n), n) + np.arange(n.sum())
         found, number = shortest_paths(context, data[index], n)
-        parts.append(found)
-        owners.append(some)
-        count[some] = number
+        parts.append(found.astype(np.int32))
+        owners.append(short)
+        count[short] = number
     for u in np.flatnonzero(size[first] > _LONG):
         found = _long_path(context, data[start[first[u]] : start[first[u]] + size[first[u]]])
-        parts.append(found)
+        parts.append(found.astype(np.int32))
         owners.append(np.array([u]))
         count[u] = len(found)
     if parts:
@@ -354,30 +359,54 @@ def encode_batch(context: Context, column: pa.Array) -> tuple[np.ndarray, np.nda
     base = np.zeros(len(first), np.int64)
     base[order] = np.cumsum(count[order]) - count[order]
     n = count[which]
-    ids = piece[np.repeat(base[which] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
-    per_row = np.zeros(len(column), np.int64)
-    row = np.searchsorted(offsets, start, "right") - 1
-    np.add.at(per_row, row, n)
-    decoded, bounds = decode_ids(context.machine, ids, per_row)
+    return piece[np.repeat(base[which] - (np.cumsum(n) - n), n) + np.arange(n.sum())], n
+
+
+def encode_batch(context: Context, column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Piece ids of a column of texts, the number of pieces per row, and per row whether decoding gives the text back.
+
+    Texts are encoded stretch by stretch, so that beside texts and ids no more than a stretch is held, however
+    many rows there are and however long they are; only a long segment is a stretch by itself.
+    """
+    data, offsets = normalised(column)
     original, edges = utf8(column)
-    same = np.diff(bounds) == np.diff(edges)
-    if len(decoded) == len(original) and same.all():
-        wrong = np.flatnonzero(decoded != original)
-        same[np.searchsorted(edges, wrong, "right") - 1] = False
-    else:
-        same = np.array([decoded[a:b].tobytes() == original[c:d].tobytes() for a, b, c, d in zip(bounds, bounds[1:], edges, edges[1:])], bool)
-    return ids, per_row, same
+    blank = data == 32
+    begins = blank.copy()
+    begins[1:] &= ~blank[:-1]
+    begins[offsets[:-1][offsets[:-1] < len(data)]] = True
+    # Decoding drops the blank before a text; what else the normaliser changes makes the text shorter.
+    same = np.diff(offsets) == np.diff(edges) + (np.diff(edges) > 0)
+    per_row = np.zeros(len(column), np.int64)
+    found = [np.zeros(0, np.int32)]
+    for a, b in _stretches(begins):
+        start = np.flatnonzero(begins[a:b])
+        ids, n = _encode_segments(context, data[a:b], start)
+        row = np.searchsorted(offsets, start + a, "right") - 1
+        np.add.at(per_row, row, n)
+        decoded, ends = _spelled(context.machine, ids, n)
+        if not np.array_equal(decoded, data[a:b]):
+            wrong = [decoded[c:d].tobytes() != data[e:f].tobytes() for c, d, e, f in zip(ends, ends[1:], start + a, np.r_[start[1:] + a, b])]
+            same[row[wrong]] = False
+        found.append(ids)
+    return np.concatenate(found), per_row, same
+
+
+def _spelled(m: Machine, ids: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes of the pieces ``ids``, and where those of each run of ``count`` ids end, after a 0; slice by slice."""
+    n = np.diff(m.piece_start)[ids]
+    parts = [np.zeros(0, np.uint8)]
+    for a in range(0, len(ids), STRETCH):
+        some, size = ids[a : a + STRETCH], n[a : a + STRETCH]
+        parts.append(m.piece_bytes[np.repeat(m.piece_start[some] - (np.cumsum(size) - size), size) + np.arange(size.sum())])
+    return np.concatenate(parts), np.r_[0, np.cumsum(n)][np.r_[0, np.cumsum(count)]]
 
 
 def decode_ids(m: Machine, ids: np.ndarray, per_row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of the texts that ids stand for, without the blank that the normaliser puts first; and offsets."""
-    n = (m.piece_start[1:] - m.piece_start[:-1])[ids]
-    raw = m.piece_bytes[np.repeat(m.piece_start[ids] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
-    ends = np.r_[0, np.cumsum(n)][np.r_[0, np.cumsum(per_row)]]
+    raw, ends = _spelled(m, ids, per_row)
     first = ends[:-1][ends[1:] > ends[:-1]]
-    drop = first[raw[first] == 32]
     kept = np.ones(len(raw), bool)
-    kept[drop] = False
+    kept[first[raw[first] == 32]] = False
     return raw[kept], np.r_[0, np.cumsum(kept)][ends]
 
 
@@ -407,11 +436,11 @@ def encoded(docs: DataFrame, *keep: str, model: str = MODEL) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context = _context(machine.value)
-        for batch in blocks(batches, limit=8 << 20):
+        for batch in blocks(batches):
             text = batch.column("text")
             ids, per_row, same = encode_batch(context, text)
             edges = pa.array(np.r_[0, np.cumsum(per_row)].astype(np.int32))
-            lists = pa.ListArray.from_arrays(edges, pa.array(ids.astype(np.int32)), mask=pc.is_null(text))
+            lists = pa.ListArray.from_arrays(edges, pa.array(ids), mask=pc.is_null(text))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("row"), lists, pa.array(per_row), pa.array(same)], ["row", "token_ids", "n_tokens", "round_trip"])
 

@@ -1,6 +1,8 @@
 import os
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from shelfstack.llm import pieces
@@ -43,3 +45,39 @@ def test_empty_table_and_carried_columns(spark):
 def test_other_model_kinds_are_refused(tmp_path):
     with pytest.raises(Exception):
         pieces.compile_machine(str(tmp_path / "none.model"))
+
+
+@pytest.fixture(scope="module")
+def context():
+    return pieces.Context(pieces.compile_machine())
+
+
+@pytest.mark.parametrize("stretch", [1, 7, 64, 1 << 17])
+def test_any_stretches_give_the_library_s_pieces(context, monkeypatch, stretch):
+    from sentencepiece import SentencePieceProcessor
+
+    library = SentencePieceProcessor(model_file=pieces.MODEL)
+    texts = ODD[:-1] + random_texts(60) + ["", None, "one two " * 40]
+    monkeypatch.setattr(pieces, "STRETCH", stretch)
+    ids, per_row, same = pieces.encode_batch(context, pa.array(texts, pa.string()))
+    want = [library.encode(t or "") for t in texts]
+    assert ids.tolist() == sum(want, []) and per_row.tolist() == [len(w) for w in want]
+    assert same.tolist() == ["▁" not in (t or "") for t in texts]
+    raw, bounds = pieces.decode_ids(context.machine, ids, per_row)
+    assert [raw[a:b].tobytes().decode() for a, b in zip(bounds, bounds[1:])] == [(t or "").replace("▁", " ") for t in texts]
+
+
+@pytest.mark.parametrize("rows", [1, 800])
+def test_memory_does_not_follow_the_batch(context, rows):
+    """Beside texts and ids a stretch is held, for many rows as for one long text."""
+    rng = np.random.default_rng(1)
+    words = ["".join(w) for w in rng.choice(list("abcdefghijklmnop"), (400_000, 7))]
+    each = len(words) // rows
+    texts = pa.array([" ".join(words[i * each : (i + 1) * each]) for i in range(rows)])
+    pieces.encode_batch(context, texts.slice(0, 1) if rows > 1 else pa.array(["a b"]))
+    tracemalloc.start()
+    ids, per_row, same = pieces.encode_batch(context, texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert same.all() and len(ids) == per_row.sum() > 800_000
+    assert peak < 100e6, peak
