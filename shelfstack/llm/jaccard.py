@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from shelfstack.llm.components import components
 from shelfstack.llm.storage import materialised, shuffle_width, stored, text_batches
-from shelfstack.llm.texts import blocks, mix, shingles, utf8, word_hashes
+from shelfstack.llm.texts import SMALL_BLOCK_BYTES, blocks, handing_back, mix, shingles, utf8, word_hashes
 
 COUNT_BITS = 18  # the count table has 2**18 entries, whatever the corpus
 _SLICES = 64
@@ -61,7 +61,7 @@ def shingle_counts(docs: DataFrame, n: int) -> np.ndarray:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 << COUNT_BITS, np.int64)
-        for batch in blocks(batches):
+        for batch in blocks(batches, limit=SMALL_BLOCK_BYTES):
             total += np.bincount(_bin(_sets(batch, n)[1]), minlength=len(total))
         parts = total.reshape(_SLICES, -1)
         yield pa.RecordBatch.from_pydict({"slice": np.arange(_SLICES), "counts": [p.tobytes() for p in parts]})
@@ -71,7 +71,7 @@ def shingle_counts(docs: DataFrame, n: int) -> np.ndarray:
         return pd.DataFrame({"slice": group["slice"][:1], "counts": [total.tobytes()]})
 
     kind = "slice long, counts binary"
-    rows = docs.select("text").mapInArrow(count, kind).groupBy("slice").applyInPandas(add, kind).collect()
+    rows = docs.select("text").mapInArrow(handing_back(count), kind).groupBy("slice").applyInPandas(add, kind).collect()
     table = {r.slice: np.frombuffer(r.counts, np.int64) for r in rows}
     blank = np.zeros((1 << COUNT_BITS) // _SLICES, np.int64)
     return np.concatenate([table.get(i, blank) for i in range(_SLICES)])
@@ -100,7 +100,7 @@ def _prefixes(docs: DataFrame, n: int, percent: int, counts: np.ndarray) -> Data
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: list[np.ndarray] = []
         held = 0
-        for batch in blocks(batches):
+        for batch in blocks(batches, limit=SMALL_BLOCK_BYTES):
             row, token = _sets(batch, n)
             rows = batch.num_rows
             size = np.bincount(row, minlength=rows)
@@ -130,7 +130,7 @@ def _prefixes(docs: DataFrame, n: int, percent: int, counts: np.ndarray) -> Data
             yield _postings(waiting, buckets)
 
     kind = "kind int, doc_id long, n long, group_key long, set_key long, bucket int, blob binary"
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, kind)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(handing_back(run), kind)
 
 
 def _rows(kind, doc_id, n, group, keys, bucket, blob) -> pa.RecordBatch:
@@ -242,7 +242,7 @@ def _possible(classes: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
 
     one = classes.select(F.col("set_key").alias("a"), F.col("n").alias("n"), F.col("map").alias("x"))
     two = classes.select(F.col("set_key").alias("b"), F.col("n").alias("m"), F.col("map").alias("y"))
-    return pairs.join(one, "a").join(two, "b").select("a", "b", "n", "m", "x", "y").mapInArrow(compare, "a long, b long")
+    return pairs.join(one, "a").join(two, "b").select("a", "b", "n", "m", "x", "y").mapInArrow(handing_back(compare), "a long, b long")
 
 
 def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, n: int, percent: int) -> DataFrame:
@@ -252,7 +252,7 @@ def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, n: int, per
     wanted = materialised(classes.join(ends, "set_key").select("rep", "set_key"))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in blocks(batches):
+        for batch in blocks(batches, limit=SMALL_BLOCK_BYTES):
             row, token = _sets(batch, n)
             size = np.bincount(row, minlength=batch.num_rows)
             parts = np.split(token, np.cumsum(size)[:-1])
@@ -262,7 +262,7 @@ def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, n: int, per
     # Rows of one doc_id may have several sets, of which only the wanted ones stay.
     found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text") \
         .join(wanted.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi").select("text")
-    found = found.mapInArrow(sets, "set_key long, members binary").join(wanted.select("set_key"), "set_key", "left_semi")
+    found = found.mapInArrow(handing_back(sets), "set_key long, members binary").join(wanted.select("set_key"), "set_key", "left_semi")
     found = materialised(found.dropDuplicates(["set_key"]))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -276,7 +276,7 @@ def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, n: int, per
 
     left = pairs.join(found.select(F.col("set_key").alias("a"), F.col("members").alias("x")), "a")
     both = left.join(found.select(F.col("set_key").alias("b"), F.col("members").alias("y")), "b")
-    return both.select("a", "b", "x", "y").mapInArrow(compare, "a long, b long")
+    return both.select("a", "b", "x", "y").mapInArrow(handing_back(compare), "a long, b long")
 
 
 def _ordered(a: Column, b: Column) -> list[Column]:

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfstack.llm.storage import text_batches
-from shelfstack.llm.texts import blocks
+from shelfstack.llm.texts import blocks, handing_back
 
 _BITS = 14
 BINS = 1 << _BITS  # so many that texts of unrelated languages seldom meet by collision
@@ -30,6 +30,7 @@ REJECT_SHARE = 0.8  # rejected below this share of that quantile
 _FLOOR_TEXTS = 50  # fitted texts that a quantile is taken from; where a length class has fewer, its neighbours help
 UNDETERMINED = "und"
 _LETTER = np.fromiter((chr(c).isalpha() for c in range(0x110000)), bool, 0x110000)
+_FEW = 16  # texts whose counts are whole at a time
 _BLOCK = 64  # vectors of a sample that are whole at a time
 _LENGTHS = 12  # length classes: powers of two of the number of trigrams
 
@@ -68,6 +69,15 @@ def vectors(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
     return weighted / np.maximum(np.linalg.norm(weighted, axis=1, keepdims=True), 1e-12)
 
 
+def _vectors_of(texts: list[str | None], idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Vectors of texts, and their numbers of letters; counts are whole for a few texts at a time."""
+    points, letters = np.empty((len(texts), BINS), np.float32), np.empty(len(texts), np.int64)
+    for at in range(0, len(texts), _FEW):
+        counts, letters[at : at + _FEW] = trigram_counts(texts[at : at + _FEW])
+        points[at : at + _FEW] = vectors(counts, idf)
+    return points, letters
+
+
 def _length_class(letters: np.ndarray) -> np.ndarray:
     return np.minimum(np.log2(np.maximum(letters, 1)).astype(int), _LENGTHS - 1)
 
@@ -81,18 +91,18 @@ def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _document_frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total, texts = np.zeros(BINS, np.int64), 0
     for batch in _slices(batches):
-        counts, letters = trigram_counts(batch.column("text").to_pylist())
-        total += (counts > 0).sum(0)
-        texts += int((letters > 0).sum())
+        for at in range(0, batch.num_rows, _FEW):
+            counts, letters = trigram_counts(batch.column("text").slice(at, _FEW).to_pylist())
+            total += (counts > 0).sum(0)
+            texts += int((letters > 0).sum())
     yield pa.RecordBatch.from_pydict({"bin": np.arange(BINS + 1), "n": np.append(total, texts)})
 
 
 def _features(batches: Iterator[pa.RecordBatch], idf: np.ndarray) -> Iterator[pa.RecordBatch]:
     """Each text's vector, as the bins that it has and their weights."""
     for batch in _slices(batches):
-        counts, letters = trigram_counts(batch.column("text").to_pylist())
-        points = vectors(counts, idf)
-        bins = [np.flatnonzero(c).astype(np.uint16) for c in counts]
+        points, letters = _vectors_of(batch.column("text").to_pylist(), idf)
+        bins = [np.flatnonzero(p).astype(np.uint16) for p in points]
         yield pa.RecordBatch.from_pydict({
             "lang": batch.column("lang"), "doc_id": batch.column("doc_id"), "letters": letters,
             "bins": pa.array([b.tobytes() for b in bins], pa.binary()),
@@ -165,7 +175,7 @@ def fit(train: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> Model:
     """
     text_batches(train.sparkSession)
     train = train.where("text IS NOT NULL AND lang IS NOT NULL").select("doc_id", "text", "lang")
-    frequency = train.select("text").mapInArrow(_document_frequencies, "bin long, n long").groupBy("bin").agg(F.sum("n").alias("n"))
+    frequency = train.select("text").mapInArrow(handing_back(_document_frequencies), "bin long, n long").groupBy("bin").agg(F.sum("n").alias("n"))
     n = np.zeros(BINS + 1)
     for r in frequency.collect():  # BINS + 1 rows
         n[r.bin] = r.n
@@ -175,7 +185,7 @@ def fit(train: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> Model:
     draw = F.pmod(F.xxhash64("doc_id", F.lit("language")), F.lit(1 << 30)) / F.lit(float(1 << 30))
     sample = train.join(F.broadcast(sizes), "lang").where(draw < F.col("least"))
     rows = sample.select("lang", "doc_id", "text").mapInArrow(
-        lambda batches: _features(batches, idf), "lang string, doc_id long, letters long, bins binary, weights binary").collect()
+        handing_back(lambda batches: _features(batches, idf)), "lang string, doc_id long, letters long, bins binary, weights binary").collect()
     rows.sort(key=lambda r: (r.lang, r.doc_id is None, r.doc_id or 0, r.bins))
     languages = sorted({r.lang for r in rows})
     owner, centroids, floor = [], [], []
@@ -213,9 +223,9 @@ def identify(docs: DataFrame, model: Model, *keep: Column | str) -> DataFrame:
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _slices(batches):
-            counts, letters = trigram_counts(batch.column("text").to_pylist())
+            points, letters = _vectors_of(batch.column("text").to_pylist(), model.idf)
             if len(model.languages):
-                like = vectors(counts, model.idf) @ model.centroids.T
+                like = points @ model.centroids.T
                 best = like.argmax(1)
                 similarity = np.clip(like[np.arange(len(best)), best].astype(float), 0.0, 1.0)
                 names = np.array(model.languages, object)[model.owner[best]]
@@ -232,7 +242,7 @@ def identify(docs: DataFrame, model: Model, *keep: Column | str) -> DataFrame:
     schema = T.StructType([
         T.StructField("kept", kind), T.StructField("lang_pred", T.StringType()),
         T.StructField("score", T.DoubleType()), T.StructField("rejected", T.BooleanType())])
-    return source.mapInArrow(score, schema).select("kept.*", "lang_pred", "score", "rejected")
+    return source.mapInArrow(handing_back(score), schema).select("kept.*", "lang_pred", "score", "rejected")
 
 
 def held_out(doc_id: Column, parts: int, part: int) -> Column:

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfstack.llm.storage import text_batches
-from shelfstack.llm.texts import SpanHash, blocks, mix, utf8
+from shelfstack.llm.texts import SpanHash, blocks, handing_back, mix, utf8
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 _BLANK = "▁"
@@ -32,6 +32,7 @@ _NEVER = np.int64(1) << 40
 _LONG = 96  # bytes; longer segments are composed one by one
 STRETCH = 1 << 17  # bytes of text that are composed together; a path takes some hundred bytes per byte
 _CACHE_BITS = 21
+_WINDOW = 1024  # places of the trie that are tried at a time
 
 
 @dataclass(frozen=True)
@@ -40,8 +41,10 @@ class Machine:
 
     piece_bytes: np.ndarray  # all pieces' bytes, one after the other
     piece_start: np.ndarray
-    code: np.ndarray  # byte -> column of ``step``; column 0 leads nowhere
-    step: np.ndarray  # trie: inner node and column -> node
+    code: np.ndarray  # byte -> its code in the trie; 0 leads nowhere
+    base: np.ndarray  # trie: an inner node's arc with code c has the place base[node] + c
+    source: np.ndarray  # place -> the node whose arc lies there
+    target: np.ndarray  # place -> the node that it leads to
     node_piece: np.ndarray  # node -> piece or -1
     byte_piece: np.ndarray  # byte -> its fallback piece
     rank: np.ndarray  # piece -> merge rank; -1 for single characters and bytes
@@ -69,6 +72,40 @@ def _merged(text: str, score: dict[str, float]) -> list[str]:
     return list(_merges(text, score))[-1]
 
 
+def _displaced(inner: int, arcs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The sparse table of arcs (node, code, next node) as rows laid over each other so that no two arcs share a place."""
+    arcs = arcs[np.lexsort((arcs[:, 1], arcs[:, 0]))]
+    node, code, following = arcs.T
+    count = np.bincount(node, minlength=inner)
+    first = np.cumsum(count) - count
+    width = int(code.max()) + 1
+    base = np.zeros(inner, np.int32)
+    taken = np.zeros(4 * len(arcs) + 2 * _WINDOW, bool)
+    low = 0
+    for n in np.argsort(-count, kind="stable")[: int((count > 1).sum())]:
+        own = code[first[n] : first[n] + count[n]]
+        at = low
+        while True:
+            fits = ~np.logical_or.reduce([taken[at + c : at + c + _WINDOW] for c in own])
+            if fits.any():
+                break
+            at += _WINDOW
+            if at + width + _WINDOW > len(taken):
+                taken = np.r_[taken, np.zeros(len(taken), bool)]
+        base[n] = at + int(fits.argmax())
+        taken[base[n] + own] = True
+        if taken[low : low + _WINDOW].mean() > 0.95:
+            low += _WINDOW
+    single = np.flatnonzero(count == 1)
+    free = np.flatnonzero(~np.r_[taken, np.zeros(len(single) + width, bool)][width:])[: len(single)] + width
+    base[single] = free - code[first[single]]
+    place = base[node] + code
+    size = int(base.max()) + width
+    source, target = np.full(size, -1, np.int32), np.zeros(size, np.int32)
+    source[place], target[place] = node, following
+    return base, source, target
+
+
 def compile_machine(path: str = MODEL) -> Machine:
     """Compiles a BPE piece model with byte fallback; raises where the model is of another kind."""
     from sentencepiece import SentencePieceProcessor
@@ -136,15 +173,13 @@ def compile_machine(path: str = MODEL) -> Machine:
     used = sorted({b for s in every for b in s})
     code = np.zeros(256, np.int64)
     code[used] = np.arange(1, len(used) + 1)
-    step = np.zeros((len(inner), len(used) + 1), np.int32)
-    for s, n in nodes.items():
-        if s:
-            step[nodes[s[:-1]], code[s[-1]]] = n
+    arcs = np.array([(nodes[s[:-1]], code[s[-1]], n) for s, n in nodes.items() if s], np.int64)
+    base, source, target = _displaced(len(inner), arcs)
     node_piece = np.full(len(nodes), -1, np.int64)
     for s, i in spelled.items():
         node_piece[nodes[s]] = i
     return Machine(
-        np.frombuffer(b"".join(raw_bytes), np.uint8), np.cumsum([0, *map(len, raw_bytes)]), code, step, node_piece, byte_piece, rank,
+        np.frombuffer(b"".join(raw_bytes), np.uint8), np.cumsum([0, *map(len, raw_bytes)]), code, base, source, target, node_piece, byte_piece, rank,
         tables[1], tables[0], keys, np.array([merges[k] for k in keys.tolist()], np.int64),
         [model.id_to_piece(i) if model.id_to_piece(i) in number else "" for i in ids], uneven)
 
@@ -193,7 +228,8 @@ class Context:
 
     def __init__(self, machine: Machine):
         self.machine = machine
-        self.key = np.full(1 << _CACHE_BITS, -1, np.int64)
+        small = len(machine.rank) ** 2 <= np.iinfo(np.int32).max
+        self.key = np.full(1 << _CACHE_BITS, -1, np.int32 if small else np.int64)
         self.kept = np.zeros(1 << _CACHE_BITS, bool)
 
     def finite(self, one: np.ndarray, two: np.ndarray) -> np.ndarray:
@@ -221,7 +257,8 @@ def _arcs(m: Machine, data: np.ndarray, room: np.ndarray) -> tuple[np.ndarray, n
     index = np.arange(len(at))
     depth = 0
     while len(at):
-        node = m.step[node, coded[at + depth]].astype(np.int64)
+        place = m.base[node] + coded[at + depth]
+        node = np.where(m.source[place] == node, m.target[place], 0)
         depth += 1
         alive = node > 0
         at, node, index = at[alive], node[alive], index[alive]
@@ -230,7 +267,7 @@ def _arcs(m: Machine, data: np.ndarray, room: np.ndarray) -> tuple[np.ndarray, n
         length.append(np.full(final.sum(), depth))
         piece.append(m.node_piece[node[final]])
         single[index[final & (width[index] == depth)]] = True
-        more = (node < len(m.step)) & (room[at] > depth)
+        more = (node < len(m.base)) & (room[at] > depth)
         at, node, index = at[more], node[more], index[more]
     leads = np.flatnonzero(lead)
     unknown = np.zeros(len(data), bool)  # bytes of characters that have no piece
@@ -445,7 +482,7 @@ def encoded(docs: DataFrame, *keep: str, model: str = MODEL) -> DataFrame:
                 [batch.column("row"), lists, pa.array(per_row), pa.array(same)], ["row", "token_ids", "n_tokens", "round_trip"])
 
     kind = source.schema["row"].dataType.simpleString()
-    return source.mapInArrow(run, f"row {kind}, token_ids array<int>, n_tokens long, round_trip boolean") \
+    return source.mapInArrow(handing_back(run), f"row {kind}, token_ids array<int>, n_tokens long, round_trip boolean") \
         .select("row.*", "token_ids", "n_tokens", "round_trip")
 
 
@@ -467,4 +504,4 @@ def decoded(encodings: DataFrame, *keep: str, model: str = MODEL) -> DataFrame:
                 [batch.column("row"), pa.array(texts, pa.string(), mask=pc.is_null(lists).to_numpy(zero_copy_only=False))], ["row", "text"])
 
     kind = source.schema["row"].dataType.simpleString()
-    return source.mapInArrow(run, f"row {kind}, text string").select("row.*", "text")
+    return source.mapInArrow(handing_back(run), f"row {kind}, text string").select("row.*", "text")

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfstack.llm.storage import materialised, shuffle_width, text_batches
-from shelfstack.llm.texts import SpanHash, blocks, mix, utf8
+from shelfstack.llm.texts import SMALL_BLOCK_BYTES, SpanHash, blocks, handing_back, mix, utf8
 
 LENGTH = 50
 SEED = 24
@@ -149,7 +149,7 @@ def _anchor_postings(buckets: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, held = [], 0
-        for batch in blocks(batches):
+        for batch in blocks(batches, limit=SMALL_BLOCK_BYTES):
             data, offsets = utf8(batch.column("text"))
             at, value, _ = anchors(data, offsets)
             parts.append(_keyed(value[at], batch.column("doc_id").to_numpy()[_rows_of(at, offsets)]))
@@ -233,7 +233,7 @@ def _unit_postings(buckets: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         places, texts, held = [], [], 0
-        for batch in blocks(batches):
+        for batch in blocks(batches, limit=SMALL_BLOCK_BYTES):
             data, offsets = utf8(batch.column("text"))
             at, value, least = anchors(data, offsets)
             row = _rows_of(at, offsets)
@@ -413,7 +413,7 @@ def _removed(size: int, text: int, blob: bytes | None, copy: bool) -> np.ndarray
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in blocks(batches):
+    for batch in blocks(batches, limit=SMALL_BLOCK_BYTES):
         data, offsets = utf8(batch.column("text"))
         keys = _text_keys(SpanHash(data), offsets)
         blobs, copies = batch.column("ranges").to_pylist(), batch.column("copy").to_pylist()
@@ -456,14 +456,14 @@ def deduplicated(docs: DataFrame, *keep: str, with_text: bool = False) -> DataFr
     copies = materialised(judged.where("copy").select("doc_id", "copied"))
 
     packed = "bucket int, blob binary"
-    repeated = texts.mapInArrow(_anchor_postings(buckets), packed).groupBy("bucket").applyInPandas(_repeated(buckets), packed) \
+    repeated = texts.mapInArrow(handing_back(_anchor_postings(buckets)), packed).groupBy("bucket").applyInPandas(_repeated(buckets), packed) \
         .groupBy("bucket").applyInPandas(_by_document, "doc_id long, anchors binary")
     wanted = materialised(repeated.join(copies, "doc_id", "left_anti"))
 
     # Both joins read the same columns of the same rows, so that one shuffle of the documents serves both.
     numbered = plain.where("doc_id IS NOT NULL")
     units = numbered.join(wanted, "doc_id").select("doc_id", "text", "row", "anchors") \
-        .mapInArrow(_unit_postings(buckets), "bucket int, places binary, texts binary")
+        .mapInArrow(handing_back(_unit_postings(buckets)), "bucket int, places binary, texts binary")
     ranges = units.groupBy("bucket").applyInPandas(_unit_ranges(buckets), packed) \
         .groupBy("bucket").applyInPandas(_ranges_by_document, "doc_id long, ranges binary")
     found = numbered.join(ranges.join(copies, "doc_id", "full"), "doc_id", "left")
@@ -471,5 +471,5 @@ def deduplicated(docs: DataFrame, *keep: str, with_text: bool = False) -> DataFr
     apart = plain.where("doc_id IS NULL").select("row", "text", F.lit(None).cast("binary").alias("ranges"), F.lit(False).alias("copy"))
     kind = docs.select(F.struct(*(keep or ("doc_id",))).alias("row")).schema["row"].dataType.simpleString()
     cut = found.select("row", "text", "ranges", copy.alias("copy")).union(apart).mapInArrow(
-        _cut, f"row {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept string")
+        handing_back(_cut), f"row {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept string")
     return cut.select("row.*", "n_bytes", "n_removed", "n_spans", "kept_sha256", *(["kept"] if with_text else []))

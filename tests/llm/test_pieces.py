@@ -81,3 +81,24 @@ def test_memory_does_not_follow_the_batch(context, rows):
     tracemalloc.stop()
     assert same.all() and len(ids) == per_row.sum() > 800_000
     assert peak < 100e6, peak
+
+
+def test_a_worker_s_transducers_and_weights_are_small(context):
+    machine = context.machine
+    arrays = [v for v in (getattr(machine, f) for f in machine.__dataclass_fields__) if isinstance(v, np.ndarray)]
+    assert sum(a.nbytes for a in arrays) < 10e6
+    assert context.key.nbytes + context.kept.nbytes < 12e6
+
+
+def test_rows_of_the_trie_share_no_place():
+    rng = np.random.default_rng(3)
+    dense = np.where(rng.random((3000, 200)) < rng.choice([0.004, 0.02, 0.5], (3000, 1), p=[0.9, 0.09, 0.01]), rng.integers(1, 1 << 20, (3000, 200)), 0)
+    dense[:, 0] = 0
+    dense = dense[dense.any(1)]
+    node, code = np.nonzero(dense)
+    base, source, target = pieces._displaced(len(dense), np.stack([node, code, dense[node, code]], 1))
+    place = base[:, None] + np.arange(200)
+    place = np.minimum(place, len(source) - 1)
+    found = np.where(source[place] == np.arange(len(dense))[:, None], target[place], 0)
+    used = code.max() + 1
+    assert np.array_equal(found[:, :used], dense[:, :used])
